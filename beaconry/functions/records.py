@@ -17,8 +17,8 @@ def non_empty(value: Column) -> Column:
 def normalize_query(statement: Column) -> Column:
     """Literals become ``?`` and white space collapses."""
     out = F.regexp_replace(statement, fixed.SQL_STRING, "?")
-    out = F.regexp_replace(out, fixed.SQL_NUMBER, "?")
-    return F.trim(F.regexp_replace(out, r"\s+", " "))
+    out = F.regexp_replace(out, "(?U)" + fixed.SQL_NUMBER, "?")
+    return F.trim(F.regexp_replace(out, r"(?U)\s+", " "))
 
 
 def hash_query(normalized: Column) -> Column:
@@ -26,7 +26,7 @@ def hash_query(normalized: Column) -> Column:
 
 
 def detect_query_type(statement: Column) -> Column:
-    first = F.upper(F.regexp_extract(statement, r"^\s*(\S+)", 1))
+    first = F.upper(F.regexp_extract(statement, r"(?U)^\s*(\S+)", 1))
     return F.when(first.isin(fixed.QUERY_TYPES), first).otherwise("OTHER")
 
 

@@ -13,6 +13,10 @@ from beaconry import fixed_values as fixed
 
 _CARD_GUARD = r"\d(?:[ -]?\d){12}"
 
+# The patterns count letters of any alphabet as word characters. The flag says so to Java; Python does it anyway.
+CARD_RUN, SSN, BEARER, JWT, EMAIL, IPV4 = (
+    "(?U)" + pattern for pattern in (fixed.CARD_RUN, fixed.SSN, fixed.BEARER, fixed.JWT, fixed.EMAIL, fixed.IPV4))
+
 
 def _guarded(text: Column, guard: Column, masked: Column) -> Column:
     return F.when(guard, masked).otherwise(text)
@@ -20,7 +24,7 @@ def _guarded(text: Column, guard: Column, masked: Column) -> Column:
 
 def card_runs(text: Column) -> Column:
     """All candidate card runs of a text, as an array."""
-    return F.regexp_extract_all(text, F.lit(fixed.CARD_RUN), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(CARD_RUN), F.lit(0))
 
 
 def is_card(run: Column) -> Column:
@@ -32,29 +36,29 @@ def is_card(run: Column) -> Column:
 def mask_cards(text: Column) -> Column:
     """Replace the Luhn-valid candidate runs, keep the others as they are."""
     masked = F.transform(card_runs(text), lambda run: F.when(is_card(run), F.lit(fixed.REDACTED)).otherwise(run))
-    between = F.split(text, fixed.CARD_RUN, -1)
+    between = F.split(text, CARD_RUN, -1)
     pieces = F.zip_with(between, F.concat(masked, F.array(F.lit(""))), lambda gap, run: F.concat(gap, run))
     return _guarded(text, text.rlike(_CARD_GUARD), F.array_join(pieces, ""))
 
 
 def mask_ssn(text: Column) -> Column:
-    return F.regexp_replace(text, fixed.SSN, fixed.REDACTED)
+    return F.regexp_replace(text, SSN, fixed.REDACTED)
 
 
 def mask_bearer(text: Column) -> Column:
-    return F.regexp_replace(text, fixed.BEARER, fixed.REDACTED)
+    return F.regexp_replace(text, BEARER, fixed.REDACTED)
 
 
 def mask_jwt(text: Column) -> Column:
-    return _guarded(text, text.contains("eyJ"), F.regexp_replace(text, fixed.JWT, fixed.REDACTED))
+    return _guarded(text, text.contains("eyJ"), F.regexp_replace(text, JWT, fixed.REDACTED))
 
 
 def mask_email(text: Column) -> Column:
-    return _guarded(text, text.contains("@"), F.regexp_replace(text, fixed.EMAIL, fixed.REDACTED))
+    return _guarded(text, text.contains("@"), F.regexp_replace(text, EMAIL, fixed.REDACTED))
 
 
 def mask_ipv4(text: Column) -> Column:
-    return F.regexp_replace(text, fixed.IPV4, fixed.REDACTED)
+    return F.regexp_replace(text, IPV4, fixed.REDACTED)
 
 
 def scrub_text(text: Column, send_default_pii: bool = False) -> Column:
@@ -81,11 +85,11 @@ def rule_hits(text: Column) -> Column:
     no_email = mask_email(no_jwt)
     return F.array(
         F.struct(F.lit("card").alias("rule"), cards.cast("bigint").alias("hits")),
-        F.struct(F.lit("ssn").alias("rule"), hits(no_cards, fixed.SSN).cast("bigint").alias("hits")),
-        F.struct(F.lit("bearer").alias("rule"), hits(no_ssn, fixed.BEARER).cast("bigint").alias("hits")),
-        F.struct(F.lit("jwt").alias("rule"), hits(no_bearer, fixed.JWT).cast("bigint").alias("hits")),
-        F.struct(F.lit("email").alias("rule"), hits(no_jwt, fixed.EMAIL).cast("bigint").alias("hits")),
-        F.struct(F.lit("ipv4").alias("rule"), hits(no_email, fixed.IPV4).cast("bigint").alias("hits")),
+        F.struct(F.lit("ssn").alias("rule"), hits(no_cards, SSN).cast("bigint").alias("hits")),
+        F.struct(F.lit("bearer").alias("rule"), hits(no_ssn, BEARER).cast("bigint").alias("hits")),
+        F.struct(F.lit("jwt").alias("rule"), hits(no_bearer, JWT).cast("bigint").alias("hits")),
+        F.struct(F.lit("email").alias("rule"), hits(no_jwt, EMAIL).cast("bigint").alias("hits")),
+        F.struct(F.lit("ipv4").alias("rule"), hits(no_email, IPV4).cast("bigint").alias("hits")),
     )
 
 
@@ -161,15 +165,17 @@ def scrub_values(value: Column, data_type: T.DataType, send_default_pii: bool =
 
 # ---- free-form JSON: the one place that needs Python, because its shape is not known to the plan ----
 
-_CARD_RE = re.compile(fixed.CARD_RUN, re.ASCII)
-_ALWAYS_RE = [re.compile(p, re.ASCII) for p in (fixed.SSN, fixed.BEARER, fixed.JWT)]
-_OPTIONAL_RE = [re.compile(p, re.ASCII) for p in (fixed.EMAIL, fixed.IPV4)]
+_CARD_RE = re.compile(fixed.CARD_RUN)
+_ALWAYS_RE = [re.compile(p) for p in (fixed.SSN, fixed.BEARER, fixed.JWT)]
+_OPTIONAL_RE = [re.compile(p) for p in (fixed.EMAIL, fixed.IPV4)]
 
 
 def _luhn(digits: str) -> bool:
+    if not (digits.isascii() and 13 <= len(digits) <= 19):
+        return False
     doubled = [int(d) * 2 for d in digits[-2::-2]]
     total = sum(int(d) for d in digits[-1::-2]) + sum(d - 9 if d > 9 else d for d in doubled)
-    return 13 <= len(digits) <= 19 and total % 10 == 0
+    return total % 10 == 0
 
 
 def _mask_card(match: re.Match) -> str:

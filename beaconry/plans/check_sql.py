@@ -75,8 +75,19 @@ def is_card(run: str) -> str:
         "CAST(d[", f"CAST(regexp_replace({run}, '[ -]', '', 'g')[")
 
 
+# Letters beyond ASCII. DuckDB's word boundary knows ASCII only, so the check marks them while it looks for cards.
+_LETTERS = r"[\x{00AA}\x{00B5}\x{00BA}\x{00C0}-\x{00D6}\x{00D8}-\x{00F6}\x{00F8}-\x{02FF}\x{0370}-\x{1FFF}\x{3040}-\x{D7FF}]"
+
+
 def masked_cards(source: str, column: str, out: str) -> str:
     """``source`` plus ``out``: the text with its Luhn-valid runs masked."""
+    marked = f"SELECT *, {replaced(column, f'({_LETTERS})', '_\\1_')} AS _marked FROM ({source})"
+    unmarked = replaced("_masked", f"_({_LETTERS})_", "\\1")
+    return (f"SELECT * EXCLUDE (_marked, _masked), {unmarked} AS {out} FROM "
+            f"({_masked_runs(marked, '_marked', '_masked')})")
+
+
+def _masked_runs(source: str, column: str, out: str) -> str:
     runs, gaps = f"regexp_extract_all({column}, {quote(fixed.CARD_RUN)})", f"string_split_regex({column}, {quote(fixed.CARD_RUN)})"
     parts = (f"list_transform(range(1, len(_gaps) + 1), lambda j: _gaps[j] || CASE WHEN j > len(_runs) THEN '' "
              f"WHEN {is_card('_runs[j]')} THEN '{fixed.REDACTED}' ELSE _runs[j] END)")

@@ -56,9 +56,10 @@ def stream_dedupe(spark, sf_dir):
 
 @job("stream_breadcrumbs", f"SELECT process_id, error_id, event_id, message FROM {OWNED_CRUMBS.format(limit=3)}")
 def stream_breadcrumbs(spark, sf_dir):
-    marks = t.CRUMB_MARKS.over(_events(spark, sf_dir)).select(
-        "process_id", "ts_ms", "event_id", "is_error", "message")
-    return _finish(stateful.stream_breadcrumbs(marks, limit=3), spark, "crumbs")
+    columns = {**t.CRUMB_MARKS.columns, "at": "CAST(ts AS timestamp)"}
+    marks = t.Projection("events", columns).over(_events(spark, sf_dir)).select(
+        "process_id", "at", "ts_ms", "event_id", "is_error", "message")
+    return _finish(stateful.stream_breadcrumbs(marks, "1 minute", limit=3), spark, "crumbs")
 
 
 _LATEST_MS = "(SELECT epoch_us(max(ts)) // 1000 FROM events)"

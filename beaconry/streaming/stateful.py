@@ -6,6 +6,7 @@ State is small by rule: at most ``limit`` crumbs per process, one row per sessio
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -14,7 +15,12 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from beaconry import fixed_values as fixed
 
-_CRUMB = "ts_ms bigint, event_id bigint, message string"
+
+def _wake(handle: StatefulProcessorHandle, at_ms: int) -> None:
+    """One timer per key: replace what is set."""
+    for timer in list(handle.listTimers()):
+        handle.deleteTimer(timer)
+    handle.registerTimer(at_ms)
 
 
 class _Crumbs(StatefulProcessor):
@@ -22,38 +28,47 @@ class _Crumbs(StatefulProcessor):
         self.limit, self.ttl_ms = limit, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.waiting = handle.getListState("waiting", _CRUMB, self.ttl_ms)
+        self.handle = handle
+        self.waiting = handle.getValueState("waiting", "crumbs string")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         marks = pd.concat(rows).sort_values(["ts_ms", "event_id"])
-        waiting = [tuple(crumb) for crumb in self.waiting.get()] if self.waiting.exists() else []
+        held = self.waiting.get()
+        waiting = json.loads(held[0]) if held else []
         taken = []
-        for ts_ms, event_id, is_error, message in zip(
-                marks["ts_ms"], marks["event_id"], marks["is_error"], marks["message"]):
+        for event_id, is_error, message in zip(marks["event_id"], marks["is_error"], marks["message"]):
             if is_error:
-                taken += [(key[0], int(event_id), crumb[1], crumb[2]) for crumb in waiting]
+                taken += [(key[0], int(event_id), crumb_id, text) for crumb_id, text in waiting]
                 waiting = []
             else:
-                waiting = (waiting + [(int(ts_ms), int(event_id), message)])[-self.limit:]
-        self.waiting.clear()
+                waiting = (waiting + [(int(event_id), message)])[-self.limit:]
         if waiting:
-            self.waiting.put(waiting)
+            self.waiting.update((json.dumps(waiting),))
+            _wake(self.handle, int(marks["ts_ms"].max()) + self.ttl_ms)
+        elif held:
+            self.waiting.clear()
         yield pd.DataFrame(taken, columns=["process_id", "error_id", "event_id", "message"])
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.waiting.clear()
+        return iter(())
+
     def close(self) -> None:
         pass
 
 
-def stream_breadcrumbs(marks: DataFrame, limit: int = fixed.MAX_BREADCRUMBS,
+def stream_breadcrumbs(marks: DataFrame, delay: str, limit: int = fixed.MAX_BREADCRUMBS,
                        ttl_ms: int = fixed.SPOOL_MAX_AGE_SECONDS * 1000) -> DataFrame:
-    """One row per crumb an error takes. Reads process_id, ts_ms, event_id, is_error, message.
+    """One row per crumb an error takes. Reads at (event time), process_id, ts_ms, event_id, is_error, message.
+
+    The crumbs of a process that stays silent for ``ttl_ms`` past the watermark are forgotten.
 
     Marks of a process must reach the stream in the order of their micro-batches; inside one they are sorted.
     """
-    return marks.groupBy("process_id").transformWithStateInPandas(
+    return marks.withWatermark("at", delay).groupBy("process_id").transformWithStateInPandas(
         statefulProcessor=_Crumbs(limit, ttl_ms),
         outputStructType="process_id string, error_id bigint, event_id bigint, message string",
-        outputMode="Append", timeMode="ProcessingTime")
+        outputMode="Append", timeMode="EventTime")
 
 
 _SESSION = "severity int, errors bigint, started bigint, latest bigint"
@@ -74,12 +89,7 @@ class _Sessions(StatefulProcessor):
         return pd.DataFrame([(key[0], status, errors, started, max(latest - started, 0), ended)], columns=[
             "session_id", "status", "error_count", "started_ms", "duration_ms", "ended"])
 
-    def _wake(self, at_ms: int) -> None:
-        for timer in self.handle.listTimers():
-            self.handle.deleteTimer(timer if isinstance(timer, int) else timer[0])
-        self.handle.registerTimer(at_ms)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         if self.closed.exists():
             for _ in rows:  # marks after the end are ignored
                 pass
@@ -95,14 +105,14 @@ class _Sessions(StatefulProcessor):
             if mark == "end":
                 self.open.clear()
                 self.closed.update((ts_ms,))
-                self._wake(latest + self.idle_ms)
+                _wake(self.handle, latest + self.idle_ms)
                 status = final if isinstance(final, str) and final else _STATUS[severity]
                 yield self._row(key, status, errors, started, latest, True)
                 return
         self.open.update((severity, errors, started, latest))
-        self._wake(latest + self.idle_ms)
+        _wake(self.handle, latest + self.idle_ms)
 
-    def handleExpiredTimer(self, key, timers, expired) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self.open.exists():
             severity, errors, started, latest = self.open.get()
             self.open.clear()

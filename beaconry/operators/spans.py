@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from beaconry.functions import records as rec, trace_context as tc
 from beaconry.operators.hot_keys import KEY, SLOT, SLOT_ROWS, slotted
 
+_FOREVER = 2**63 - 1
 _PARENTS = "span_id string, context_id string, trace_id string, start_ms bigint, parent_span_id string"
 
 
-def infer_parent_spans(spans: DataFrame, slot_rows: int = SLOT_ROWS // 4) -> DataFrame:
+def infer_parent_spans(spans: DataFrame, slot_rows: int = SLOT_ROWS) -> DataFrame:
     """The innermost span still open in the same context and trace when a span starts; else the inbound parent.
 
     Reads context_id, trace_id, span_id, start_ms, start_seq, finish_ms (null: never finished), finish_seq and
@@ -39,25 +42,32 @@ def infer_parent_spans(spans: DataFrame, slot_rows: int = SLOT_ROWS // 4) -> Dat
         hidden_by.select(*columns, F.col("_to")[SLOT].alias(SLOT)))
     every = placed.select(*columns, SLOT).withColumn("_own", F.lit(True)).unionByName(
         carried.withColumn("_own", F.lit(False)))
-    return every.groupBy(KEY, SLOT).applyInPandas(_replay, _PARENTS)
-
-
-def _replay(spans: pd.DataFrame) -> pd.DataFrame:
-    spans = spans.sort_values(["start_ms", "start_seq"], kind="stable")
-    top = spans["finish_ms"].fillna(float("inf")).to_numpy(), spans["finish_seq"].fillna(0).to_numpy()
-    ends = list(zip(*top))
-    stack: list[int] = []
-    parents = []
-    ids = spans["span_id"].to_numpy()
-    inbound = spans["inbound_parent"].to_numpy()
-    for i, now in enumerate(zip(spans["start_ms"], spans["start_seq"])):
-        # finished spans below the top may linger: they surface, and go, once the spans above them are gone
-        while stack and ends[stack[-1]] <= now:
-            stack.pop()
-        parents.append(ids[stack[-1]] if stack else inbound[i] or "")
-        stack.append(i)
-    return spans.assign(parent_span_id=parents).loc[
-        spans["_own"].to_numpy(), ["span_id", "context_id", "trace_id", "start_ms", "parent_span_id"]]
+    # sorted runs stream through the replay: it holds the open spans of one run, never the run itself
+    forever = F.lit(_FOREVER)
+    runs = every.select(
+        KEY, SLOT, "context_id", "trace_id", "span_id", "start_ms", "start_seq",
+        F.coalesce("finish_ms", forever).alias("finish_ms"), F.coalesce("finish_seq", forever).alias("finish_seq"),
+        F.coalesce("inbound_parent", F.lit("")).alias("inbound_parent"), "_own")
+    return runs.repartition(KEY, SLOT).sortWithinPartitions(KEY, SLOT, "start_ms", "start_seq").mapInPandas(
+        _replay, _PARENTS)
+
+
+def _replay(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    run, stack = None, []  # stack: (finish, span id) of spans that may still be open, latest start on top
+    for frame in frames:
+        parents = []
+        for key, slot, span, ms, seq, end_ms, end_seq, inbound in zip(
+                *(frame[c].tolist() for c in (KEY, SLOT, "span_id", "start_ms", "start_seq", "finish_ms", "finish_seq",
+                                              "inbound_parent"))):
+            if (key, slot) != run:
+                run, stack = (key, slot), []
+            # finished spans below the top may linger: they surface, and go, once the spans above them are gone
+            while stack and stack[-1][0] <= (ms, seq):
+                stack.pop()
+            parents.append(stack[-1][1] if stack else inbound)
+            stack.append(((end_ms, end_seq), span))
+        frame["parent_span_id"] = parents
+        yield frame.loc[frame["_own"], ["span_id", "context_id", "trace_id", "start_ms", "parent_span_id"]]
 
 
 def continue_traces(requests: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from beaconry.session import tune
+from beaconry.session import spread, tune
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -150,8 +150,8 @@ class SPANS:
 
     @staticmethod
     def frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-        both = _ROOT_SPANS.frame(spark, sf_dir).unionByName(_CHILD_SPANS.frame(spark, sf_dir))
-        return both.selectExpr("*", "start_ms + duration_ms AS end_ms")
+        both = [p.over(spread(read(spark, sf_dir, p.table))) for p in (_ROOT_SPANS, _CHILD_SPANS)]
+        return both[0].unionByName(both[1]).selectExpr("*", "start_ms + duration_ms AS end_ms")
 
     @staticmethod
     def sql() -> str:

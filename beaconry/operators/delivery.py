@@ -89,18 +89,18 @@ def delivery_outcome(attempts: DataFrame) -> DataFrame:
     """One row per payload of an attempt log, with what became of it.
 
     Reads client_id, event_id, path, ts_ms, attempt (1..5), status (0: network error), is_drain and, where logged,
-    raw_bytes and wire_bytes. After a client's first 401 its later payloads are dropped untried.
+    raw_bytes and wire_bytes. A 401 ends the client: payloads first tried after it are dropped untried.
     """
+    # path and is_drain are one per post, so they can be grouping keys; what is left to fold is plain numbers
     sizes = [F.max(c).alias(c) for c in ("raw_bytes", "wire_bytes") if c in attempts.columns]
-    scored = attempts.groupBy("client_id", "event_id").agg(
+    folded = attempts.groupBy("client_id", "event_id", "path", "is_drain").agg(
         *sizes,
-        F.max_by(F.struct("status", "path", "is_drain"), "attempt").alias("_last"),
+        F.max_by("status", "attempt").alias("status"),
         F.max("attempt").alias("attempts"),
         F.min("ts_ms").alias("ts_ms"),
         F.sum((F.col("status") == 429).cast("bigint")).alias("rate_limited"))
-    folded = scored.select("*", "_last.*").drop("_last")
     order = F.struct("ts_ms", "event_id")
-    stops = _first_auth_stop(folded, "client_id", order)
+    stops = _first_auth_stop(attempts, "client_id", order)
     kind = rec.status_class(F.col("status"))
     untried = F.coalesce(order > F.col("_stop"), F.lit(False))
     exhausted = F.when(F.col("path").isin(fixed.PERSISTABLE_PATHS) & ~F.col("is_drain"), "persisted").when(

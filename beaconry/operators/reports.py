@@ -55,29 +55,51 @@ def requests_with_errors(requests: DataFrame, errors: DataFrame) -> DataFrame:
     return requests.join(errors.select("request_id"), "request_id", "left_semi")
 
 
-def _percentile(column: str, p: float, exact: bool) -> Column:
-    return F.percentile(column, F.lit(p)) if exact else F.percentile_approx(column, F.lit(p), F.lit(10000))
+def _percentile(p: float, exact: bool) -> Column:
+    """Of duration_ms, over rows that each stand for ``_calls`` calls."""
+    if exact:
+        return F.percentile("duration_ms", F.lit(p), F.col("_calls"))
+    return F.percentile_approx(F.col("duration_ms"), F.lit(p), F.lit(10000))
+
+
+def _by_duration(df: DataFrame, keys: list[str], sums: dict[str, Column], exact: bool) -> DataFrame:
+    """Fold to one row per key and whole millisecond before percentiles are taken.
+
+    A key with a third of all calls then brings as many rows as it has distinct durations, and the shuffle carries
+    those. ``exact=False`` takes the approximate percentile of the calls themselves.
+    """
+    if not exact:
+        return df.select(*keys, "duration_ms", F.lit(1).cast("bigint").alias("_calls"),
+                         *[c.alias(n) for n, c in sums.items()])
+    return df.groupBy(*keys, "duration_ms").agg(
+        F.count(F.lit(1)).alias("_calls"), *[F.sum(c).alias(n) for n, c in sums.items()])
 
 
 def query_stats(queries: DataFrame, exact: bool = True) -> DataFrame:
-    """Per statement: calls, errors, mean, p50, p95, rows. ``exact=False`` bounds the state per group at scale."""
-    return queries.groupBy("query_hash").agg(
-        F.min("normalized_query").alias("normalized_query"),
-        F.count(F.lit(1)).alias("calls"),
-        F.count_if(F.col("status") == "error").alias("errors"),
-        F.avg("duration_ms").alias("mean_ms"),
-        _percentile("duration_ms", 0.5, exact).alias("p50_ms"),
-        _percentile("duration_ms", 0.95, exact).alias("p95_ms"),
-        F.sum(F.greatest("rows_affected", F.lit(0))).alias("rows"))
-
-
-def endpoint_stats(requests: DataFrame, exact: bool = True) -> DataFrame:
-    """Per method and route: calls, share of 5xx, p95 and bytes."""
-    return requests.groupBy("method", "route").agg(
-        F.count(F.lit(1)).alias("calls"),
-        F.avg((F.col("status_code") >= 500).cast("double")).alias("failed_share"),
-        _percentile("duration_ms", 0.95, exact).alias("p95_ms"),
-        F.sum("response_size").alias("bytes"))
+    """Per statement: calls, errors, mean, p50, p95 and rows."""
+    folded = _by_duration(queries, ["query_hash", "normalized_query"], {
+        "_errors": (F.col("status") == "error").cast("bigint"),
+        "_rows": F.greatest("rows_affected", F.lit(0)).cast("bigint")}, exact)
+    return folded.groupBy("query_hash", "normalized_query").agg(
+        F.sum("_calls").alias("calls"),
+        F.sum("_errors").alias("errors"),
+        (F.sum(F.col("duration_ms") * F.col("_calls")) / F.sum("_calls")).alias("mean_ms"),
+        _percentile(0.5, exact).alias("p50_ms"),
+        _percentile(0.95, exact).alias("p95_ms"),
+        F.sum("_rows").alias("rows"))
+
+
+def endpoint_stats(requests: DataFrame, counts: dict[str, Column] | None = None, exact: bool = True) -> DataFrame:
+    """Per method and route: calls, share of 5xx, p95, bytes and how many requests meet each of ``counts``."""
+    counts = {name: condition.cast("bigint") for name, condition in (counts or {}).items()}
+    folded = _by_duration(requests, ["method", "route"], {
+        "_failed": (F.col("status_code") >= 500).cast("bigint"), "bytes": F.col("response_size"), **counts}, exact)
+    return folded.groupBy("method", "route").agg(
+        F.sum("_calls").alias("calls"),
+        (F.sum("_failed") / F.sum("_calls")).alias("failed_share"),
+        _percentile(0.95, exact).alias("p95_ms"),
+        F.sum("bytes").alias("bytes"),
+        *[F.sum(name).alias(name) for name in counts])
 
 
 def endpoint_totals(requests: DataFrame) -> DataFrame:

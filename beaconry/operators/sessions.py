@@ -21,13 +21,12 @@ def fold_sessions(marks: DataFrame) -> DataFrame:
     counted = marks.join(ends, "session_id", "left").where(F.col("_end").isNull() | (order <= F.col("_end")))
     severity = (F.when(F.col("mark") == "crash", 3).when(F.col("mark") == "abnormal", 2)
                 .when(F.col("mark") == "error", 1).otherwise(0))
-    folded = counted.groupBy("session_id").agg(
+    # the end is one per session, so it can be a grouping key; what is left to fold is plain numbers
+    folded = counted.groupBy("session_id", F.col("_end.ts_ms").alias("ended_ms"), "_final").agg(
         F.max(severity).alias("_severity"),
         F.sum(F.col("mark").isin("error", "crash").cast("bigint")).alias("error_count"),
         F.min("ts_ms").alias("started_ms"),
-        F.max("ts_ms").alias("last_ms"),
-        F.max("_end.ts_ms").alias("ended_ms"),
-        F.max("_final").alias("_final"))
+        F.max("ts_ms").alias("last_ms"))
     status = F.element_at(F.array(F.lit("ok"), F.lit("errored"), F.lit("abnormal"), F.lit("crashed")),
                           F.col("_severity") + 1)
     return folded.select(

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from beaconry.functions import records as rec, trace_context as tc
-from beaconry.operators.hot_keys import KEY, SLOT, SLOT_ROWS, slotted
+from beaconry.operators.hot_keys import HOT, KEY, SLOT, SLOT_ROWS, slotted
 
 _FOREVER = 2**63 - 1
 _PARENTS = "span_id string, context_id string, trace_id string, start_ms bigint, parent_span_id string"
@@ -26,10 +26,10 @@ def infer_parent_spans(spans: DataFrame, slot_rows: int = SLOT_ROWS) -> DataFram
     marks = ["context_id", "trace_id", "span_id", "start_ms", "start_seq", "finish_ms", "finish_seq",
              "inbound_parent"]
     placed = slotted(spans.select(marks), ["context_id", "trace_id"], "start_ms", slot_rows)
-    borders = placed.where(F.col(SLOT) > 0).groupBy(KEY, SLOT).agg(F.min("start_ms").alias("_slot_from"))
+    borders = placed.where(HOT).groupBy(KEY, SLOT).agg(F.min("start_ms").alias("_slot_from"))
     by_key = borders.groupBy(KEY).agg(F.sort_array(F.collect_list(F.struct("_slot_from", SLOT))).alias("_borders"))
     # bounded: only hot keys have borders, and they have few; see hot_keys
-    known = placed.where(F.col(SLOT) > 0).join(F.broadcast(by_key), KEY)
+    known = placed.where(HOT).join(F.broadcast(by_key), KEY)
     later = F.filter("_borders", lambda b: b[SLOT] > F.col(SLOT))
     crossed = known.where(F.col("finish_ms").isNotNull()).withColumn(
         "_to", F.explode(F.filter(later, lambda b: b["_slot_from"] <= F.col("finish_ms"))))

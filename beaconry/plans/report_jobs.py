@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from beaconry.functions import records as rec, scrub
+from beaconry import fixed_values as fixed
+from beaconry.functions import scrub
 from beaconry.operators import instrument as ins, normalize, reports, sessions
 from beaconry.plans import check_sql as sql
 from beaconry.plans.registry import job
@@ -70,9 +71,9 @@ _QUERIES = (f"(SELECT *, substring(md5(n), 1, 16) AS query_hash, greatest(0, CAS
 
 
 @job("query_stats", f"""
-SELECT query_hash, any_value(n) AS normalized_query, count(*) AS calls, count(*) FILTER (WHERE status = 'error') AS errors,
+SELECT query_hash, n AS normalized_query, count(*) AS calls, count(*) FILTER (WHERE status = 'error') AS errors,
   round(avg(ms), 3) AS mean_ms, round(quantile_cont(ms, 0.5), 3) AS p50_ms, round(quantile_cont(ms, 0.95), 3) AS p95_ms,
-  CAST(sum(greatest(coalesce(rows_affected, -1), 0)) AS BIGINT) AS rows FROM {_QUERIES} GROUP BY query_hash""")
+  CAST(sum(greatest(coalesce(rows_affected, -1), 0)) AS BIGINT) AS rows FROM {_QUERIES} GROUP BY query_hash, n""")
 def query_stats(spark, sf_dir):
     stats = reports.query_stats(normalize.normalize_db(t.STATEMENTS.frame(spark, sf_dir)))
     return stats.withColumns({c: F.round(c, 3) for c in ("mean_ms", "p50_ms", "p95_ms")})
@@ -89,15 +90,14 @@ def served_requests(spark, sf_dir):
 SELECT upper(method) AS method, coalesce(route, 'generic ASGI request') AS route, count(*) AS calls,
   round(avg(CASE WHEN {_CODE} >= 500 THEN 1.0 ELSE 0.0 END), 6) AS failed_share,
   round(quantile_cont(greatest(duration_ms, 0), 0.95), 3) AS p95_ms, CAST(sum(response_size) AS BIGINT) AS bytes,
-  CAST(count(raised) AS BIGINT) AS raised
+  CAST(count(raised) AS BIGINT) AS raised, count(*) FILTER (WHERE raised_message <> '') AS redacted
 FROM ({t.ACCESS.sql()}) WHERE {_CAPTURED} GROUP BY 1, 2""")
 def endpoint_stats(spark, sf_dir):
     """The flagship: access log to telemetry, normalized and scrubbed, to endpoint statistics."""
     rows = served_requests(spark, sf_dir).withColumn("raised_message", scrub.scrub_text(F.col("raised_message")))
-    stats = reports.endpoint_stats(rows)
-    raised = rows.groupBy("method", "route").agg(F.count("raised").alias("raised"))
-    return stats.join(raised, ["method", "route"]).withColumns(
-        {"failed_share": F.round("failed_share", 6), "p95_ms": F.round("p95_ms", 3)})
+    stats = reports.endpoint_stats(rows, {
+        "raised": F.col("raised").isNotNull(), "redacted": F.col("raised_message").contains(fixed.REDACTED)})
+    return stats.withColumns({"failed_share": F.round("failed_share", 6), "p95_ms": F.round("p95_ms", 3)})
 
 
 @job("endpoint_totals", f"""

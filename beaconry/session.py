@@ -15,6 +15,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # row_number() <= n limits every group before it shuffles, for n up to this
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
 }
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from beaconry.functions import scrub
@@ -61,12 +61,10 @@ def row_hook(hook: Callable[[dict], dict | None], columns: list[str]) -> Callabl
     batches and needs nothing but its own rows.
     """
     def apply(df: DataFrame) -> DataFrame:
-        schema, names = df.schema, list(df.columns)
-
-        def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in frames:
+        def batches(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in incoming:
                 kept, events = [], []
-                for event in frame[columns].to_dict("records"):
+                for event in batch.select(columns).to_pylist():
                     try:
                         result = hook(dict(event))
                     except Exception:
@@ -74,12 +72,13 @@ def row_hook(hook: Callable[[dict], dict | None], columns: list[str]) -> Callabl
                     kept.append(result is not None)
                     if result is not None:
                         events.append({c: result.get(c) for c in columns})
-                out = frame[pd.Series(kept, index=frame.index, dtype=bool)].copy()
+                out = batch.filter(pa.array(kept, pa.bool_()))
                 for c in columns:
-                    out[c] = [event[c] for event in events]
-                yield out[names]
+                    out = out.set_column(out.schema.get_field_index(c), out.schema.field(c),
+                                         pa.array([event[c] for event in events], out.schema.field(c).type))
+                yield out
 
-        return df.mapInPandas(batches, schema)
+        return df.mapInArrow(batches, df.schema)
 
     return apply
 

@@ -207,8 +207,12 @@ def _scrub_node(node, terms: list[str], send_default_pii: bool, scan: bool, dept
 
 
 def scrub_json(document: Column, extra: Iterable[str] = (), send_default_pii: bool = False,
-               vendor: str | None = None, values: bool = True) -> Column:
-    """Both scrubbing layers over free-form JSON text, in Arrow batches. Text that is no JSON comes back as it is."""
+               vendor: str | None = None, values: bool = True, keep: Iterable[str] = ()) -> Column:
+    """Both scrubbing layers over free-form JSON text, in Arrow batches. Text that is no JSON comes back as it is.
+
+    ``keep`` names top-level keys that stay, such as the session id the records are joined on.
+    """
+    kept = tuple(keep)
     terms = denied_terms(extra, vendor)
 
     @F.pandas_udf(T.StringType())
@@ -218,8 +222,10 @@ def scrub_json(document: Column, extra: Iterable[str] = (), send_default_pii: bo
                 return None
             try:
                 node = json.loads(text)
-                return json.dumps(_scrub_node(node, terms, send_default_pii, values, 0), separators=(",", ":"),
-                                  ensure_ascii=False)
+                clean = _scrub_node(node, terms, send_default_pii, values, 0)
+                if isinstance(node, dict):
+                    clean.update((key, node[key]) for key in kept if key in node)
+                return json.dumps(clean, separators=(",", ":"), ensure_ascii=False)
             except (ValueError, RecursionError):
                 return text
         return batch.map(one)

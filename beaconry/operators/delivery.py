@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from beaconry import fixed_values as fixed
 from beaconry.functions import records as rec
 from beaconry.operators.hot_keys import SLOT_ROWS, newest, numbered
+from beaconry.operators.wire import wire_item
+from beaconry.schemas import KINDS
 
 
 def persistable(envelopes: DataFrame) -> DataFrame:
@@ -60,6 +62,18 @@ def chunk_batches(items: DataFrame, flush_key: list[str], at: str, order: list[s
     return chunks.groupBy(*flush_key, "chunk").agg(F.transform(listed, lambda x: x["item"]).alias(field))
 
 
+# Items per wire body and kind. Spans go out whole, a flush holding at most what the buffer does; logs one by one.
+BODY_ITEMS = {"http_requests": fixed.MAX_BATCH, "db_queries": fixed.MAX_BATCH, "spans": fixed.BUFFER_SIZE,
+              "replay_events": fixed.BUFFER_SIZE, "logs": 1}
+
+
+def flush_bodies(items: DataFrame, kind: str, flush_key: list[str], at: str, order: list[str],
+                 slot_rows: int = SLOT_ROWS) -> DataFrame:
+    """The wire bodies of a flush of one kind; ``field`` is the name of their array."""
+    field = KINDS[kind][2] or "items"
+    return chunk_batches(items, flush_key, at, order, wire_item(items, kind), field, BODY_ITEMS[kind], slot_rows)
+
+
 def validate_batches(batches: DataFrame, field: str) -> DataFrame:
     """Adds ``rejected``: a batch holds 1 to 100 items."""
     return batches.withColumn("rejected", F.when(

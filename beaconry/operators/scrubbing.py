@@ -41,6 +41,30 @@ def sanitize_errors(df: DataFrame, extra: Iterable[str] = (), send_default_pii:
     return scrub_columns(out, ["user"], extra, vendor=vendor, values=False) if "user" in df.columns else out
 
 
+# Text and nested columns per kind that both layers cover. Before they were spooled, the wire form of the last
+# three kinds used to go out unscrubbed; ``strict`` reproduces that.
+SCRUBBED = {
+    "logs": ("message", "service", "environment", "metadata"),
+    "http_requests": ("method", "host", "error_fingerprint", "metadata"),
+    "db_queries": ("normalized_query", "error_message", "database_name"),
+    "replay_events": ("event_type", "event_data"),
+    "spans": ("description", "tags", "data"),
+    "heartbeats": ("slug", "message"),
+    "session_starts": ("environment",),
+}
+_LIVE_UNSCRUBBED = ("spans", "heartbeats", "session_starts")
+
+
+def scrub_kind(df: DataFrame, kind: str, extra: Iterable[str] = (), send_default_pii: bool = False,
+               vendor: str | None = None, strict: bool = False) -> DataFrame:
+    """Both layers over what a record kind holds of free text; see sanitize_errors for errors."""
+    if kind == "errors":
+        return sanitize_errors(df, extra, send_default_pii, vendor)
+    if strict and kind in _LIVE_UNSCRUBBED:
+        return df
+    return scrub_columns(df, [c for c in SCRUBBED[kind] if c in df.columns], extra, send_default_pii, vendor)
+
+
 def send_errors(df: DataFrame, rate: float, key: Column,
                 before_send: Callable[[DataFrame], DataFrame] | None = None, extra: Iterable[str] = (),
                 send_default_pii: bool = False, vendor: str | None = None) -> DataFrame:

@@ -248,3 +248,18 @@ def sample_inbound(spark, sf_dir):
         "event_id", tp["sampled"].alias("tp_sampled"),
         F.coalesce(tp["trace_id"], F.col("event_id").cast("string")).alias("trace_id"))
     return sampling.sample_traces(rows, 0.3, inbound_sampled=F.col("tp_sampled")).select("event_id", "tp_sampled")
+
+
+@job("scrub_kinds", f"""
+SELECT 'spans' AS kind, span_id AS id, description AS text FROM ({t.SPANS.sql()})
+UNION ALL SELECT 'logs', CAST(log_id AS VARCHAR), scrubbed FROM ({sql.scrubbed(t.LOGS.sql(), 'message')})
+UNION ALL SELECT 'db_queries', CAST(statement_id AS VARCHAR), error_message FROM ({t.STATEMENTS.sql()})""")
+def scrub_kinds(spark, sf_dir):
+    """Free text of spans, logs and statements."""
+    def kind(name, df, key, text):
+        return scrubbing.scrub_kind(df, name).select(
+            F.lit(name).alias("kind"), F.col(key).cast("string").alias("id"), F.col(text).alias("text"))
+
+    return (kind("spans", t.SPANS.frame(spark, sf_dir), "span_id", "description")
+            .unionByName(kind("logs", t.LOGS.frame(spark, sf_dir), "log_id", "message"))
+            .unionByName(kind("db_queries", t.STATEMENTS.frame(spark, sf_dir), "statement_id", "error_message")))

@@ -22,7 +22,7 @@ def ingest_writer(out: str, kinds: list[str], vendor: str | None = None,
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         clean = batch.withColumn("payload", scrub_json(
-            F.col("payload"), vendor=vendor, send_default_pii=send_default_pii)).persist()
+            F.col("payload"), vendor=vendor, send_default_pii=send_default_pii, keep=["sessionId"])).persist()
         try:
             for kind in kinds:
                 rows = env.route(clean, kind)

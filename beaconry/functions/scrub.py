@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
@@ -18,8 +18,18 @@ CARD_RUN, SSN, BEARER, JWT, EMAIL, IPV4 = (
     "(?U)" + pattern for pattern in (fixed.CARD_RUN, fixed.SSN, fixed.BEARER, fixed.JWT, fixed.EMAIL, fixed.IPV4))
 
 
-def _guarded(text: Column, guard: Column, masked: Column) -> Column:
-    return F.when(guard, masked).otherwise(text)
+def _let(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn(value)`` with the value computed once, however often ``fn`` mentions it."""
+    return F.get(F.transform(F.array(value), lambda bound: fn(bound)), F.lit(0))
+
+
+def _guarded(text: Column, guard: Callable[[Column], Column], mask: Callable[[Column], Column]) -> Column:
+    """Mask only where a cheap test says that there may be something to mask."""
+    return _let(text, lambda t: F.when(guard(t), mask(t)).otherwise(t))
+
+
+def _has_digit(text: Column) -> Column:
+    return text.rlike(r"\d")
 
 
 def card_runs(text: Column) -> Column:
@@ -33,32 +43,42 @@ def is_card(run: Column) -> Column:
     return F.length(digits).between(13, 19) & F.call_function("luhn_check", digits)
 
 
-def mask_cards(text: Column) -> Column:
-    """Replace the Luhn-valid candidate runs, keep the others as they are."""
+def _replace_cards(text: Column) -> Column:
     masked = F.transform(card_runs(text), lambda run: F.when(is_card(run), F.lit(fixed.REDACTED)).otherwise(run))
     between = F.split(text, CARD_RUN, -1)
     pieces = F.zip_with(between, F.concat(masked, F.array(F.lit(""))), lambda gap, run: F.concat(gap, run))
-    return _guarded(text, text.rlike(_CARD_GUARD), F.array_join(pieces, ""))
+    return F.array_join(pieces, "")
+
+
+def mask_cards(text: Column) -> Column:
+    """Replace the Luhn-valid candidate runs, keep the others as they are."""
+    return _guarded(text, lambda t: t.rlike(_CARD_GUARD), _replace_cards)
 
 
 def mask_ssn(text: Column) -> Column:
-    return F.regexp_replace(text, SSN, fixed.REDACTED)
+    return _guarded(text, _has_digit, lambda t: F.regexp_replace(t, SSN, fixed.REDACTED))
 
 
 def mask_bearer(text: Column) -> Column:
-    return F.regexp_replace(text, BEARER, fixed.REDACTED)
+    return _guarded(text, lambda t: F.lower(t).contains("bearer"), lambda t: F.regexp_replace(t, BEARER, fixed.REDACTED))
 
 
 def mask_jwt(text: Column) -> Column:
-    return _guarded(text, text.contains("eyJ"), F.regexp_replace(text, JWT, fixed.REDACTED))
+    return _guarded(text, lambda t: t.contains("eyJ"), lambda t: F.regexp_replace(t, JWT, fixed.REDACTED))
 
 
 def mask_email(text: Column) -> Column:
-    return _guarded(text, text.contains("@"), F.regexp_replace(text, EMAIL, fixed.REDACTED))
+    return _guarded(text, lambda t: t.contains("@"), lambda t: F.regexp_replace(t, EMAIL, fixed.REDACTED))
 
 
 def mask_ipv4(text: Column) -> Column:
-    return F.regexp_replace(text, IPV4, fixed.REDACTED)
+    return _guarded(text, _has_digit, lambda t: F.regexp_replace(t, IPV4, fixed.REDACTED))
+
+
+# The rules in the order they apply; the last two only without the opt-in.
+RULES = {"card": mask_cards, "ssn": mask_ssn, "bearer": mask_bearer, "jwt": mask_jwt, "email": mask_email,
+         "ipv4": mask_ipv4}
+_OPT_OUT = ("email", "ipv4")
 
 
 def scrub_text(text: Column, send_default_pii: bool = False) -> Column:
@@ -66,31 +86,17 @@ def scrub_text(text: Column, send_default_pii: bool = False) -> Column:
 
     Texts over the scan limit come back unscanned, as the contract says.
     """
-    out = mask_jwt(mask_bearer(mask_ssn(mask_cards(text))))
-    if not send_default_pii:
-        out = mask_ipv4(mask_email(out))
+    out = text
+    for rule, mask in RULES.items():
+        if not (send_default_pii and rule in _OPT_OUT):
+            out = mask(out)
     return F.when(F.length(text) > fixed.MAX_SCAN_CHARS, text).otherwise(out)
 
 
-def rule_hits(text: Column) -> Column:
-    """Per rule, how many spans of a text the scrubber replaces, in the order it applies the rules."""
-    def hits(value: Column, pattern: str) -> Column:
-        return F.size(F.regexp_extract_all(value, F.lit(pattern), F.lit(0)))
-
-    cards = F.when(text.rlike(_CARD_GUARD), F.size(F.filter(card_runs(text), is_card))).otherwise(0)
-    no_cards = mask_cards(text)
-    no_ssn = mask_ssn(no_cards)
-    no_bearer = mask_bearer(no_ssn)
-    no_jwt = mask_jwt(no_bearer)
-    no_email = mask_email(no_jwt)
-    return F.array(
-        F.struct(F.lit("card").alias("rule"), cards.cast("bigint").alias("hits")),
-        F.struct(F.lit("ssn").alias("rule"), hits(no_cards, SSN).cast("bigint").alias("hits")),
-        F.struct(F.lit("bearer").alias("rule"), hits(no_ssn, BEARER).cast("bigint").alias("hits")),
-        F.struct(F.lit("jwt").alias("rule"), hits(no_bearer, JWT).cast("bigint").alias("hits")),
-        F.struct(F.lit("email").alias("rule"), hits(no_jwt, EMAIL).cast("bigint").alias("hits")),
-        F.struct(F.lit("ipv4").alias("rule"), hits(no_email, IPV4).cast("bigint").alias("hits")),
-    )
+def redactions(text: Column) -> Column:
+    """How many redaction marks a text holds."""
+    return ((F.length(text) - F.length(F.replace(text, F.lit(fixed.REDACTED), F.lit(""))))
+            / len(fixed.REDACTED)).cast("bigint")
 
 
 def denied_terms(extra: Iterable[str] = (), vendor: str | None = None) -> list[str]:

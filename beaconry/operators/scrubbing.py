@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from beaconry import fixed_values as fixed
 from beaconry.functions import scrub
 from beaconry.operators.normalize import flatten_mechanism
 from beaconry.operators.sampling import sample_errors
@@ -114,7 +115,16 @@ def scrub_task_args(df: DataFrame, vendor: str | None = None) -> DataFrame:
 
 
 def pii_audit(df: DataFrame, text: str, by: list[str]) -> DataFrame:
-    """How many spans of ``text`` each rule replaces, per ``by`` columns; one pass, partial sums before the shuffle."""
-    scanned = df.where(F.length(text) <= scrub.fixed.MAX_SCAN_CHARS)
-    return (scanned.select(*by, F.inline(scrub.rule_hits(F.col(text)))).where(F.col("hits") > 0)
-            .groupBy(*by, "rule").agg(F.sum("hits").alias("redactions")))
+    """How many spans of ``text`` each rule replaces, per ``by`` columns; one pass, partial sums before the shuffle.
+
+    The rules apply one after another, and each adds as many marks as it replaces spans.
+    """
+    staged = df.where(F.length(text) <= fixed.MAX_SCAN_CHARS).select(*by, F.col(text).alias("_before"))
+    staged = staged.withColumn("_marks", scrub.redactions(F.col("_before")))
+    for rule, mask in scrub.RULES.items():
+        staged = (staged.withColumn("_before", mask(F.col("_before")))
+                  .withColumn("_now", scrub.redactions(F.col("_before")))
+                  .withColumn(rule, F.col("_now") - F.col("_marks"))
+                  .withColumn("_marks", F.col("_now")))
+    totals = staged.groupBy(*by).agg(*[F.sum(rule).alias(rule) for rule in scrub.RULES])
+    return totals.unpivot(by, list(scrub.RULES), "rule", "redactions").where(F.col("redactions") > 0)

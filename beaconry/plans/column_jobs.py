@@ -20,7 +20,7 @@ SELECT substring(md5(n), 1, 16) AS query_hash, {sql.query_type('n')} AS query_ty
   count(*) AS statements
 FROM (SELECT {sql.normalized_query('statement')} AS n FROM ({t.STATEMENTS.sql()})) GROUP BY n""")
 def statement_catalog(spark, sf_dir):
-    return reports.statement_catalog(t.STATEMENTS.frame(spark, sf_dir))
+    return reports.statement_catalog(t.STATEMENTS.frame(spark, sf_dir, heavy=True))
 
 
 @job("trace_headers", f"""
@@ -30,7 +30,7 @@ SELECT event_id, {sql.trace_id('own_trace_header')} AS own_trace, tp_trace, tp_p
 FROM ({sql.with_traceparent(t.HEADERS.sql())})""")
 def trace_headers(spark, sf_dir):
     parsed = tc.parse_traceparent(F.col("traceparent"))
-    return t.HEADERS.frame(spark, sf_dir).withColumn("tp", parsed).select(
+    return t.HEADERS.frame(spark, sf_dir, heavy=True).withColumn("tp", parsed).select(
         "event_id", tc.normalize_trace_id(F.col("own_trace_header")).alias("own_trace"),
         F.col("tp.trace_id").alias("tp_trace"), F.col("tp.parent_span_id").alias("tp_parent"),
         F.col("tp.sampled").alias("tp_sampled"),

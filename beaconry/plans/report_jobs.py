@@ -75,13 +75,13 @@ SELECT query_hash, n AS normalized_query, count(*) AS calls, count(*) FILTER (WH
   round(avg(ms), 3) AS mean_ms, round(quantile_cont(ms, 0.5), 3) AS p50_ms, round(quantile_cont(ms, 0.95), 3) AS p95_ms,
   CAST(sum(greatest(coalesce(rows_affected, -1), 0)) AS BIGINT) AS rows FROM {_QUERIES} GROUP BY query_hash, n""")
 def query_stats(spark, sf_dir):
-    stats = reports.query_stats(normalize.normalize_db(t.STATEMENTS.frame(spark, sf_dir)))
+    stats = reports.query_stats(normalize.normalize_db(t.STATEMENTS.frame(spark, sf_dir, heavy=True)))
     return stats.withColumns({c: F.round(c, 3) for c in ("mean_ms", "p50_ms", "p95_ms")})
 
 
 def served_requests(spark, sf_dir):
     """Requests of the access log, normalized, with the route of their span."""
-    requests = ins.asgi_requests(t.ACCESS.frame(spark, sf_dir)).withColumns({
+    requests = ins.asgi_requests(t.ACCESS.frame(spark, sf_dir, heavy=True)).withColumns({
         "event_key": F.col("event_id"), "direction": F.lit("inbound"), "route": F.col("transaction")})
     return normalize.valid(normalize.normalize_http(requests, release="1.0"))
 

@@ -25,8 +25,10 @@ class Projection:
     columns: dict[str, str | tuple[str, str]]
     where: str = field(default="true")
 
-    def frame(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        return self.over(read(spark, sf_dir, self.table))
+    def frame(self, spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
+        """``heavy`` spreads a scan of few splits, for jobs whose column work outweighs that."""
+        source = read(spark, sf_dir, self.table)
+        return self.over(spread(source) if heavy else source)
 
     def over(self, source: DataFrame) -> DataFrame:
         exprs = [f"{e if isinstance(e, str) else e[0]} AS {n}" for n, e in self.columns.items()]

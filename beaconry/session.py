@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -28,15 +29,17 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="beaconry-")
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new path below the cluster's shared ``spark.checkpoint.dir``.
 
     Only where that setting is absent (tests on one machine) a temporary folder takes its place.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="beaconry-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _local_root()
     return f"{root.rstrip('/')}/beaconry/{label}-{uuid.uuid4().hex}"
 
 

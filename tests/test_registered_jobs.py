@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from beaconry.plans import ORACLES, QUERIES
 from compare import compare, duck
 
 
@@ -11,13 +12,13 @@ def con(sf_dir):
     return duck(sf_dir)
 
 
-@pytest.mark.parametrize("name", [n for n in entry_points.queries() if not n.startswith("stream_")])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith("stream_")])
 def test_job(spark, con, sf_dir, name):
     assert compare(spark, con, name, sf_dir) is None
 
 
 def test_every_job_has_a_check():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):

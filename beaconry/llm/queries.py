@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconry.llm import licenses, packing, tokens, urls
+from beaconry.llm import licenses, packing, simhash, tokens, urls
 
 Job = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Job] = {}
@@ -148,3 +148,10 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("good"))
     outcomes = pages.select("page_id", shown).join(labels, F.col("shown") == F.col("doc_id")).select("page_id", "good")
     return urls.judge_urls(pages, outcomes, RULES, SUFFIXES)
+
+
+# --- op10: SimHash near-dedup -------------------------------------------------------------------------------------
+
+@query("op10_simhash")
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3)

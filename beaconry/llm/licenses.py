@@ -96,7 +96,7 @@ def scan_licenses(docs: DataFrame, phrases: list[Template], templates: list[Temp
     One pass counts in how many documents the templates' words stand; the rarest word of each key phrase becomes its
     entry in the positional index. A second pass notes where such words stand, shifts the places by the word's position
     in its template, keeps those with the whole key phrase and measures how much of the template is there. A template
-    counts from the share ``least`` on. Since the rare word is one of the key phrase, the choice of word changes the
+    counts from the share ``least`` on; it has to begin inside the text. Since the rare word is one of the key phrase, the choice of word changes the
     cost and never the result. Neither pass shuffles texts.
 
     Returns doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, and places (array of label and

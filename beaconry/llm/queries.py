@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconry.llm import licenses, packing, simhash, suffix_dedup, tokens, urls
+from beaconry.llm import licenses, line_dedup, packing, simhash, suffix_dedup, tokens, urls
 
 Job = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Job] = {}
@@ -38,6 +38,35 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+# --- op2: line dedup ----------------------------------------------------------------------------------------------
+
+LINE_SQL = """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS pos FROM documents),
+sized AS (SELECT doc_id, pos, trim(line) AS line, length(trim(line)) + 1 AS size FROM lines),
+placed AS (SELECT *, sum(size) OVER (PARTITION BY doc_id ORDER BY pos) AS upto FROM sized),
+forward AS (
+  SELECT doc_id, min(pos) OVER w AS a, max(pos) OVER w AS b, list(line) OVER w AS body, max(upto) OVER w - min(upto - size) OVER w AS chars
+  FROM placed WINDOW w AS (PARTITION BY doc_id ORDER BY upto - size RANGE BETWEEN CURRENT ROW AND 239 FOLLOWING)),
+backward AS (
+  SELECT doc_id, min(pos) OVER w AS a, max(pos) OVER w AS b, list(line) OVER w AS body, max(upto) OVER w - min(upto - size) OVER w AS chars
+  FROM placed WINDOW w AS (PARTITION BY doc_id ORDER BY upto RANGE BETWEEN 239 PRECEDING AND CURRENT ROW)),
+windows AS (SELECT doc_id, a, b, array_to_string(body, chr(10)) AS body
+            FROM (SELECT * FROM forward UNION SELECT * FROM backward) WHERE chars >= 240),
+ranked AS (SELECT *, dense_rank() OVER (PARTITION BY body ORDER BY doc_id, a) AS nth FROM windows),
+gone AS (SELECT DISTINCT doc_id, unnest(range(a, b + 1)) AS pos FROM ranked WHERE nth > 1),
+marked AS (SELECT l.doc_id, l.pos, l.line, g.pos IS NOT NULL AS out FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.pos = l.pos)
+SELECT doc_id, count(*) AS n_lines, sum(out::BIGINT)::BIGINT AS n_removed,
+       md5(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT out), '')) AS text_md5
+FROM marked GROUP BY doc_id"""
+
+
+@query("op2_line_dedup", LINE_SQL)
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), least=240)
+    return kept.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
+
+
 # --- op4: license scans -------------------------------------------------------------------------------------------
 
 PHRASES = [

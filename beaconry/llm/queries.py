@@ -151,7 +151,7 @@ hosts AS (
                  THEN concat(regexp_extract(left(host, length(host) - length(suffix) - 1), '[^.]*$'), '.', suffix) ELSE host END AS domain FROM hosts1),
 domains AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY domain, suffix),
 tops AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM domains GROUP BY suffix),
-whole AS (SELECT (sum(k) + 1) / (sum(n) + 2) AS base FROM tops),
+whole AS (SELECT (sum(k) + 1) / (sum(n) + 2) AS base, sum(n) AS wn FROM tops),
 groups AS (
   SELECT 's' AS kind, n, k FROM tops UNION ALL SELECT 'd', n, k FROM domains UNION ALL SELECT 'h', n, k FROM hosts),
 sums AS (
@@ -168,7 +168,9 @@ c AS (
 tops1 AS (SELECT suffix, (k + cs * base) / (n + cs) AS m FROM tops, c, whole),
 domains1 AS (SELECT d.domain, (d.k + cd * t.m) / (d.n + cd) AS m FROM domains d JOIN tops1 t USING (suffix), c),
 post AS (SELECT h.host, h.k + ch * d.m AS a, h.n - h.k + ch * (1 - d.m) AS b FROM hosts h JOIN domains1 d USING (domain), c),
-rates AS (SELECT host, a / (a + b) AS rate, least(1.0, a / (a + b) + 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))) AS upper FROM post),
+rates AS (
+  SELECT host, a / (a + b) AS rate, CASE WHEN wn = 0 THEN 1 ELSE least(1.0, a / (a + b) + 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))) END AS upper
+  FROM post, whole),
 rules(rule, verdict, h, p) AS (VALUES ('org/', 'allow', 'org', '/'), ('example.org/es/', 'block', 'example.org', '/es/'),
   ('example.org/en/1', 'block', 'example.org', '/en/1'), ('com/fr/', 'allow', 'com', '/fr/'), ('com/de/', 'block', 'com', '/de/')),
 fit AS (

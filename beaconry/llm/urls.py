@@ -84,7 +84,7 @@ def host_reputation(outcomes: DataFrame, suffixes: tuple[str, ...], z: float) ->
 
     Rates shrink from the suffix to the registered domain to the host: each level's prior is a beta distribution around
     the mean of the level above, as strong as the spread between the groups of that level asks for. ``upper`` is the
-    posterior mean of the host and ``z`` posterior standard deviations, at most 1.
+    posterior mean of the host and ``z`` posterior standard deviations, at most 1; it is 1 where nothing is labelled at all.
     """
     s = suffix_of(F.col("host"), suffixes)
     hosts = (outcomes.groupBy("host").agg(F.count("good").alias("n"), F.coalesce(F.sum(F.col("good").cast("long")), F.lit(0)).alias("k"))
@@ -97,15 +97,15 @@ def host_reputation(outcomes: DataFrame, suffixes: tuple[str, ...], z: float) ->
     facts = F.broadcast(facts)
     base = (F.col("wk") + 1) / (F.col("wn") + 2)
     tops = tops.crossJoin(facts).withColumn("s_mean", (F.col("sk") + F.col("c_suffix") * base) / (F.col("sn") + F.col("c_suffix")))
-    domains = (domains.join(tops.select("suffix", "s_mean", "c_domain", "c_host"), "suffix")
+    domains = (domains.join(tops.select("suffix", "s_mean", "c_domain", "c_host", "wn"), "suffix")
                .withColumn("d_mean", (F.col("dk") + F.col("c_domain") * F.col("s_mean")) / (F.col("dn") + F.col("c_domain"))))
     a = F.col("k") + F.col("c_host") * F.col("d_mean")
     b = F.col("n") - F.col("k") + F.col("c_host") * (1 - F.col("d_mean"))
     mean = F.col("a") / (F.col("a") + F.col("b"))
     sd = F.sqrt(F.col("a") * F.col("b") / ((F.col("a") + F.col("b")) * (F.col("a") + F.col("b")) * (F.col("a") + F.col("b") + 1)))
-    return (hosts.join(domains.select("domain", "d_mean", "c_host"), "domain")
+    return (hosts.join(domains.select("domain", "d_mean", "c_host", "wn"), "domain")
             .withColumn("a", a).withColumn("b", b)
-            .select("host", "n", "k", mean.alias("mean"), F.least(F.lit(1.0), mean + z * sd).alias("upper")))
+            .select("host", "n", "k", mean.alias("mean"), F.when(F.col("wn") == 0, 1.0).otherwise(F.least(F.lit(1.0), mean + z * sd)).alias("upper")))
 
 
 def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: list[Rule], suffixes: tuple[str, ...] = (),

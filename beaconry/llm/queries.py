@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconry.llm import licenses, line_dedup, packing, simhash, suffix_dedup, tokens, topk, urls
+from beaconry.llm import licenses, line_dedup, packing, quality, simhash, suffix_dedup, tokens, topk, urls
 
 Job = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Job] = {}
@@ -67,6 +67,13 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
 
 
+# --- op3: quality classifier --------------------------------------------------------------------------------------
+
+@query("op3_quality")
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 # --- op4: license scans -------------------------------------------------------------------------------------------
 
 PHRASES = [

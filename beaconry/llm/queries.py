@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconry.llm import licenses, line_dedup, packing, quality, simhash, suffix_dedup, tokens, topk, urls
+from beaconry.llm import decontam, licenses, line_dedup, packing, quality, simhash, suffix_dedup, tokens, topk, urls
 
 Job = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Job] = {}
@@ -216,6 +216,13 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(pages, outcomes, RULES, SUFFIXES)
 
 
+# --- op9: benchmark decontamination -------------------------------------------------------------------------------
+
+@query("op9_decontamination")
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 # --- op10: SimHash near-dedup -------------------------------------------------------------------------------------
 
 @query("op10_simhash")

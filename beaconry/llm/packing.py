@@ -11,14 +11,16 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beaconry.llm.support import documents_of, slices
+from beaconry.llm.support import documents_of, kept_in_worker, slices
 
 # How the word vocabulary splits a lower-cased text.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 
+WORD_END = "</w>"  # fixed value: how tokens that close a word end in that vocabulary
+
 # Texts of other characters go to the library whole: there its normalizer composes marks and maps case.
 PLAIN = r"[\x00-\x1b\x20-įı-ɏ‐-‧]*"
-CACHE_WORDS = 400_000
+CACHE_ENTRIES = 500_000
 
 
 def binary_pieces(n: int, most: int) -> list[int]:
@@ -27,8 +29,51 @@ def binary_pieces(n: int, most: int) -> list[int]:
     return [most] * whole + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
+class Numbers(dict):
+    """Numbers strings in the order of their first use and remembers which are new."""
+
+    def __init__(self):
+        self.fresh: list[str] = []
+
+    def __missing__(self, text: str) -> int:
+        self.fresh.append(text)
+        self[text] = number = len(self)
+        return number
+
+    def of(self, texts: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, texts), np.int64, len(texts))
+
+
+class Ragged:
+    """Numbered rows of ids in one growing array."""
+
+    def __init__(self):
+        self.pool, self.bounds, self.rows = np.zeros(1 << 16, dtype=np.uint32), np.zeros(1 << 14, dtype=np.int64), 0
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        used = int(self.bounds[self.rows])
+        while used + len(ids) > len(self.pool):
+            self.pool = np.r_[self.pool, np.zeros_like(self.pool)]
+        while self.rows + len(sizes) + 1 > len(self.bounds):
+            self.bounds = np.r_[self.bounds, np.zeros_like(self.bounds)]
+        self.pool[used:used + len(ids)] = ids
+        self.bounds[self.rows + 1:self.rows + 1 + len(sizes)] = used + np.cumsum(sizes)
+        self.rows += len(sizes)
+
+    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the rows, one after the other, and how many each has."""
+        start = self.bounds[rows]
+        size = self.bounds[rows + 1] - start
+        place = np.arange(int(size.sum())) + np.repeat(start - np.cumsum(size) + size, size)
+        return self.pool[place], size
+
+
 class WordIds:
-    """Token ids of whole texts under a word vocabulary; the library encodes each distinct word once per task."""
+    """Token ids of whole texts under a word vocabulary.
+
+    White space separates runs, a run is split into words, and the library encodes each word that it has not seen. What
+    is known of runs and words stays with the Python worker, up to ``CACHE_ENTRIES`` of each.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -36,43 +81,47 @@ class WordIds:
         self.library = Tokenizer.from_file(path)
         self.split, self.plain = regex.compile(SPLIT), regex.compile(PLAIN)
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        vocab = self.library.get_vocab()
+        self.closes = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.closes[[i for token, i in vocab.items() if token.endswith(WORD_END)]] = True
         self.forget()
 
     def forget(self) -> None:
-        self.code: dict[str, int] = {}
-        self.pool = np.zeros(1 << 16, dtype=np.uint32)
-        self.bounds = np.zeros(1 << 14, dtype=np.int64)
-
-    def learn(self, words: set[str]) -> None:
-        fresh = list(words)
-        found = [e.ids for e in self.library.encode_batch_fast(fresh, add_special_tokens=False)]
-        n, used = len(self.code), int(self.bounds[len(self.code)])
-        ids = np.fromiter(itertools.chain.from_iterable(found), np.uint32)
-        while used + len(ids) > len(self.pool):
-            self.pool = np.r_[self.pool, np.zeros_like(self.pool)]
-        while n + len(fresh) + 1 > len(self.bounds):
-            self.bounds = np.r_[self.bounds, np.zeros_like(self.bounds)]
-        self.pool[used:used + len(ids)] = ids
-        self.bounds[n + 1:n + 1 + len(fresh)] = used + np.cumsum([len(x) for x in found])
-        self.code.update(zip(fresh, range(n, n + len(fresh)), strict=True))
-
-    def of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all words in a row, and how many each word has."""
-        fresh = set(words) - self.code.keys()
-        if fresh:
-            if len(self.code) > CACHE_WORDS:
-                self.forget()
-                fresh = set(words)
-            self.learn(fresh)
-        codes = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
-        start, size = self.bounds[codes], self.bounds[codes + 1] - self.bounds[codes]
-        total = int(size.sum())
-        place = np.arange(total) - np.repeat(np.cumsum(size) - size, size) + np.repeat(start, size)
-        return self.pool[place], size
+        self.words, self.word_ids = Numbers(), Ragged()
+        self.runs, self.run_ids = Numbers(), Ragged()
+
+    def learn_words(self) -> None:
+        """Encode the new words, spaces between them; an id that closes a word ends its share."""
+        fresh, self.words.fresh = self.words.fresh, []
+        for at in range(0, len(fresh), 4096):
+            some = fresh[at:at + 4096]
+            ids = np.array(self.library.encode(" ".join(some), add_special_tokens=False).ids, dtype=np.uint32)
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) != len(some):
+                raise ValueError("the vocabulary does not close every word")
+            self.word_ids.add(ids, np.diff(ends, prepend=0))
+
+    def learn_runs(self) -> None:
+        fresh, self.runs.fresh = self.runs.fresh, []
+        for at in range(0, len(fresh), 1 << 16):
+            words = [self.split.findall(run) for run in fresh[at:at + (1 << 16)]]
+            codes = self.words.of(list(itertools.chain.from_iterable(words)))
+            self.learn_words()
+            ids, size = self.word_ids.take(codes)
+            ends = np.r_[0, np.cumsum(size)][np.cumsum([len(w) for w in words])]
+            self.run_ids.add(ids, np.diff(ends, prepend=0))
+
+    def of_runs(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all runs in a row, and how many each run has."""
+        if max(len(self.runs), len(self.words)) > CACHE_ENTRIES:
+            self.forget()
+        codes = self.runs.of(runs)
+        self.learn_runs()
+        return self.run_ids.take(codes)
 
     def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
         for start, end in slices(texts):
-            words: list[str] = []
+            runs: list[str] = []
             counts, whole = [], {}
             for i in range(start, end):
                 text = texts[i]
@@ -80,10 +129,10 @@ class WordIds:
                     whole[i] = np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
                     found = []
                 else:
-                    found = self.split.findall(text.lower())
-                words += found
+                    found = text.lower().split()
+                runs += found
                 counts.append(len(found))
-            ids, size = self.of_words(words)
+            ids, size = self.of_runs(runs)
             ends = np.r_[0, np.cumsum(size)][np.r_[0, np.cumsum(counts)]]
             for k, i in enumerate(range(start, end)):
                 yield whole[i] if i in whole else ids[ends[k]:ends[k + 1]]
@@ -109,7 +158,7 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int, most: int = 4096, id_col
             names=["doc_id", "start", "length", "ids", "doc_tokens"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordIds(vocabulary)
+        encode = kept_in_worker(f"words {vocabulary}", lambda: WordIds(vocabulary))
         for batch in batches:
             out: list[tuple] = []
             held = 0

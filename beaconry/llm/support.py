@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +13,7 @@ from beaconry.session import scratch_dir
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # Characters of one batch that a Python worker holds in expanded form at a time.
-BATCH_CHARS = 1 << 21
+BATCH_CHARS = 1 << 20
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -22,6 +23,18 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def kept_in_worker(key: str, make):
+    """The object that ``make`` built for ``key`` in this Python worker; Spark hands one worker many tasks.
+
+    Tasks unpickle their functions anew, so what shall outlive a task is held by the interpreter itself. Only caches of
+    bounded size belong here; a task that lands in a new worker builds its own.
+    """
+    held = sys.__dict__.setdefault("_beaconry_kept", {})
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case; everything else, other scripts' capitals too, stays."""
     return F.translate(text, UPPER, LOWER)

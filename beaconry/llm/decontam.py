@@ -90,7 +90,7 @@ def groups(blobs: list[bytes]) -> Iterator[tuple[int, list[np.ndarray]]]:
 
 @dataclass
 class Passages:
-    """TF-IDF rows of the passages of some texts, sparse, sorted by passage."""
+    """TF-IDF rows of the passages of some texts, sparse, sorted by passage; the idf is squared, against function words."""
 
     text: np.ndarray  # text of each passage
     start: np.ndarray  # its first word there
@@ -112,7 +112,7 @@ class Passages:
         known = word >= 0
         key, tf = np.unique(row[known] * np.int64(len(idf)) + word[known], return_counts=True)
         row, word = key // len(idf), key % len(idf)
-        value = ((1 + np.log(tf)) * idf[word]).astype(np.float32)
+        value = ((1 + np.log(tf)) * idf[word] ** 2).astype(np.float32)
         norm = np.sqrt(np.bincount(row, value.astype(np.float64) ** 2, len(text)))
         return Passages(text, start, row, word, (value / np.maximum(norm, 1e-9)[row]).astype(np.float32))
 
@@ -164,8 +164,8 @@ def latent_axes(idf: np.ndarray, product: np.ndarray) -> np.ndarray:
     """Words x rank: right singular vectors of A by the one-pass randomised (Nyström) form, the leading ones damped.
 
     The few leading axes hold the function words of each language and outweigh all others together. Those above the
-    median power of the kept axes are scaled down to it; scaling the weak ones up as well would tell apart every single
-    passage of a small corpus.
+    median power of the kept axes are scaled half way down to it (in the logarithm), so that an item that is copied very
+    often, and so becomes an axis itself, keeps its weight.
     """
     omega = test_matrix(len(idf)).astype(np.float64)
     size = np.linalg.norm(product)
@@ -180,7 +180,7 @@ def latent_axes(idf: np.ndarray, product: np.ndarray) -> np.ndarray:
     power = sizes ** 2 - shift
     keep = np.flatnonzero(power > 1e-6 * power.max())[:RANK]
     power = power[keep]
-    return (axes[:, keep] * np.minimum(1, np.sqrt(np.median(power) / power))).astype(np.float32)
+    return (axes[:, keep] * np.minimum(1, (np.median(power) / power) ** 0.25)).astype(np.float32)
 
 
 def unit(rows: np.ndarray) -> np.ndarray:

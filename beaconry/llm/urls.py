@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beaconry.llm.support import ascii_lower
+from beaconry.llm.support import ascii_lower, staged
 
 PARTS = r"://([^/?#]*)([^?#]*)"
 
@@ -89,6 +89,7 @@ def host_reputation(outcomes: DataFrame, suffixes: tuple[str, ...], z: float) ->
     s = suffix_of(F.col("host"), suffixes)
     hosts = (outcomes.groupBy("host").agg(F.count("good").alias("n"), F.coalesce(F.sum(F.col("good").cast("long")), F.lit(0)).alias("k"))
              .withColumn("suffix", s).withColumn("domain", registered_domain(F.col("host"), F.col("suffix"))))
+    hosts = staged(hosts, "hosts")  # a row for each host, read by every level
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("dn"), F.sum("k").alias("dk"))
     tops = domains.groupBy("suffix").agg(F.sum("dn").alias("sn"), F.sum("dk").alias("sk"))
     whole = tops.agg(F.coalesce(F.sum("sk"), F.lit(0)).alias("wk"), F.coalesce(F.sum("sn"), F.lit(0)).alias("wn"))

@@ -6,24 +6,28 @@ have their anchors at equal places. An anchor is chosen by a run of neighbouring
 the unit of work. Suffixes that start at anchors whose k bytes stand nowhere else cannot repeat and leave at once; blocks
 that are repeated whole are settled by count. What is left is the rims of repeats: their suffixes are range-partitioned by
 leading bytes with sampled splitters, sorted in each bucket by multikey quicksort, compared with their neighbours, and
-compared across the buckets' boundaries where a run of equal leading bytes may go on in the next one.
+compared across the buckets' boundaries where suffixes of equal leading bytes are too many for one bucket.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from beaconry.llm.support import documents_of, staged
 
 PLACE_BITS = 24  # of an anchor's key; texts are scanned in stretches below 2 ** PLACE_BITS bytes
 STRETCH = 1 << 18
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
+SAMPLES = 20  # suffixes that are sampled for each splitter
+LEAD = 16  # leading bytes by which suffixes are ordered; a hash of k bytes tells equal leads apart
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)  # odd
 
 
@@ -222,25 +226,65 @@ class Bucket:
                 yield o, rows, classes.ravel()
 
 
-def compare_buckets(blocks: DataFrame, least: int, k: int) -> DataFrame:
-    """Repeated strings of ``blocks`` (doc_id, mark, p, a, b, n, bytes), sorted in buckets of leading bytes.
+@dataclass
+class Splitters:
+    """Borders of the buckets of suffixes, and the k-byte strings whose suffixes fill more than one bucket."""
 
-    Rows have first and last, the places of neighbouring repeated strings of a block with n = 1; or, for blocks at the
-    bucket's rims, one distinct string each with its 128-bit hash, to be compared with those of other buckets: open says
-    that it awaits that, the others only answer.
+    borders: np.ndarray
+    heavy: np.ndarray
+
+    @staticmethod
+    def keys(lead: list[bytes], gram: np.ndarray, mark: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """Sort keys: leading bytes, hash of the k bytes, and text and place to split suffixes that agree in both."""
+        tail = np.stack([gram, mark, p], axis=1).astype(">i8").view("S24").ravel()
+        return np.array([x.ljust(LEAD, b"\0") + t.ljust(24, b"\0") for x, t in zip(lead, tail.tolist(), strict=True)], dtype=f"S{LEAD + 24}")
+
+    @staticmethod
+    def of(sample: list, buckets: int) -> Splitters:
+        """Quantiles of the sampled suffixes (lead, gram, mark, p).
+
+        A border is moved in front of all suffixes with its leading bytes, unless these alone reach over two borders.
+        """
+        if not sample:
+            return Splitters(np.zeros(0, f"S{LEAD + 24}"), np.zeros(0, np.int64))
+        gram = np.array([r.gram for r in sample], dtype=np.int64)
+        keys = Splitters.keys([bytes(r.lead) for r in sample], gram, np.array([r.mark for r in sample]), np.array([r.p for r in sample]))
+        order = np.argsort(keys, kind="stable")
+        at = order[np.unique(np.arange(1, buckets) * len(order) // buckets)]
+        fronts, times = np.unique(gram[at], return_counts=True)
+        heavy = fronts[times > 1]
+        whole = [key if g in set(heavy.tolist()) else key[:LEAD + 8] for key, g in zip(keys[at].tolist(), gram[at].tolist(), strict=True)]
+        return Splitters(np.unique(np.array(whole, dtype=f"S{LEAD + 24}")), heavy)
+
+
+def deal(blocks: DataFrame, splitters: Splitters, k: int) -> DataFrame:
+    """``blocks`` with the number of the bucket of each."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = lambda name, batch=batch: batch.column(batch.schema.get_field_index(name))
+            lead = [x[i:i + min(LEAD, k)] for x, i in zip(column("bytes").to_pylist(), (column("p").to_numpy() - column("a").to_numpy()).tolist(), strict=True)]
+            keys = Splitters.keys(lead, column("gram").to_numpy(), column("mark").to_numpy(), column("p").to_numpy())
+            yield batch.append_column("bucket", pa.array(np.searchsorted(splitters.borders, keys, side="right"), pa.int64()))
+
+    schema = StructType([*blocks.schema.fields, StructField("bucket", LongType())])
+    return blocks.mapInArrow(work, schema)
+
+
+def compare_buckets(blocks: DataFrame, heavy: np.ndarray, least: int, k: int) -> DataFrame:
+    """Repeated strings of ``blocks`` (doc_id, mark, p, a, b, n, gram, bytes, bucket), sorted bucket by bucket.
+
+    Rows have first and last, the places of neighbouring repeated strings of a block with n = 1; or, for blocks of
+    ``heavy`` k-byte strings, which lie in several buckets, one distinct string each with its 128-bit hash, to be compared
+    with those of other buckets: open says that it awaits that, the others only answer.
     """
     fields = [("first", pa.int64()), ("last", pa.int64()), ("left_hash", pa.int64()), ("right_hash", pa.int64()), ("open", pa.bool_())]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [b for b in batches if b.num_rows]
-        if not parts:
-            return
-        rows = pa.Table.from_batches(parts).combine_chunks()
+        rows = pa.Table.from_batches(list(batches)).combine_chunks()
         p, a, b, n = (rows.column(c).to_numpy() for c in ("p", "a", "b", "n"))
         bodies = rows.column("bytes").to_pylist()
         bucket = Bucket(bodies, p, a, b, least, k)
-        # groups are numbered in the order of their leading bytes, which is also the range partitioner's
-        rim = (bucket.group == 0) | (bucket.group == bucket.group.max())
+        rim = np.isin(rows.column("gram").to_numpy(), heavy)
         single = n == 1
         hits: list[tuple[np.ndarray, np.ndarray]] = []
         asked: list[tuple[int, int, bytes, bool]] = []
@@ -282,7 +326,8 @@ def compare_buckets(blocks: DataFrame, least: int, k: int) -> DataFrame:
         return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "mark", *[f for f, _ in fields]])
 
     kind = blocks.schema["doc_id"].dataType.simpleString()
-    return blocks.mapInArrow(work, f"doc_id {kind}, mark long, first long, last long, left_hash long, right_hash long, open boolean")
+    return blocks.groupBy("bucket").applyInArrow(
+        work, f"doc_id {kind}, mark long, first long, last long, left_hash long, right_hash long, open boolean")
 
 
 def cut(texts: DataFrame, ranges: DataFrame) -> DataFrame:
@@ -338,20 +383,21 @@ def remove_repeats(docs: DataFrame, least: int = 400, id_col: str = "doc_id", te
     twice = kinds.filter("n > 1").select(F.col("gram").alias("g"), F.col("body").alias("h"))
     whole = anchors.join(twice, (F.col("gram") == F.col("g")) & (F.col("body") == F.col("h"))).select("doc_id", "mark", F.col("a").alias("first"), F.col("b").alias("last"))
     # the others, and one of each block that they may share strings with
-    rims = kinds.filter("kinds > 1 AND fewest = 1").select("n", "one.doc_id", "one.mark", "one.p", "one.a", "one.b")
-    wanted = rims.groupBy(F.col("doc_id").alias("w_id"), F.col("mark").alias("w_mark")).agg(F.collect_list(F.struct("n", "p", "a", "b")).alias("blocks"))
+    rims = kinds.filter("kinds > 1 AND fewest = 1").select("n", "gram", "one.doc_id", "one.mark", "one.p", "one.a", "one.b")
+    wanted = rims.groupBy(F.col("doc_id").alias("w_id"), F.col("mark").alias("w_mark")).agg(F.collect_list(F.struct("n", "gram", "p", "a", "b")).alias("blocks"))
     at = F.col("at")
     blocks = staged(
         texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("mark") == F.col("w_mark")))
         .select("doc_id", "mark", "body", F.explode("blocks").alias("at"))
-        .select("doc_id", "mark", at["p"].alias("p"), at["a"].alias("a"), at["b"].alias("b"), at["n"].alias("n"),
+        .select("doc_id", "mark", at["p"].alias("p"), at["a"].alias("a"), at["b"].alias("b"), at["n"].alias("n"), at["gram"].alias("gram"),
                 F.substring(F.col("body"), (at["a"] + 1).cast("int"), (at["b"] - at["a"] + least).cast("int")).alias("bytes")), "suffixes")
-    total = blocks.agg(F.coalesce(F.sum(F.length("bytes")), F.lit(0))).first()[0]
-    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES))
-    lead = F.substring(F.col("bytes"), (F.col("p") - F.col("a") + 1).cast("int"), F.lit(k))
-    rest = F.substring(F.col("bytes"), (F.col("p") - F.col("a") + k + 1).cast("int"), F.lit(16))
-    dealt = blocks.repartitionByRange(buckets, lead, rest, F.col("mark"), F.col("p"))
-    found = staged(compare_buckets(dealt, least, k), "compared")
+    size = blocks.agg(F.coalesce(F.sum(F.length("bytes")), F.lit(0)).alias("bytes"), F.count("*").alias("rows")).first()
+    buckets = -(-size.bytes // BUCKET_BYTES)
+    lead = F.substring(F.col("bytes"), (F.col("p") - F.col("a") + 1).cast("int"), F.lit(min(LEAD, k))).alias("lead")
+    share = max(1, size.rows // max(1, SAMPLES * buckets))
+    sample = blocks.filter(F.pmod(F.xxhash64("doc_id", "mark", "p"), F.lit(share)) == 0).select(lead, "gram", "mark", "p")
+    splitters = Splitters.of(sample.collect() if buckets > 1 else [], buckets)  # some SAMPLES rows for each bucket
+    found = staged(compare_buckets(deal(blocks, splitters, k), splitters.heavy, least, k), "compared")
     inner = found.filter("left_hash IS NULL").select("doc_id", "mark", "first", "last")
     asked = found.filter("left_hash IS NOT NULL")
     shared = asked.groupBy(F.col("left_hash").alias("l"), F.col("right_hash").alias("r")).agg(F.count("*").alias("c")).filter("c > 1")

@@ -73,6 +73,9 @@ JWT = r"\beyJ[A-Za-z0-9_-]*\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\b"
 EMAIL = r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b"
 IPV4 = r"\b(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}\b"
 
+# Propagation headers.
+TRACEPARENT = r"^\s*([0-9a-f]{2})-([0-9a-f]{32})-([0-9a-f]{16})-([0-9a-f]{2})(?:\s|$)"
+
 # Statement normalization.
 SQL_STRING = r"'[^']*'"
 SQL_NUMBER = r"\b\d+(\.\d+)?\b"

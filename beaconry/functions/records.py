@@ -32,9 +32,15 @@ def detect_query_type(statement: Column) -> Column:
 
 # ---- requests ----
 
+def _path_part(url: Column) -> Column:
+    """The path of a path or URL without query and fragment, and without the ``;`` parameters of its last segment."""
+    path = F.regexp_extract(url, r"^(?:[a-zA-Z][\w+.-]*:)?(?://[^/?#]*)?([^?#]*)", 1)
+    return F.regexp_replace(path, ";[^/]*$", "")
+
+
 def strip_query(path: Column) -> Column:
     """The path part of a path or URL; the input itself when that part is empty."""
-    return F.coalesce(non_empty(F.regexp_extract(path, r"^(?:[a-zA-Z][\w+.-]*:)?(?://[^/?#]*)?([^?#]*)", 1)), path)
+    return F.coalesce(non_empty(_path_part(path)), path)
 
 
 def url_host(url: Column) -> Column:
@@ -42,8 +48,7 @@ def url_host(url: Column) -> Column:
 
 
 def url_path(url: Column) -> Column:
-    return F.coalesce(
-        non_empty(F.regexp_extract(url, r"^(?:[a-zA-Z][\w+.-]*:)?(?://[^/?#]*)?([^?#]*)", 1)), F.lit("/"))
+    return F.coalesce(non_empty(_path_part(url)), F.lit("/"))
 
 
 def status_class(status: Column) -> Column:
@@ -100,8 +105,8 @@ def client_ip(forwarded_for: Column, remote_addr: Column, send_default_pii: bool
 
 
 def pick_user(user_id: list[Column], email: Column, ip: list[Column]) -> Column:
-    """struct<id, email, ip>, or null when none of the three is known."""
-    chosen, address = F.coalesce(*user_id).cast("string"), F.coalesce(*ip)
+    """struct<id, email, ip>, or null when none of the three is known. An empty id or address is not known."""
+    chosen, address = first_non_empty(*[c.cast("string") for c in user_id]), first_non_empty(*ip)
     return F.when(chosen.isNotNull() | email.isNotNull() | address.isNotNull(),
                   F.struct(chosen.alias("id"), email.alias("email"), address.alias("ip")))
 
@@ -111,7 +116,7 @@ def retry_after_seconds(value: Column, at: Column) -> Column:
     text = F.trim(value)
     count = F.when(text.rlike(r"^[+-]?\d+$"), text).try_cast("double")
     date = F.regexp_replace(text, r"^\w{3}, ", "")
-    until = F.try_to_timestamp(date, F.lit("dd MMM yyyy HH:mm:ss z"))
+    until = F.coalesce(*[F.try_to_timestamp(date, F.lit(f"d MMM yyyy HH:mm:ss {zone}")) for zone in ("z", "xx")])
     wait = F.coalesce(count, (F.unix_micros(until) - F.unix_micros(at)) / F.lit(1e6), F.lit(0.0))
     return F.least(F.greatest(wait, F.lit(0.0)), F.lit(float(fixed.MAX_RETRY_AFTER_SECONDS)))
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, functions as F, types as T
 
 from beaconry import fixed_values as fixed
 
-_CARD_GUARD = r"\d(?:[ -]?\d){12}"
+_CARD_GUARD = r"(?U)\d(?:[ -]?\d){12}"
 
 # The patterns count letters of any alphabet as word characters. The flag says so to Java; Python does it anyway.
 CARD_RUN, SSN, BEARER, JWT, EMAIL, IPV4 = (
@@ -29,7 +29,7 @@ def _guarded(text: Column, guard: Callable[[Column], Column], mask: Callable[[Co
 
 
 def _has_digit(text: Column) -> Column:
-    return text.rlike(r"\d")
+    return text.rlike(r"(?U)\d")
 
 
 def card_runs(text: Column) -> Column:
@@ -81,16 +81,17 @@ RULES = {"card": mask_cards, "ssn": mask_ssn, "bearer": mask_bearer, "jwt": mask
 _OPT_OUT = ("email", "ipv4")
 
 
-def scrub_text(text: Column, send_default_pii: bool = False) -> Column:
+def scrub_text(text: Column, send_default_pii: bool = False, max_chars: int | None = None) -> Column:
     """Cards, SSNs, bearer tokens and JWTs always; e-mail and IPv4 addresses unless opted in.
 
-    Texts over the scan limit come back unscanned, as the contract says.
+    The whole text is scanned. The contract's clients leave texts over ``fixed.MAX_SCAN_CHARS`` unscanned; pass that
+    as ``max_chars`` to reproduce it.
     """
     out = text
     for rule, mask in RULES.items():
         if not (send_default_pii and rule in _OPT_OUT):
             out = mask(out)
-    return F.when(F.length(text) > fixed.MAX_SCAN_CHARS, text).otherwise(out)
+    return out if max_chars is None else F.when(F.length(text) > max_chars, text).otherwise(out)
 
 
 def redactions(text: Column) -> Column:
@@ -117,7 +118,9 @@ def redact_keys(value: Column, data_type: T.DataType, extra: Iterable[str] = (),
     """Replace the values of sensitive keys anywhere inside a struct, map or array column.
 
     The walk happens over the schema while the plan is built; what runs is native expressions. A struct field with
-    a sensitive name becomes a string field; a null one stays null because the wire form leaves it out.
+    a sensitive name becomes a string field; a null one stays null because the wire form leaves it out. Whether a map
+    has a sensitive key shows only at run time, so the values of a map become text where they are not: JSON for nested
+    ones, which can then stand beside the mark.
     """
     terms = denied_terms(extra, vendor)
     rule = _key_rule(terms)
@@ -134,7 +137,9 @@ def redact_keys(value: Column, data_type: T.DataType, extra: Iterable[str] = (),
             if isinstance(kind.valueType, T.StringType):
                 return F.transform_values(
                     col, lambda k, v: F.when(F.lower(k).rlike(rule), F.lit(fixed.REDACTED)).otherwise(v))
-            return F.transform_values(col, lambda _, v: walk(v, kind.valueType))
+            nested = not isinstance(kind.valueType, T.AtomicType)
+            return F.transform_values(col, lambda k, v: F.when(F.lower(k).rlike(rule), F.lit(fixed.REDACTED)).otherwise(
+                F.to_json(walk(v, kind.valueType)) if nested else v.cast("string")))
         if isinstance(kind, T.ArrayType) and not isinstance(kind.elementType, T.AtomicType):
             return F.transform(col, lambda item: walk(item, kind.elementType))
         return col
@@ -146,14 +151,12 @@ def scrub_values(value: Column, data_type: T.DataType, send_default_pii: bool =
     """Apply ``scrub_text`` to every string inside a column, except below the keys the contract leaves alone."""
     unscanned = set(fixed.UNSCANNED_KEYS)
 
-    def walk(col: Column, kind: T.DataType, depth: int) -> Column:
-        if depth > fixed.MAX_SCAN_DEPTH:
-            return col
+    def walk(col: Column, kind: T.DataType) -> Column:
         if isinstance(kind, T.StringType):
             return scrub_text(col, send_default_pii)
         if isinstance(kind, T.StructType):
             fields = [
-                (col[f.name] if f.name.lower() in unscanned else walk(col[f.name], f.dataType, depth + 1)).alias(f.name)
+                (col[f.name] if f.name.lower() in unscanned else walk(col[f.name], f.dataType)).alias(f.name)
                 for f in kind.fields
             ]
             return F.when(col.isNotNull(), F.struct(*fields))
@@ -161,12 +164,12 @@ def scrub_values(value: Column, data_type: T.DataType, send_default_pii: bool =
             return F.transform_values(
                 col,
                 lambda k, v: F.when(F.lower(k).isin(fixed.UNSCANNED_KEYS), v)
-                .otherwise(walk(v, kind.valueType, depth + 1)))
+                .otherwise(walk(v, kind.valueType)))
         if isinstance(kind, T.ArrayType):
-            return F.transform(col, lambda item: walk(item, kind.elementType, depth + 1))
+            return F.transform(col, lambda item: walk(item, kind.elementType))
         return col
 
-    return walk(value, data_type, 0)
+    return walk(value, data_type)
 
 
 # ---- free-form JSON: the one place that needs Python, because its shape is not known to the plan ----
@@ -189,37 +192,60 @@ def _mask_card(match: re.Match) -> str:
 
 
 def _scrub_str(text: str, send_default_pii: bool) -> str:
-    if len(text) > fixed.MAX_SCAN_CHARS:
-        return text
     out = _CARD_RE.sub(_mask_card, text)
     for pattern in _ALWAYS_RE + ([] if send_default_pii else _OPTIONAL_RE):
         out = pattern.sub(fixed.REDACTED, out)
     return out
 
 
-def _scrub_node(node, terms: list[str], send_default_pii: bool, scan: bool, depth: int):
-    if isinstance(node, str):
-        return _scrub_str(node, send_default_pii) if scan else node
-    scan = scan and depth < fixed.MAX_SCAN_DEPTH
-    if isinstance(node, list):
-        return [_scrub_node(item, terms, send_default_pii, scan, depth + 1) for item in node]
-    if isinstance(node, dict):
-        return {
-            key: fixed.REDACTED if _is_denied(key, terms)
-            else _scrub_node(item, terms, send_default_pii, scan and key.lower() not in fixed.UNSCANNED_KEYS, depth + 1)
-            for key, item in node.items()
-        }
-    return node
+def _scrub_tree(root, terms: list[str], send_default_pii: bool, scan: bool):
+    """Scrub a parsed document in place, however deep it is: what is still to be visited waits on a list."""
+    holder = [root]
+    waiting = [(holder, 0, scan)]
+    while waiting:
+        parent, at, scan_here = waiting.pop()
+        node = parent[at]
+        if isinstance(node, str):
+            parent[at] = _scrub_str(node, send_default_pii) if scan_here else node
+        elif isinstance(node, list):
+            waiting += [(node, i, scan_here) for i in range(len(node))]
+        elif isinstance(node, dict):
+            for key in node:
+                if _is_denied(key, terms):
+                    node[key] = fixed.REDACTED
+                else:
+                    waiting.append((node, key, scan_here and key.lower() not in fixed.UNSCANNED_KEYS))
+    return holder[0]
+
+
+def _scrub_broken(text: str, denied: re.Pattern, send_default_pii: bool, scan: bool) -> str:
+    """Text that is no JSON, or nests too deep to be parsed: what follows a sensitive key goes, up to the next member
+    that is not nested in it, and the rest is scanned as plain text."""
+    out = denied.sub(lambda m: m[1] + f'"{fixed.REDACTED}"', text)
+    return _scrub_str(out, send_default_pii) if scan else out
+
+
+def _to_json(node) -> str:
+    text = json.dumps(node, separators=(",", ":"), ensure_ascii=False)
+    try:
+        text.encode("utf-8")
+    except UnicodeEncodeError:  # half of a surrogate pair has no UTF-8 form: write all beyond ASCII as escapes
+        return json.dumps(node, separators=(",", ":"))
+    return text
 
 
 def scrub_json(document: Column, extra: Iterable[str] = (), send_default_pii: bool = False,
                vendor: str | None = None, values: bool = True, keep: Iterable[str] = ()) -> Column:
-    """Both scrubbing layers over free-form JSON text, in Arrow batches. Text that is no JSON comes back as it is.
+    """Both scrubbing layers over free-form JSON text, in Arrow batches. Text that is no JSON is scrubbed as text.
 
-    ``keep`` names top-level keys that stay, such as the session id the records are joined on.
+    ``keep`` names top-level keys that stay, such as the session id the records are joined on. No document fails the
+    job.
     """
     kept = tuple(keep)
     terms = denied_terms(extra, vendor)
+    word = "|".join(re.escape(term) for term in terms)
+    # a sensitive member of broken JSON: its string, its brackets up to the end of the text, or its bare value
+    denied = re.compile(rf"""("[^"]*(?:{word})[^"]*"\s*:\s*)(?:"(?:[^"\\]|\\.)*"?|[\[{{].*|[^,}}\]\s]+)""", re.IGNORECASE | re.DOTALL)
 
     @F.pandas_udf(T.StringType())
     def scrub_batch(batch: pd.Series) -> pd.Series:
@@ -228,12 +254,13 @@ def scrub_json(document: Column, extra: Iterable[str] = (), send_default_pii: bo
                 return None
             try:
                 node = json.loads(text)
-                clean = _scrub_node(node, terms, send_default_pii, values, 0)
-                if isinstance(node, dict):
-                    clean.update((key, node[key]) for key in kept if key in node)
-                return json.dumps(clean, separators=(",", ":"), ensure_ascii=False)
+                top = {key: node[key] for key in kept if key in node} if isinstance(node, dict) else {}
+                clean = _scrub_tree(node, terms, send_default_pii, values)
+                if top:
+                    clean.update(top)
+                return _to_json(clean)
             except (ValueError, RecursionError):
-                return text
+                return _scrub_broken(text, denied, send_default_pii, values)
         return batch.map(one)
 
     return scrub_batch(document)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-_ID_PART = r"^\s*([0-9a-f]{2})-([0-9a-f]{32})-([0-9a-f]{16})-([0-9a-f]{2})(?:\s|$)"
+from beaconry.fixed_values import TRACEPARENT
 
 
 def _hex_id(value: Column, width: int) -> Column:
@@ -25,9 +25,9 @@ def normalize_span_id(value: Column) -> Column:
 def parse_traceparent(header: Column) -> Column:
     """struct<trace_id, parent_span_id, sampled> of a valid version-00 header, else null."""
     text = F.lower(F.trim(header))
-    version, flags = F.regexp_extract(text, _ID_PART, 1), F.regexp_extract(text, _ID_PART, 4)
-    trace_id = normalize_trace_id(F.regexp_extract(text, _ID_PART, 2))
-    span_id = normalize_span_id(F.regexp_extract(text, _ID_PART, 3))
+    version, flags = F.regexp_extract(text, TRACEPARENT, 1), F.regexp_extract(text, TRACEPARENT, 4)
+    trace_id = normalize_trace_id(F.regexp_extract(text, TRACEPARENT, 2))
+    span_id = normalize_span_id(F.regexp_extract(text, TRACEPARENT, 3))
     odd = F.substring(flags, 2, 1).isin(list("13579bdf"))
     return F.when((version == "00") & trace_id.isNotNull() & span_id.isNotNull(),
                   F.struct(trace_id.alias("trace_id"), span_id.alias("parent_span_id"), odd.alias("sampled")))
@@ -48,8 +48,10 @@ def baggage_members(header: Column, vendor: str) -> Column:
     others = F.filter(members, lambda m: ~F.startswith(F.lower(m), F.lit(prefix)))
     entries = F.transform(own, lambda m: F.struct(
         F.lower(F.substring_index(F.substr(m, F.lit(len(prefix) + 1)), "=", 1)).alias("key"),
-        F.when(m.contains("="), F.substring_index(m, "=", -1)).alias("value")))
-    return F.struct(F.map_from_entries(entries).alias("own"), F.array_join(others, ",").alias("preserved"))
+        F.when(m.contains("="), F.regexp_replace(m, "^[^=]*=", "")).alias("value")))
+    # of members that name one key the last counts
+    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]))
+    return F.struct(F.map_from_entries(last).alias("own"), F.array_join(others, ",").alias("preserved"))
 
 
 def sampling_unit(key: Column) -> Column:

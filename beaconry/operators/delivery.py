@@ -103,7 +103,8 @@ def delivery_outcome(attempts: DataFrame) -> DataFrame:
     """One row per payload of an attempt log, with what became of it.
 
     Reads client_id, event_id, path, ts_ms, attempt (1..5), status (0: network error), is_drain and, where logged,
-    raw_bytes and wire_bytes. A 401 ends the client: payloads first tried after it are dropped untried.
+    raw_bytes and wire_bytes. A 401 ends the client: payloads first tried after it are dropped untried. A payload whose
+    last attempt may be repeated, and has attempts left, is pending.
     """
     # path and is_drain are one per post, so they can be grouping keys; what is left to fold is plain numbers
     sizes = [F.max(c).alias(c) for c in ("raw_bytes", "wire_bytes") if c in attempts.columns]
@@ -120,7 +121,8 @@ def delivery_outcome(attempts: DataFrame) -> DataFrame:
     exhausted = F.when(F.col("path").isin(fixed.PERSISTABLE_PATHS) & ~F.col("is_drain"), "persisted").when(
         F.col("is_drain"), "kept").otherwise("dropped")
     outcome = (F.when(untried, "dropped_disabled").when(kind == "auth_stop", "auth_stopped")
-               .when(kind == "rejected", "rejected").when(kind == "sent", "sent").otherwise(exhausted))
+               .when(kind == "rejected", "rejected").when(kind == "sent", "sent")
+               .when(F.col("attempts") < fixed.MAX_ATTEMPTS, "pending").otherwise(exhausted))
     return folded.join(stops, "client_id", "left").withColumn("outcome", outcome).drop("_stop")
 
 

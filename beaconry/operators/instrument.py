@@ -148,6 +148,7 @@ def outbound_requests(calls: DataFrame, ingest_host: str) -> DataFrame:
         calls.where(~F.col("url").startswith(ingest_host))
         .withColumn("method", F.upper(F.coalesce("method", F.lit("GET"))))
         .withColumn("path", rec.url_path(F.col("url")))
+        .withColumn("duration_ms", F.greatest(F.lit(0), F.col("duration_ms")))
         .withColumn("span_id", _span_id(F.lit("call"), F.col("call_id")))
     )
 
@@ -193,11 +194,13 @@ def db_statements(executed: DataFrame) -> DataFrame:
     return normalize_db(executed)
 
 
-def statement_spans(queries: DataFrame) -> DataFrame:
+def statement_spans(queries: DataFrame, description_chars: int | None = None) -> DataFrame:
+    """``description_chars`` cuts the statement, which the contract's clients do at ``fixed.SPAN_DESCRIPTION_CHARS``."""
+    statement = F.col("normalized_query")
     return queries.select(
         "statement_id", "trace_id", "span_id", F.coalesce("parent_span_id", F.lit("")).alias("parent_span_id"),
         F.lit("db.query").alias("operation"),
-        F.substring("normalized_query", 1, fixed.SPAN_DESCRIPTION_CHARS).alias("description"),
+        (statement if description_chars is None else F.substring(statement, 1, description_chars)).alias("description"),
         F.when(F.col("status") == "error", "error").otherwise("ok").alias("status"),
         F.col("ts_ms").alias("start_ms"), (F.col("ts_ms") + F.col("duration_ms")).alias("end_ms"), "duration_ms",
         _tags(db__system=F.col("database_type"), db__operation=F.col("query_type"), db__name=F.col("database_name"))

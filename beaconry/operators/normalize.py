@@ -62,13 +62,14 @@ def validate_http_items(df: DataFrame) -> DataFrame:
 
 
 def outbound_from_url(df: DataFrame) -> DataFrame:
-    """Reads url, method, status_code, raised, duration_ms; adds host, path, error_fingerprint."""
+    """Reads url, method, status_code, raised, duration_ms; adds host, path, error_fingerprint. A status that came before
+    the exception stays."""
     return (
         df.withColumn("direction", F.lit("outbound"))
         .withColumn("method", F.upper("method"))
         .withColumn("host", rec.url_host(F.col("url")))
         .withColumn("path", rec.url_path(F.col("url")))
-        .withColumn("status_code", F.coalesce(F.when(F.col("raised").isNull(), F.col("status_code")), F.lit(0)))
+        .withColumn("status_code", F.coalesce("status_code", F.lit(0)))
         .withColumn("error_fingerprint", F.col("raised"))
         .withColumn("duration_ms", F.greatest(F.lit(0), F.col("duration_ms").cast("bigint")))
     )
@@ -112,18 +113,20 @@ def span_exit_status(status: Column, raised: Column) -> Column:
     return F.coalesce(status, F.when(raised.isNotNull(), "error").otherwise("ok"))
 
 
-def normalize_db(df: DataFrame) -> DataFrame:
-    """Reads statement, duration_ms, status, error_message, query_type, rows_affected, trace_id, span_id,
+def normalize_db(df: DataFrame, message_chars: int | None = None) -> DataFrame:
+    """``message_chars`` cuts error messages, which the contract's clients do at ``fixed.ERROR_MESSAGE_CHARS``.
+
+    Reads statement, duration_ms, status, error_message, query_type, rows_affected, trace_id, span_id,
     parent_span_id, active_trace_id, active_span_id."""
     normalized = rec.normalize_query(F.col("statement"))
     blank = F.lit("")
+    message = F.coalesce(F.col("error_message"), blank)
     return (
         df.withColumn("normalized_query", normalized)
         .withColumn("query_hash", rec.hash_query(normalized))
         .withColumn("query_type", F.coalesce(F.col("query_type"), rec.detect_query_type(normalized)))
         .withColumn("duration_ms", F.greatest(F.lit(0), F.col("duration_ms").cast("bigint")))
-        .withColumn("error_message",
-                    F.substring(F.coalesce(F.col("error_message"), blank), 1, fixed.ERROR_MESSAGE_CHARS))
+        .withColumn("error_message", message if message_chars is None else F.substring(message, 1, message_chars))
         .withColumn("rows_affected", F.coalesce(F.col("rows_affected"), F.lit(-1)))
         .withColumn("status", F.coalesce(F.col("status"), F.lit("success")))
         .withColumn("trace_id", F.coalesce(rec.non_empty(F.col("trace_id")), F.col("active_trace_id"), blank))

@@ -31,11 +31,12 @@ def trace_linked(errors: DataFrame, spans: DataFrame, logs: DataFrame, requests:
                  queries: DataFrame) -> DataFrame:
     """Every error with how many spans, logs, requests and statements share its trace.
 
-    All tables have trace_id. The others are counted per trace before they meet the errors.
+    All tables have trace_id. Of the others only rows of the errors' traces are counted, and per trace before they meet
+    the errors.
     """
-    out = errors
+    out, wanted = errors, errors.select("trace_id").distinct()
     for name, table in (("spans", spans), ("logs", logs), ("requests", requests), ("queries", queries)):
-        counted = table.groupBy("trace_id").agg(F.count(F.lit(1)).alias(f"linked_{name}"))
+        counted = table.join(wanted, "trace_id", "left_semi").groupBy("trace_id").agg(F.count(F.lit(1)).alias(f"linked_{name}"))
         out = out.join(counted, "trace_id", "left").withColumn(
             f"linked_{name}", F.coalesce(f"linked_{name}", F.lit(0)))
     return out
@@ -43,16 +44,16 @@ def trace_linked(errors: DataFrame, spans: DataFrame, logs: DataFrame, requests:
 
 def orphan_spans(spans: DataFrame) -> DataFrame:
     """Spans that name a parent their trace does not have."""
-    known = spans.select("trace_id", F.col("span_id").alias("parent_span_id"))
+    known = spans.select("trace_id", F.col("span_id").alias("parent_span_id")).distinct()
     return spans.where(F.col("parent_span_id") != "").join(known, ["trace_id", "parent_span_id"], "left_anti")
 
 
 def errors_without_trace(errors: DataFrame, spans: DataFrame) -> DataFrame:
-    return errors.join(spans.select("trace_id"), "trace_id", "left_anti")
+    return errors.join(spans.select("trace_id").distinct(), "trace_id", "left_anti")  # distinct: a hot trace is one row here
 
 
 def requests_with_errors(requests: DataFrame, errors: DataFrame) -> DataFrame:
-    return requests.join(errors.select("request_id"), "request_id", "left_semi")
+    return requests.join(errors.select("request_id").distinct(), "request_id", "left_semi")
 
 
 def _percentile(p: float, exact: bool) -> Column:

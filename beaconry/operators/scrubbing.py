@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from beaconry import fixed_values as fixed
 from beaconry.functions import scrub
 from beaconry.operators.normalize import flatten_mechanism
 from beaconry.operators.sampling import sample_errors
@@ -82,18 +81,31 @@ def send_errors(df: DataFrame, rate: float, key: Column,
 def row_hook(hook: Callable[[dict], dict | None], columns: list[str]) -> Callable[[DataFrame], DataFrame]:
     """A before_send step from a function of one event (a dict of the text ``columns``).
 
-    It may change the event or return None to drop it; if it raises, the event stays as it was. It runs in Arrow
-    batches and needs nothing but its own rows.
+    It may change the event or return None to drop it; if it raises, or returns what is no event of these columns, the
+    event stays as it was. It runs in Arrow batches and needs nothing but its own rows.
     """
+    def sound(event, fields: list[pa.Field]) -> bool:
+        if not isinstance(event, dict):
+            return False
+        try:
+            for field in fields:
+                pa.array([event.get(field.name)], field.type)
+        except (pa.ArrowException, TypeError, ValueError, OverflowError):
+            return False
+        return True
+
     def apply(df: DataFrame) -> DataFrame:
         def batches(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in incoming:
                 kept, events = [], []
+                fields = [batch.schema.field(c) for c in columns]
                 for event in batch.select(columns).to_pylist():
                     try:
                         result = hook(dict(event))
                     except Exception:
                         result = event
+                    if result is not None and not sound(result, fields):
+                        result = event
                     kept.append(result is not None)
                     if result is not None:
                         events.append({c: result.get(c) for c in columns})
@@ -119,7 +131,7 @@ def pii_audit(df: DataFrame, text: str, by: list[str]) -> DataFrame:
 
     The rules apply one after another, and each adds as many marks as it replaces spans.
     """
-    staged = df.where(F.length(text) <= fixed.MAX_SCAN_CHARS).select(*by, F.col(text).alias("_before"))
+    staged = df.select(*by, F.col(text).alias("_before"))
     staged = staged.withColumn("_marks", scrub.redactions(F.col("_before")))
     for rule, mask in scrub.RULES.items():
         staged = (staged.withColumn("_before", mask(F.col("_before")))

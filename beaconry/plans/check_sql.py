@@ -26,12 +26,17 @@ def query_type(text: str) -> str:
     return f"CASE WHEN {first} IN {in_list(fixed.QUERY_TYPES)} THEN {first} ELSE 'OTHER' END"
 
 
+def _path_part(text: str) -> str:
+    path = f"regexp_extract({text}, '^([a-zA-Z][A-Za-z0-9_+.-]*:)?(//[^/?#]*)?([^?#]*)', 3)"
+    return f"regexp_replace({path}, ';[^/]*$', '')"
+
+
 def stripped_path(text: str) -> str:
-    return f"coalesce(nullif(regexp_extract({text}, '^([a-zA-Z][A-Za-z0-9_+.-]*:)?(//[^/?#]*)?([^?#]*)', 3), ''), {text})"
+    return f"coalesce(nullif({_path_part(text)}, ''), {text})"
 
 
 def url_path(text: str) -> str:
-    return f"coalesce(nullif(regexp_extract({text}, '^([a-zA-Z][A-Za-z0-9_+.-]*:)?(//[^/?#]*)?([^?#]*)', 3), ''), '/')"
+    return f"coalesce(nullif({_path_part(text)}, ''), '/')"
 
 
 def url_netloc(text: str) -> str:
@@ -99,5 +104,4 @@ def scrubbed(source: str, column: str, out: str = "scrubbed", send_default_pii:
     """``source`` plus ``out``: the text after all rules."""
     always = replaced(replaced(replaced("_cards", fixed.SSN), fixed.BEARER), fixed.JWT)
     everything = always if send_default_pii else replaced(replaced(always, fixed.EMAIL), fixed.IPV4)
-    return (f"SELECT * EXCLUDE (_cards), CASE WHEN length({column}) > {fixed.MAX_SCAN_CHARS} THEN {column} "
-            f"ELSE {everything} END AS {out} FROM ({masked_cards(source, column, '_cards')})")
+    return (f"SELECT * EXCLUDE (_cards), {everything} AS {out} FROM ({masked_cards(source, column, '_cards')})")

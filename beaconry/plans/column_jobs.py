@@ -38,11 +38,14 @@ def trace_headers(spark, sf_dir):
 
 
 @job("baggage_members", f"""
-SELECT event_id, regexp_extract(baggage, 'ACME-trace_id=([^,]*)', 1) AS own_trace_id, 'old' AS own_span_id,
+SELECT event_id, concat(regexp_extract(baggage, 'ACME-trace_id=([^,]*)', 1), CASE WHEN event_id % 2 = 0 THEN '=b==' ELSE '' END)
+    AS own_trace_id, CASE WHEN event_id % 3 = 0 THEN 'new=' ELSE 'old' END AS own_span_id,
   concat('vendor=value,k', user_id % 7, '=v') AS preserved
 FROM ({t.HEADERS.sql()}) WHERE baggage IS NOT NULL""")
 def baggage_members(spark, sf_dir):
-    members = tc.baggage_members(F.col("baggage"), VENDOR)
+    """Some ids hold the sign that ends a name, some members come twice."""
+    trace = F.when(F.col("event_id") % 2 == 0, F.regexp_replace("baggage", "(ACME-trace_id=[^,]*)", "$1=b==")).otherwise(F.col("baggage"))
+    members = tc.baggage_members(F.when(F.col("event_id") % 3 == 0, F.concat(trace, F.lit(", acme-span_id=new="))).otherwise(trace), VENDOR)
     return t.HEADERS.frame(spark, sf_dir).where("baggage IS NOT NULL").withColumn("m", members).select(
         "event_id", F.col("m.own")["trace_id"].alias("own_trace_id"), F.col("m.own")["span_id"].alias("own_span_id"),
         F.col("m.preserved").alias("preserved"))
@@ -74,12 +77,13 @@ def request_id_pick(spark, sf_dir):
 
 
 @job("request_users", f"""
-SELECT event_id, CAST(coalesce(CAST(login_id AS VARCHAR), username) AS VARCHAR) AS id, email, ip FROM (
-  SELECT *, coalesce(nullif(trim(string_split(forwarded_for, ',')[1]), ''), nullif(remote_addr, '')) AS ip
-  FROM ({t.HEADERS.sql()})) WHERE coalesce(CAST(login_id AS VARCHAR), username, email, ip) IS NOT NULL""")
+SELECT event_id, coalesce(nullif(login, ''), nullif(username, '')) AS id, email, ip FROM (
+  SELECT *, CASE WHEN event_id % 4 = 0 THEN '' ELSE CAST(login_id AS VARCHAR) END AS login, coalesce(nullif(trim(string_split(forwarded_for, ',')[1]), ''), nullif(remote_addr, '')) AS ip
+  FROM ({t.HEADERS.sql()})) WHERE coalesce(nullif(login, ''), nullif(username, ''), email, ip) IS NOT NULL""")
 def request_users(spark, sf_dir):
     ip = rec.client_ip(F.col("forwarded_for"), F.col("remote_addr"), send_default_pii=True)
-    user = rec.pick_user([F.col("login_id").cast("string"), F.col("username")], F.col("email"), [ip])
+    login = F.when(F.col("event_id") % 4 == 0, "").otherwise(F.col("login_id").cast("string"))
+    user = rec.pick_user([login, F.col("username")], F.col("email"), [ip])
     return t.HEADERS.frame(spark, sf_dir).select("event_id", user.alias("u")).where("u IS NOT NULL").select(
         "event_id", "u.*")
 
@@ -104,10 +108,14 @@ def traceback_frames(spark, sf_dir):
 
 @job("url_paths", f"""
 SELECT page_id, {sql.stripped_path('url')} AS stripped, coalesce(nullif({sql.url_netloc('url')}, ''),
-  {sql.url_path('url')}) AS host, {sql.url_path('url')} AS path FROM pages""")
+  {sql.url_path('url')}) AS host, {sql.url_path('url')} AS path
+FROM (SELECT page_id, CASE page_id % 3 WHEN 0 THEN replace(url, '?', ';id=1;v=2?') WHEN 1 THEN replace(url, '/en/', '/en;a=1/') ELSE url END AS url FROM pages)""")
 def url_paths(spark, sf_dir):
+    """Some urls hold parameters in their last segment, which go, some in another one, which stay."""
     url = F.col("url")
-    return t.read(spark, sf_dir, "pages").select(
+    changed = F.when(F.col("page_id") % 3 == 0, F.replace(url, F.lit("?"), F.lit(";id=1;v=2?"))).when(
+        F.col("page_id") % 3 == 1, F.replace(url, F.lit("/en/"), F.lit("/en;a=1/"))).otherwise(url)
+    return t.read(spark, sf_dir, "pages").withColumn("url", changed).select(
         "page_id", rec.strip_query(url).alias("stripped"), rec.url_host(url).alias("host"),
         rec.url_path(url).alias("path"))
 

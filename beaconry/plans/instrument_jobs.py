@@ -117,7 +117,7 @@ def http_crumbs(spark, sf_dir):
 
 
 @job("db_statements", f"""
-SELECT statement_id, substring(n, 1, 300) AS description, CASE WHEN status = 'error' THEN 'error' ELSE 'ok' END AS status,
+SELECT statement_id, n AS description, CASE WHEN status = 'error' THEN 'error' ELSE 'ok' END AS status,
   coalesce(query_type, {sql.query_type('n')}) AS operation_tag, 'postgresql' AS system_tag
 FROM (SELECT *, {sql.normalized_query('statement')} AS n FROM ({t.STATEMENTS.sql()}))""")
 def db_statements(spark, sf_dir):

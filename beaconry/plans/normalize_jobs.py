@@ -61,7 +61,7 @@ def validate_http_items(spark, sf_dir):
 
 @job("outbound_from_url", f"""
 SELECT call_id, coalesce(nullif({sql.url_netloc('url')}, ''), {sql.url_path('url')}) AS host,
-  {sql.url_path('url')} AS path, CASE WHEN raised IS NOT NULL THEN 0 ELSE coalesce(status, 0) END AS status_code,
+  {sql.url_path('url')} AS path, coalesce(status, 0) AS status_code,
   raised AS error_fingerprint, greatest(duration_ms, 0) AS duration_ms, upper(method) AS method
 FROM ({t.OUTBOUND_CALLS.sql()})""")
 def outbound_from_url(spark, sf_dir):
@@ -115,7 +115,7 @@ def span_exit_status(spark, sf_dir):
 @job("normalize_db", f"""
 SELECT statement_id, n AS normalized_query, substring(md5(n), 1, 16) AS query_hash,
   coalesce(query_type, {sql.query_type('n')}) AS query_type, greatest(0, CAST(trunc(duration_ms) AS BIGINT)) AS duration_ms,
-  substring(coalesce(error_message, ''), 1, 500) AS error_message, coalesce(rows_affected, -1) AS rows_affected,
+  coalesce(error_message, '') AS error_message, coalesce(rows_affected, -1) AS rows_affected,
   coalesce(status, 'success') AS status, coalesce(nullif(trace_id, ''), active_trace_id, '') AS trace_id,
   coalesce(nullif(span_id, ''), active_span_id, '') AS span_id, nullif(parent_span_id, '') AS parent_span_id
 FROM (SELECT *, {sql.normalized_query('statement')} AS n FROM ({t.STATEMENTS.sql()}))""")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from beaconry import fixed_values as fixed
-from beaconry.operators import delivery, instrument as ins, wire
+from beaconry.operators import delivery, instrument as ins, normalize, wire
 from beaconry.plans import check_sql as sql
 from beaconry.plans.registry import job
 from beaconry.session import scratch_dir
@@ -74,12 +74,14 @@ def write_spool(spark, sf_dir):
     logs = _envelopes(spark, sf_dir).where(F.col("path").isin(fixed.PATH_LOGS, fixed.PATH_HEARTBEAT))
     folder = scratch_dir(spark, "spool")
     env.write_spool(logs, folder)
-    return env.read_envelopes(spark, folder).select("ts", "payload")
+    return normalize.valid(env.read_envelopes(spark, folder)).select("ts", "payload")
 
 
 @job("read_envelopes", """
-SELECT path, count(*) AS entries FROM (SELECT '/ingest/v1/logs' AS path FROM events WHERE event_id % 7 NOT IN (1, 2, 3, 4))
-GROUP BY path""")
+SELECT CASE WHEN event_id % 7 NOT IN (1, 2, 3, 4) THEN '/ingest/v1/logs' END AS path,
+  CASE event_id % 7 WHEN 1 THEN 'document' WHEN 2 THEN 'path' WHEN 3 THEN 'payload' WHEN 4 THEN 'document' END AS rejected,
+  CASE WHEN event_id % 7 NOT IN (1, 2, 3, 4) THEN concat('{"n":', event_id, '}') END AS payload,
+  CASE WHEN event_id % 7 NOT IN (1, 2, 3, 4) THEN event_id END AS ts, 1 AS seq FROM events""")
 def read_envelopes(spark, sf_dir):
     """Envelope text of which some is cut off, some has a path that is no string and some a payload that is no object."""
     text = ("CASE event_id % 7 WHEN 1 THEN '{\"path\":\"/ingest/v1/logs\",\"payl' "
@@ -87,7 +89,7 @@ def read_envelopes(spark, sf_dir):
             "WHEN 3 THEN '{\"path\":\"/ingest/v1/logs\",\"payload\":[1],\"ts\":1}' WHEN 4 THEN '[1]' "
             "ELSE concat('{\"path\":\"/ingest/v1/logs\",\"payload\":{\"n\":', event_id, '},\"ts\":', event_id, '}') END AS value")
     lines = t.read(spark, sf_dir, "events").selectExpr(text, "'0000000000001-00000001-aa.json' AS file")
-    return env.parse_envelopes(lines).groupBy("path").agg(F.count(F.lit(1)).alias("entries"))
+    return env.parse_envelopes(lines).select("path", "rejected", "payload", "ts", "seq")
 
 
 @job("payload_sizes", f"""

@@ -37,9 +37,15 @@ def _local_root() -> str:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new path below the cluster's shared ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests on one machine) a temporary folder takes its place.
+    Where that setting is absent a temporary folder takes its place on a local master, and an error is raised on any
+    other: executors would write to disks that nobody else reads.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _local_root()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all machines share (master: {master or 'unknown'})")
+        root = _local_root()
     return f"{root.rstrip('/')}/beaconry/{label}-{uuid.uuid4().hex}"
 
 

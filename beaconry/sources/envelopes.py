@@ -13,8 +13,8 @@ _SPOOL_NAME = r"(\d{13})-(\d{8})-([^/]*)\.json"
 def read_envelopes(spark: SparkSession, path: str, stream: bool = False, **options: str) -> DataFrame:
     """Spool documents as rows: path, payload (JSON text), ts, seq, file.
 
-    One document a file or one a line. Corrupt documents, a path that is no string and a payload that is no object
-    are left out; the order columns come from the file name where it carries them.
+    One document a file or one a line. The order columns come from the file name where it carries them. Documents that
+    are no envelopes stay, with the reason in ``rejected`` and their text in ``value``; ``normalize.valid`` leaves them out.
     """
     reader = spark.readStream if stream else spark.read
     lines = reader.options(**{"recursiveFileLookup": "true", **options}).text(path)
@@ -22,7 +22,7 @@ def read_envelopes(spark: SparkSession, path: str, stream: bool = False, **optio
 
 
 def parse_envelopes(lines: DataFrame) -> DataFrame:
-    """Reads value (the JSON text of one envelope) and file."""
+    """Reads value (the JSON text of one envelope) and file; adds ``rejected``, null for an envelope."""
     document = F.try_parse_json("value")
     name = F.element_at(F.split("file", "/"), -1)
     parsed = lines.select(
@@ -33,12 +33,14 @@ def parse_envelopes(lines: DataFrame) -> DataFrame:
         F.schema_of_variant(F.try_variant_get(document, "$.payload", "variant")).alias("_payload_type"),
         F.get_json_object("value", "$.payload").alias("payload"),
         F.try_variant_get(document, "$.ts", "bigint").alias("ts"))
-    return parsed.where(
-        F.col("_type").startswith("OBJECT") & (F.col("_path_type") == "STRING")
-        & F.col("_payload_type").startswith("OBJECT")
-    ).select(
-        "path", "payload", "ts",
-        F.nullif(F.regexp_extract(name, _SPOOL_NAME, 2), F.lit("")).try_cast("bigint").alias("seq"), "file")
+    checks = ((F.col("_type").startswith("OBJECT"), "document"), (F.col("_path_type") == "STRING", "path"),
+              (F.col("_payload_type").startswith("OBJECT"), "payload"))
+    reason = F.coalesce(*[F.when(~F.coalesce(ok, F.lit(False)), why) for ok, why in checks])
+    sound = reason.isNull()
+    return parsed.select(
+        *[F.when(sound, F.col(c)).alias(c) for c in ("path", "payload", "ts")],
+        F.nullif(F.regexp_extract(name, _SPOOL_NAME, 2), F.lit("")).try_cast("bigint").alias("seq"), "file",
+        F.when(~sound, F.col("value")).alias("value"), reason.alias("rejected"))
 
 
 def route(envelopes: DataFrame, kind: str) -> DataFrame:
@@ -60,23 +62,36 @@ def to_envelopes(bodies: DataFrame, kind: str, payload: Column, ts: Column) -> D
     return bodies.select(F.lit(schemas.KINDS[kind][0]).alias("path"), payload.alias("payload"), ts.alias("ts"))
 
 
-def spoolable(envelopes: DataFrame, vendor: str | None = None) -> DataFrame:
-    """What may go to disk: replay-safe paths, keys redacted first, no entry over the size guard.
+def spoolable(envelopes: DataFrame, vendor: str | None = None, max_entry_bytes: int | None = None) -> DataFrame:
+    """What may go to disk: replay-safe paths, keys redacted first.
 
-    Adds value, the JSON text of the entry, and bytes, its size.
+    Adds value, the JSON text of the entry, bytes, its size, and rejected: ``entry_bytes`` for an entry over
+    ``max_entry_bytes``, which the contract's clients set to ``fixed.SPOOL_ENTRY_MAX_BYTES``.
     """
     scrubbed = envelopes.where(F.col("path").isin(fixed.PERSISTABLE_PATHS)).withColumn(
         "payload", scrub_json(F.col("payload"), vendor=vendor, values=False))
     entry = F.concat(F.lit('{"path":'), F.to_json(F.col("path").cast("variant")), F.lit(',"payload":'),
                      F.col("payload"), F.lit(',"ts":'), F.col("ts").cast("string"), F.lit("}"))
+    large = F.lit(False) if max_entry_bytes is None else F.col("bytes") > max_entry_bytes
     return (scrubbed.withColumn("value", entry).withColumn("bytes", F.octet_length("value").cast("bigint"))
-            .where(F.col("bytes") <= fixed.SPOOL_ENTRY_MAX_BYTES))
+            .withColumn("rejected", F.when(large, "entry_bytes")))
 
 
-def write_spool(envelopes: DataFrame, folder: str, vendor: str | None = None, compression: str = "gzip") -> None:
-    """Append the entries as JSON lines, one entry a line, one folder per kind of path."""
-    spoolable(envelopes, vendor).select("value", F.element_at(F.split("path", "/"), -1).alias("kind")).write.mode(
-        "append").partitionBy("kind").option("compression", compression).text(folder)
+def write_spool(envelopes: DataFrame, folder: str, vendor: str | None = None, compression: str = "gzip",
+                max_entry_bytes: int | None = None) -> None:
+    """Append the entries as JSON lines, one entry a line, one folder per kind of path.
+
+    With a size limit, entries over it go to ``folder``-rejected in the same form.
+    """
+    entries = spoolable(envelopes, vendor, max_entry_bytes)
+
+    def append(rows: DataFrame, to: str) -> None:
+        rows.select("value", F.element_at(F.split("path", "/"), -1).alias("kind")).write.mode("append").partitionBy(
+            "kind").option("compression", compression).text(to)
+
+    append(entries.where("rejected IS NULL"), folder)
+    if max_entry_bytes is not None:
+        append(entries.where("rejected IS NOT NULL"), f"{folder}-rejected")
 
 
 def write_tables(df: DataFrame, folder: str, at_ms: str) -> None:

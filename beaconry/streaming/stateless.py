@@ -13,14 +13,21 @@ from beaconry.sources import envelopes as env
 from beaconry.streaming.run import to_batches, write_batch
 
 
-def ingest_writer(out: str, kinds: list[str], vendor: str | None = None,
+def ingest_writer(out: str, kinds: list[str] | None = None, vendor: str | None = None,
                   send_default_pii: bool = False) -> Callable[[DataFrame, int], None]:
     """A foreachBatch step: envelopes scrubbed, routed, unrolled, validated and written, one folder per kind.
 
-    Rejected rows get a folder of their own, with the reason. The batch is read once per kind; persisting it spares
-    the scrubbing from running again.
+    All kinds unless ``kinds`` names some. Rejected rows get a folder of their own, with the reason; so do, under
+    ``rejected_envelopes``, documents that are no envelopes and envelopes of a path that no kind of these has. The batch
+    is read once per kind; persisting it spares the scrubbing from running again.
     """
+    kinds = list(schemas.KINDS) if kinds is None else kinds
+    paths = [schemas.KINDS[kind][0] for kind in kinds]
+
     def write(batch: DataFrame, batch_id: int) -> None:
+        if "rejected" not in batch.columns:
+            batch = batch.withColumns({"rejected": F.lit(None).cast("string"), "value": F.lit(None).cast("string")})
+        known = F.col("rejected").isNull() & F.col("path").isin(paths)
         clean = batch.withColumn("payload", scrub_json(
             F.col("payload"), vendor=vendor, send_default_pii=send_default_pii, keep=["sessionId"])).persist()
         try:
@@ -38,14 +45,18 @@ def ingest_writer(out: str, kinds: list[str], vendor: str | None = None,
                 checked = check(rows)
                 write_batch(normalize.valid(checked), f"{out}/{kind}", batch_id)
                 write_batch(normalize.rejected(checked), f"{out}/rejected_{kind}", batch_id)
+            strange = clean.where(~F.coalesce(known, F.lit(False))).select(
+                "path", "payload", "ts", scrub_json(F.col("value"), vendor=vendor, send_default_pii=send_default_pii).alias("value"),
+                F.coalesce("rejected", F.lit("kind")).alias("rejected"))
+            write_batch(strange, f"{out}/rejected_envelopes", batch_id)
         finally:
             clean.unpersist()
 
     return write
 
 
-def stream_ingest(envelopes: DataFrame, out: str, checkpoint: str, kinds: list[str], vendor: str | None = None,
-                  every: str | None = None):
+def stream_ingest(envelopes: DataFrame, out: str, checkpoint: str, kinds: list[str] | None = None,
+                  vendor: str | None = None, every: str | None = None):
     return to_batches(envelopes, ingest_writer(out, kinds, vendor), checkpoint, every=every)
 
 

@@ -37,7 +37,7 @@ def one(spark, fn, *values, kinds=None):
     ("é4111111111111111", "é4111111111111111"),
     ("4111111111111111 é", f"{R}é"),
     ("", ""), (None, None),
-    ("x" * 40_000 + " alice@example.com", "x" * 40_000 + " alice@example.com"),
+    ("x" * 40_000 + " alice@example.com", "x" * 40_000 + " [REDACTED]"),
     ("x" * 30_000 + " alice@example.com", "x" * 30_000 + f" {R}"),
 ])
 def test_scrub_text(spark, text, want):

@@ -16,7 +16,7 @@ def crumb_owners(marks: DataFrame, limit: int = fixed.MAX_BREADCRUMBS, slot_rows
     its process; an error takes the newest ``limit`` of its crumbs and leaves none for later errors.
     """
     order = ["ts_ms", "event_id"]
-    owned = hot_keys.next_known(marks, ["process_id"], "ts_ms", order,
+    owned = hot_keys.next_known(marks, ["process_id"], order,
                                 F.when(F.col("is_error"), F.col("event_id")), "error_id", slot_rows)
     crumbs = owned.where(~F.col("is_error") & F.col("error_id").isNotNull())
     return newest(crumbs, ["process_id", "error_id"], order, limit)
@@ -38,7 +38,7 @@ def user_at_error(marks: DataFrame, slot_rows: int = SLOT_ROWS) -> DataFrame:
     """
     state = F.when(F.col("kind") == "set_user", F.struct(F.col("user_id").alias("id"))).when(
         F.col("kind") == "clear_user", F.struct(F.lit(None).cast("string").alias("id")))
-    known = hot_keys.last_known(marks, ["process_id"], "ts_ms", ["ts_ms", "event_id"], state, "_user", slot_rows)
+    known = hot_keys.last_known(marks, ["process_id"], ["ts_ms", "event_id"], state, "_user", slot_rows)
     return known.where(F.col("kind") == "error").withColumn(
         "error_user_id", F.coalesce(F.col("explicit_user_id"), F.col("_user.id"))).drop("_user")
 

@@ -46,18 +46,18 @@ def drain_order(entries: DataFrame) -> DataFrame:
     return entries.orderBy("ts_ms", "seq")
 
 
-def chunk_numbers(items: DataFrame, flush_key: list[str], at: str, order: list[str], size: int = fixed.MAX_BATCH,
+def chunk_numbers(items: DataFrame, flush_key: list[str], order: list[str], size: int = fixed.MAX_BATCH,
                   slot_rows: int = SLOT_ROWS) -> DataFrame:
     """Adds chunk (from 0) and position in the chunk (from 1) for every item of a flush."""
-    placed = numbered(items, flush_key, at, order, "_position", slot_rows)
+    placed = numbered(items, flush_key, order, "_position", slot_rows)
     return (placed.withColumn("chunk", F.floor((F.col("_position") - 1) / size).cast("bigint"))
             .withColumn("position", (F.col("_position") - 1) % size + 1).drop("_position"))
 
 
-def chunk_batches(items: DataFrame, flush_key: list[str], at: str, order: list[str], item: Column, field: str,
+def chunk_batches(items: DataFrame, flush_key: list[str], order: list[str], item: Column, field: str,
                   size: int = fixed.MAX_BATCH, slot_rows: int = SLOT_ROWS) -> DataFrame:
     """Wire bodies of at most ``size`` items per flush, each an array column named ``field``."""
-    chunks = chunk_numbers(items, flush_key, at, order, size, slot_rows)
+    chunks = chunk_numbers(items, flush_key, order, size, slot_rows)
     listed = F.sort_array(F.collect_list(F.struct("position", item.alias("item"))))
     return chunks.groupBy(*flush_key, "chunk").agg(F.transform(listed, lambda x: x["item"]).alias(field))
 
@@ -67,11 +67,11 @@ BODY_ITEMS = {"http_requests": fixed.MAX_BATCH, "db_queries": fixed.MAX_BATCH, "
               "replay_events": fixed.BUFFER_SIZE, "logs": 1}
 
 
-def flush_bodies(items: DataFrame, kind: str, flush_key: list[str], at: str, order: list[str],
+def flush_bodies(items: DataFrame, kind: str, flush_key: list[str], order: list[str],
                  slot_rows: int = SLOT_ROWS) -> DataFrame:
     """The wire bodies of a flush of one kind; ``field`` is the name of their array."""
     field = KINDS[kind][2] or "items"
-    return chunk_batches(items, flush_key, at, order, wire_item(items, kind), field, BODY_ITEMS[kind], slot_rows)
+    return chunk_batches(items, flush_key, order, wire_item(items, kind), field, BODY_ITEMS[kind], slot_rows)
 
 
 def validate_batches(batches: DataFrame, field: str) -> DataFrame:

@@ -25,11 +25,11 @@ def infer_parent_spans(spans: DataFrame, slot_rows: int = SLOT_ROWS) -> DataFram
     """
     marks = ["context_id", "trace_id", "span_id", "start_ms", "start_seq", "finish_ms", "finish_seq",
              "inbound_parent"]
-    placed = slotted(spans.select(marks), ["context_id", "trace_id"], "start_ms", slot_rows)
+    placed = slotted(spans.select(marks), ["context_id", "trace_id"], ["start_ms", "start_seq", "span_id"], slot_rows)
     borders = placed.where(HOT).groupBy(KEY, SLOT).agg(F.min("start_ms").alias("_slot_from"))
     by_key = borders.groupBy(KEY).agg(F.sort_array(F.collect_list(F.struct("_slot_from", SLOT))).alias("_borders"))
     # bounded: only hot keys have borders, and they have few; see hot_keys
-    known = placed.where(HOT).join(F.broadcast(by_key), KEY)
+    known = placed.where(HOT).join(by_key, KEY)
     later = F.filter("_borders", lambda b: b[SLOT] > F.col(SLOT))
     crossed = known.where(F.col("finish_ms").isNotNull()).withColumn(
         "_to", F.explode(F.filter(later, lambda b: b["_slot_from"] <= F.col("finish_ms"))))

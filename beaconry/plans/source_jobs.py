@@ -37,7 +37,7 @@ def _envelopes(spark, sf_dir):
     logs = _log_rows(spark, sf_dir).withColumn("user_id", F.col("user_id").cast("string"))
     requests = ins.request_rows(ins.asgi_requests(t.ACCESS.frame(spark, sf_dir))).withColumn(
         "host_key", F.col("host"))
-    batches = delivery.chunk_batches(requests, ["host_key"], "ts_ms", ["ts_ms", "event_id"],
+    batches = delivery.chunk_batches(requests, ["host_key"], ["ts_ms", "event_id"],
                                      wire.wire_item(requests, "http_requests"), "requests")
     beats = t.HEARTBEATS.frame(spark, sf_dir)
     return (

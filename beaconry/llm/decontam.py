@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beaconry.llm.support import documents_of, staged
+from beaconry.llm.support import bounded_batches, documents_of, staged
 
 WIDTH, STRIDE = 64, 48  # words of a passage; words from one searched passage to the next
 RANK, SPARE = 128, 8
@@ -117,11 +117,18 @@ class Passages:
         return Passages(text, start, row, word, (value / np.maximum(norm, 1e-9)[row]).astype(np.float32))
 
     def times(self, matrix: np.ndarray) -> np.ndarray:
-        """Rows times a matrix that has a row for each word."""
+        """Rows times a matrix that has a row for each word; each step adds the next entry of every row that has one."""
         out = np.zeros((len(self.text), matrix.shape[1]), dtype=np.float32)
         if len(self.row):
             first = np.flatnonzero(np.r_[True, self.row[1:] != self.row[:-1]])
-            out[self.row[first]] = np.add.reduceat(matrix[self.word] * self.value[:, None], first, axis=0)
+            size = np.diff(np.r_[first, len(self.row)])
+            order = np.argsort(-size, kind="stable")  # the longest rows lead, so that those still open are a prefix
+            first, size = first[order], size[order]
+            total = np.zeros((len(first), matrix.shape[1]), dtype=np.float32)
+            for step in range(int(size[0])):
+                at = first[:np.searchsorted(-size, -step)] + step
+                total[:len(at)] += matrix[self.word[at]] * self.value[at, None]
+            out[self.row[first]] = total
         return out
 
     def back(self, matrix: np.ndarray, words: int) -> np.ndarray:
@@ -277,6 +284,7 @@ def leaks_in(texts: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, mark, item_id, share, answer, cosine, place): leaks in ``texts`` (doc_id, mark, text)."""
     from pyspark.sql.pandas.types import to_arrow_type
 
+    bounded_batches(texts.sparkSession)
     items = benchmark.select("item_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     item_kind = items.schema["item_id"].dataType
     total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]

@@ -44,8 +44,9 @@ def trace_linked(spark, sf_dir):
 
 
 @job("orphan_spans", f"""
-WITH s AS ({t.SPANS.sql()}) SELECT trace_id, span_id, parent_span_id FROM s WHERE parent_span_id <> '' AND NOT EXISTS (
-  SELECT 1 FROM s p WHERE p.trace_id = s.trace_id AND p.span_id = s.parent_span_id)""")
+WITH s AS MATERIALIZED (SELECT trace_id, span_id, parent_span_id FROM ({t.SPANS.sql()})),
+p AS MATERIALIZED (SELECT DISTINCT trace_id, span_id FROM s)
+SELECT s.* FROM s ANTI JOIN p ON p.trace_id = s.trace_id AND p.span_id = s.parent_span_id WHERE s.parent_span_id <> ''""")
 def orphan_spans(spark, sf_dir):
     return reports.orphan_spans(t.SPANS.frame(spark, sf_dir).select("trace_id", "span_id", "parent_span_id"))
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from beaconry import fixed_values as fixed
+from beaconry.plans import check_sql as sql
 from beaconry.plans.context_jobs import OWNED_CRUMBS
 from beaconry.plans.registry import job
 from beaconry.plans.session_jobs import FOLDED
@@ -27,23 +29,39 @@ def _finish(df, spark, label):
 SELECT 'logs' AS kind, event_id, level, regexp_replace(replace(message, concat('u', user_id, '@example.com'), '[REDACTED]'),
   'from [0-9.]+', 'from [REDACTED]') AS message FROM ({t.LOGS.sql()}) WHERE level <> 'warning'
 UNION ALL SELECT 'rejected_logs', event_id, level, regexp_replace(replace(message, concat('u', user_id, '@example.com'),
-  '[REDACTED]'), 'from [0-9.]+', 'from [REDACTED]') FROM ({t.LOGS.sql()}) WHERE level = 'warning'""")
+  '[REDACTED]'), 'from [0-9.]+', 'from [REDACTED]') FROM ({t.LOGS.sql()}) WHERE level = 'warning'
+UNION ALL SELECT 'http_requests', event_id, upper(method), host FROM ({t.ACCESS.sql()}) WHERE upper(method) IN {sql.in_list(fixed.CAPTURED_METHODS)}
+UNION ALL SELECT 'rejected_envelopes', event_id, CASE event_id % 3 WHEN 0 THEN 'kind' WHEN 1 THEN 'path' ELSE 'document' END,
+  CASE event_id % 3 WHEN 1 THEN concat('{{"path":7,"payload":{{}},"ts":', event_id, '}}') WHEN 2 THEN concat('{{"ts":', event_id, ',') END FROM events""")
 def stream_ingest(spark, sf_dir):
-    """A spool folder to typed, validated, scrubbed tables."""
+    """A spool folder to typed, validated, scrubbed tables of every kind; what is no envelope of a known path is rejected."""
     spark = run.tune_streams(spark)
     folder = scratch_dir(spark, "ingest")
     logs = t.LOGS.frame(spark, sf_dir).withColumn("error_id", F.col("event_id").cast("string"))
-    from beaconry.operators.wire import to_wire
-
-    env.write_spool(env.to_envelopes(logs, "logs", to_wire(logs, "logs"), F.col("ts_ms")), f"{folder}/spool")
+    from beaconry.operators import delivery, instrument as ins
+    from beaconry.operators.wire import to_wire, wire_item
+
+    requests = ins.request_rows(ins.asgi_requests(t.ACCESS.frame(spark, sf_dir))).withColumn("error_fingerprint", F.col("event_id").cast("string"))
+    batches = delivery.chunk_batches(requests, ["host"], ["ts_ms", "event_id"], wire_item(requests, "http_requests"), "requests")
+    env.write_spool(env.to_envelopes(logs, "logs", to_wire(logs, "logs"), F.col("ts_ms")).unionByName(
+        env.to_envelopes(batches, "http_requests", F.to_json(F.struct("requests")), F.lit(0).cast("bigint"))), f"{folder}/spool")
+    strange = """CASE event_id % 3 WHEN 0 THEN concat('{"path":"/ingest/v1/unheard-of","payload":{"password":"p"},"ts":', event_id, '}')
+        WHEN 1 THEN concat('{"path":7,"payload":{},"ts":', event_id, '}') ELSE concat('{"ts":', event_id, ',') END AS value"""
+    t.read(spark, sf_dir, "events").selectExpr(strange).write.text(f"{folder}/spool/strange")
     incoming = env.read_envelopes(spark, f"{folder}/spool", stream=True)
-    stateless.stream_ingest(incoming, f"{folder}/tables", f"{folder}/checkpoint", ["logs"]).awaitTermination()
+    stateless.stream_ingest(incoming, f"{folder}/tables", f"{folder}/checkpoint").awaitTermination()
 
     def table(kind):
         return spark.read.parquet(f"{folder}/tables/{kind}").select(
             F.lit(kind).alias("kind"), F.col("error_id").cast("bigint").alias("event_id"), "level", "message")
 
-    return table("logs").unionByName(table("rejected_logs"))
+    served = spark.read.parquet(f"{folder}/tables/http_requests").select(
+        F.lit("http_requests").alias("kind"), F.col("error_fingerprint").cast("bigint").alias("event_id"), F.col("method").alias("level"),
+        F.col("host").alias("message"))
+    refused = spark.read.parquet(f"{folder}/tables/rejected_envelopes").select(
+        F.lit("rejected_envelopes").alias("kind"), F.coalesce("ts", F.regexp_extract("value", '"ts":([0-9]+)', 1).try_cast("bigint")).alias("event_id"),
+        F.col("rejected").alias("level"), F.col("value").alias("message"))
+    return table("logs").unionByName(table("rejected_logs")).unionByName(served).unionByName(refused)
 
 
 @job("stream_dedupe", "SELECT event_id, user_id FROM events")

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from beaconry.session import tune
 
+INTAKE = str(1 << 30)  # bytes
 STREAM_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -25,8 +26,14 @@ def tune_streams(spark: SparkSession) -> SparkSession:
 
 
 def stream_table(spark: SparkSession, folder: str, pattern: str, schema_of: str, **options: str) -> DataFrame:
-    """The parquet files of a folder as a stream; the schema comes from what is there."""
+    """The parquet files of a folder as a stream; the schema comes from what is there.
+
+    A micro-batch takes ``INTAKE`` bytes of them unless the options set another limit; what keyed state must sort is a key's
+    share of that.
+    """
     schema = tune_streams(spark).read.parquet(schema_of).schema
+    if not {"maxFilesPerTrigger", "maxBytesPerTrigger"} & set(options):
+        options["maxBytesPerTrigger"] = INTAKE
     return spark.readStream.schema(schema).options(pathGlobFilter=pattern, **options).parquet(folder)
 
 

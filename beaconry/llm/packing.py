@@ -20,7 +20,7 @@ WORD_END = "</w>"  # fixed value: how tokens that close a word end in that vocab
 
 # Texts of other characters go to the library whole: there its normalizer composes marks and maps case.
 PLAIN = r"[\x00-\x1b\x20-įı-ɏ‐-‧]*"
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 200_000
 
 
 def binary_pieces(n: int, most: int) -> list[int]:

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beaconry.llm.support import staged, whole_text
+from beaconry.llm.support import bounded_batches, staged, whole_text
 
 FIT_ROWS = 20_000
 
@@ -224,6 +224,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, fi
     and labels without a document teach nothing, repeated ones count repeatedly; without any label all scores are 1/2.
     A null id stays null and is not held out; an empty table gives an empty one; other columns are not read.
     """
+    bounded_batches(docs.sparkSession)
     marked = staged(docs.select(F.col(id_col).alias("doc_id"), features_of(whole_text(text_col)).alias("x")), "features")
     model = train(examples_of(marked, labels), fit_rows)
     scored = marked.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score_of(F.col("x"), model).alias("score"))
@@ -233,6 +234,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, fi
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, fit_rows: int = FIT_ROWS, id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns as they are, with a score of at least ``threshold``."""
+    bounded_batches(docs.sparkSession)
     known = labels.filter(F.col("quality").isin(0, 1)).select(F.col("doc_id").alias("known")).distinct()
     ids = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
     taught = ids.join(known, F.col("doc_id") == F.col("known"), "left_semi")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beaconry.llm.components import connected
-from beaconry.llm.support import UPPER, LOWER, documents_of, staged
+from beaconry.llm.support import LOWER, UPPER, bounded_batches, documents_of, staged
 
 SEED = 42
 BITS, BLOCK = 64, 16
@@ -102,6 +102,7 @@ def one_of_each(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_co
 
     Of a component without any id one row stays.
     """
+    bounded_batches(docs.sparkSession)
     fp = "__simhash_fp"
     rows = docs.withColumn(fp, fingerprint_of(F.coalesce(F.col(text_col).cast("string"), F.lit("")), width))
     marked = staged(rows.select(F.col(id_col).alias("doc_id"), F.col(fp).alias("fp")), "fingerprints")

@@ -5,13 +5,15 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beaconry.session import scratch_dir
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+# Bytes of one Arrow batch, so that what a Python worker is handed at once does not grow with the length of texts.
+ARROW_BYTES = 8 << 20
 # Characters of one batch that a Python worker holds in expanded form at a time.
 BATCH_CHARS = 1 << 20
 
@@ -45,8 +47,16 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of this session by bytes, unless it bounds them more tightly itself."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(key).rstrip("b")) <= ARROW_BYTES:
+        spark.conf.set(key, str(ARROW_BYTES))
+
+
 def documents_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text) of any frame that has these two columns, whatever else it has."""
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
 
 

@@ -148,17 +148,17 @@ def outbound_requests(calls: DataFrame, ingest_host: str) -> DataFrame:
         calls.where(~F.col("url").startswith(ingest_host))
         .withColumn("method", F.upper(F.coalesce("method", F.lit("GET"))))
         .withColumn("path", rec.url_path(F.col("url")))
-        .withColumn("duration_ms", F.greatest(F.lit(0), F.col("duration_ms")))
         .withColumn("span_id", _span_id(F.lit("call"), F.col("call_id")))
     )
 
 
 def outbound_rows(calls: DataFrame) -> DataFrame:
-    """http_requests rows; a call that raised leaves none."""
+    """http_requests rows; a call that raised leaves none. Durations are clamped, as those of requests received are."""
     host = F.regexp_extract("url", r"^(?:[a-zA-Z][\w+.-]*:)?//([^/?#]*)", 1)
     return calls.where(F.col("raised").isNull()).select(
         "call_id", "ts_ms", "trace_id", "span_id", F.lit("outbound").alias("direction"), "method",
-        host.alias("host"), "path", F.coalesce("status", F.lit(0)).alias("status_code"), "duration_ms")
+        host.alias("host"), "path", F.coalesce("status", F.lit(0)).alias("status_code"),
+        F.greatest(F.lit(0), F.col("duration_ms")).alias("duration_ms"))
 
 
 def outbound_spans(calls: DataFrame) -> DataFrame:

@@ -91,7 +91,7 @@ _INGEST = "https://ingest.example.net"
 
 
 @job("outbound_requests", f"""
-SELECT call_id, m AS method, {sql.url_netloc('url')} AS host, p AS path, coalesce(status, 0) AS status_code, duration_ms
+SELECT call_id, m AS method, {sql.url_netloc('url')} AS host, p AS path, coalesce(status, 0) AS status_code, greatest(0, duration_ms) AS duration_ms
 FROM {_CALLS} WHERE raised IS NULL""")
 def outbound_requests(spark, sf_dir):
     rows = ins.outbound_rows(ins.outbound_requests(t.OUTBOUND_CALLS.frame(spark, sf_dir), _INGEST))

@@ -203,7 +203,8 @@ fit AS (
   SELECT host, path, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
   FROM (SELECT DISTINCT host, path FROM pages_) q, rules r
   WHERE (host = r.h OR ends_with(host, '.' || r.h)) AND starts_with(path, r.p) GROUP BY host, path)
-SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, CASE WHEN r.upper < 0.8 THEN 'block' ELSE 'allow' END) AS verdict, r.rate, r.upper
+SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, CASE WHEN r.upper < 0.8 THEN 'block' ELSE 'allow' END) AS verdict,
+  round(r.rate, 6) AS rate, round(r.upper, 6) AS upper
 FROM pages_ p LEFT JOIN fit f ON f.host = p.host AND f.path = p.path LEFT JOIN rates r ON r.host = p.host"""
 
 
@@ -213,7 +214,7 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = F.regexp_extract("url", SHOWN, 1).try_cast("long").alias("shown")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("good"))
     outcomes = pages.select("page_id", shown).join(labels, F.col("shown") == F.col("doc_id")).select("page_id", "good")
-    return urls.judge_urls(pages, outcomes, RULES, SUFFIXES)
+    return urls.judge_urls(pages, outcomes, RULES, SUFFIXES).withColumns({c: F.round(c, 6) for c in ("rate", "upper")})
 
 
 # --- op9: benchmark decontamination -------------------------------------------------------------------------------

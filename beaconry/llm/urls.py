@@ -61,8 +61,8 @@ def registered_domain(host: Column, suffix: Column) -> Column:
     return F.when(F.length(host) > F.length(suffix), F.concat_ws(".", F.substring_index(head, ".", -1), suffix)).otherwise(host)
 
 
-def concentration(groups: DataFrame, n: str, k: str, name: str) -> DataFrame:
-    """One row: the moment estimate of alpha + beta of a beta-binomial over the groups' rates, within [1, 10000].
+def concentration(groups: DataFrame, n: str, k: str) -> float:
+    """The moment estimate of alpha + beta of a beta-binomial over the groups' rates, within [1, 10000].
 
     The groups' spread S = sum n (k/n - p)^2 is compared with what binomial noise alone would give.
     """
@@ -76,7 +76,7 @@ def concentration(groups: DataFrame, n: str, k: str, name: str) -> DataFrame:
     freedom = F.col("nn") - F.col("n2") / F.col("nn") - (F.col("g") - 1)
     rho = F.try_divide(spread - noise * (F.col("g") - 1), noise * freedom)
     held = F.least(F.greatest(F.coalesce(rho, F.lit(0.0)), F.lit(1 / 10001)), F.lit(0.5))
-    return sums.select(((1 - held) / held).alias(name))
+    return sums.select((1 - held) / held).first()[0]
 
 
 def host_reputation(outcomes: DataFrame, suffixes: tuple[str, ...], z: float) -> DataFrame:
@@ -92,21 +92,20 @@ def host_reputation(outcomes: DataFrame, suffixes: tuple[str, ...], z: float) ->
     hosts = staged(hosts, "hosts")  # a row for each host, read by every level
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("dn"), F.sum("k").alias("dk"))
     tops = domains.groupBy("suffix").agg(F.sum("dn").alias("sn"), F.sum("dk").alias("sk"))
-    whole = tops.agg(F.coalesce(F.sum("sk"), F.lit(0)).alias("wk"), F.coalesce(F.sum("sn"), F.lit(0)).alias("wn"))
-    facts = (whole.crossJoin(concentration(tops, "sn", "sk", "c_suffix"))  # four frames of one row each
-             .crossJoin(concentration(domains, "dn", "dk", "c_domain")).crossJoin(concentration(hosts, "n", "k", "c_host")))
-    facts = F.broadcast(facts)
-    base = (F.col("wk") + 1) / (F.col("wn") + 2)
-    tops = tops.crossJoin(facts).withColumn("s_mean", (F.col("sk") + F.col("c_suffix") * base) / (F.col("sn") + F.col("c_suffix")))
-    domains = (domains.join(tops.select("suffix", "s_mean", "c_domain", "c_host", "wn"), "suffix")
-               .withColumn("d_mean", (F.col("dk") + F.col("c_domain") * F.col("s_mean")) / (F.col("dn") + F.col("c_domain"))))
-    a = F.col("k") + F.col("c_host") * F.col("d_mean")
-    b = F.col("n") - F.col("k") + F.col("c_host") * (1 - F.col("d_mean"))
+    domains, tops = staged(domains, "domains"), staged(tops, "suffixes")
+    whole = tops.agg(F.coalesce(F.sum("sk"), F.lit(0)).alias("k"), F.coalesce(F.sum("sn"), F.lit(0)).alias("n")).first()
+    base = (whole.k + 1) / (whole.n + 2)
+    c_suffix, c_domain, c_host = concentration(tops, "sn", "sk"), concentration(domains, "dn", "dk"), concentration(hosts, "n", "k")
+    tops = tops.withColumn("s_mean", (F.col("sk") + c_suffix * base) / (F.col("sn") + c_suffix))
+    domains = (domains.join(tops.select("suffix", "s_mean"), "suffix")
+               .withColumn("d_mean", (F.col("dk") + c_domain * F.col("s_mean")) / (F.col("dn") + c_domain)))
+    a = F.col("k") + c_host * F.col("d_mean")
+    b = F.col("n") - F.col("k") + c_host * (1 - F.col("d_mean"))
     mean = F.col("a") / (F.col("a") + F.col("b"))
     sd = F.sqrt(F.col("a") * F.col("b") / ((F.col("a") + F.col("b")) * (F.col("a") + F.col("b")) * (F.col("a") + F.col("b") + 1)))
-    return (hosts.join(domains.select("domain", "d_mean", "c_host", "wn"), "domain")
+    return (hosts.join(domains.select("domain", "d_mean"), "domain")
             .withColumn("a", a).withColumn("b", b)
-            .select("host", "n", "k", mean.alias("mean"), F.when(F.col("wn") == 0, 1.0).otherwise(F.least(F.lit(1.0), mean + z * sd)).alias("upper")))
+            .select("host", "n", "k", mean.alias("mean"), (F.least(F.lit(1.0), mean + z * sd) if whole.n else F.lit(1.0)).alias("upper")))
 
 
 def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: list[Rule], suffixes: tuple[str, ...] = (),

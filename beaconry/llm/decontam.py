@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beaconry.llm.support import bounded_batches, documents_of, staged
+from beaconry.llm.support import bounded_batches, documents_of, lean, staged
 
 WIDTH, STRIDE = 64, 48  # words of a passage; words from one searched passage to the next
 RANK, SPARE = 128, 8
@@ -51,7 +51,7 @@ def word_rows(texts: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
         number, size = vocabulary.get, len(vocabulary)
         frequency = np.zeros(size + 1, dtype=np.int64)
         kind = None
-        for batch in batches:
+        for batch in lean(batches):
             kind = batch.schema.field(0).type
             out = []
             for text in batch.column(2).to_pylist():
@@ -157,7 +157,7 @@ def sketch(numbered: DataFrame, idf: np.ndarray) -> np.ndarray:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         omega = test_matrix(len(idf))
         total = np.zeros(omega.shape)
-        for batch in batches:
+        for batch in lean(batches):
             for _, texts in groups(batch.column(0).to_pylist()):
                 rows = Passages.of(texts, WIDTH, idf)
                 total += rows.back(rows.times(omega), len(idf))
@@ -265,7 +265,7 @@ def search(numbered: DataFrame, items: Items, idf: np.ndarray, axes: np.ndarray,
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = Searcher(items, idf, axes)
-        for batch in batches:
+        for batch in lean(batches):
             found = [(first + t, *rest) for first, texts in groups(batch.column(2).to_pylist()) for t, *rest in find(texts)]
             row, item, *figures = zip(*found, strict=True) if found else ((),) * 6
             take = pa.array(row, pa.int64())

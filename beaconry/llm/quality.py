@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beaconry.llm.support import bounded_batches, staged, whole_text
+from beaconry.llm.support import bounded_batches, lean, staged, whole_text
 
 FIT_ROWS = 20_000
 
@@ -60,7 +60,7 @@ def features(text: str) -> np.ndarray:
 def features_of(text: Column) -> Column:
     @F.pandas_udf("array<double>")
     def column(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
+        for batch in lean(texts):
             yield pd.Series([features(t) for t in batch], dtype=object)
 
     return column(text)

@@ -11,11 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beaconry.llm.components import connected
-from beaconry.llm.support import LOWER, UPPER, bounded_batches, documents_of, staged
+from beaconry.llm.support import LOWER, UPPER, bounded_batches, documents_of, lean, staged
 
 SEED = 42
 BITS, BLOCK = 64, 16
-MOST_SHINGLES = 1 << 18  # hashed at a time, so that a very long text needs no more memory than a long one
+MOST_SHINGLES = 1 << 16  # hashed at a time, so that a very long text needs no more memory than a long one
 
 
 def fingerprint(text: str, width: int = 3) -> int:
@@ -43,7 +43,7 @@ def fingerprint_of(text: Column, width: int = 3) -> Column:
     """The SimHash of a text column as a long."""
     @F.pandas_udf("long")
     def column(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
+        for batch in lean(texts):
             yield pd.Series([fingerprint(t, width) for t in batch], dtype="int64")
 
     return column(text)

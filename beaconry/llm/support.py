@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +40,20 @@ def kept_in_worker(key: str, make):
     return held[key]
 
 
+def lean(batches: Iterator) -> Iterator:
+    """The same batches, for a task that needs nothing kept: what is kept goes first, and what was freed is returned last.
+
+    A Python worker outlives its tasks, and so would the memory that they no longer use.
+    """
+    if sys.__dict__.pop("_beaconry_kept", None) is not None:
+        gc.collect()
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library only
+    if trim is not None:
+        trim(0)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case; everything else, other scripts' capitals too, stays."""
     return F.translate(text, UPPER, LOWER)

@@ -6,7 +6,7 @@ have their anchors at equal places. An anchor is chosen by a run of neighbouring
 the unit of work. Suffixes that start at anchors whose k bytes stand nowhere else cannot repeat and leave at once; blocks
 that are repeated whole are settled by count. What is left is the rims of repeats: their suffixes are range-partitioned by
 leading bytes with sampled splitters, sorted in each bucket by multikey quicksort, compared with their neighbours, and
-compared across the buckets' boundaries where suffixes of equal leading bytes are too many for one bucket.
+compared across boundaries where suffixes of equal leading bytes are too many to be held together.
 """
 
 from __future__ import annotations
@@ -21,11 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from beaconry.llm.support import documents_of, staged
+from beaconry.llm.support import documents_of, lean, staged
 
 PLACE_BITS = 24  # of an anchor's key; texts are scanned in stretches below 2 ** PLACE_BITS bytes
 STRETCH = 1 << 18
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 8 << 20  # of suffixes, wanted in a bucket and held in a task at a time
+MOST_BUCKETS = 10_000  # and so most borders on the driver; buckets of larger inputs grow, what a task holds does not
 SAMPLES = 20  # suffixes that are sampled for each splitter
 LEAD = 16  # leading bytes by which suffixes are ordered; a hash of k bytes tells equal leads apart
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)  # odd
@@ -131,7 +132,7 @@ def anchor_rows(texts: DataFrame, least: int, k: int) -> DataFrame:
     """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan = AnchorScan(least, k)
-        for batch in batches:
+        for batch in lean(batches):
             data, offsets = binary_column(batch.column(2))
             for low, high, held in stretches(offsets, least):
                 starts = np.array([s for _, s, _ in held]) - low
@@ -228,10 +229,9 @@ class Bucket:
 
 @dataclass
 class Splitters:
-    """Borders of the buckets of suffixes, and the k-byte strings whose suffixes fill more than one bucket."""
+    """Borders of the buckets of suffixes."""
 
     borders: np.ndarray
-    heavy: np.ndarray
 
     @staticmethod
     def keys(lead: list[bytes], gram: np.ndarray, mark: np.ndarray, p: np.ndarray) -> np.ndarray:
@@ -241,20 +241,18 @@ class Splitters:
 
     @staticmethod
     def of(sample: list, buckets: int) -> Splitters:
-        """Quantiles of the sampled suffixes (lead, gram, mark, p).
+        """Quantiles of the sampled suffixes (lead, gram, mark, p, heavy).
 
-        A border is moved in front of all suffixes with its leading bytes, unless these alone reach over two borders.
+        A border is moved in front of all suffixes with its leading bytes, unless these are too many to be held together.
         """
         if not sample:
-            return Splitters(np.zeros(0, f"S{LEAD + 24}"), np.zeros(0, np.int64))
+            return Splitters(np.zeros(0, f"S{LEAD + 24}"))
         gram = np.array([r.gram for r in sample], dtype=np.int64)
         keys = Splitters.keys([bytes(r.lead) for r in sample], gram, np.array([r.mark for r in sample]), np.array([r.p for r in sample]))
         order = np.argsort(keys, kind="stable")
         at = order[np.unique(np.arange(1, buckets) * len(order) // buckets)]
-        fronts, times = np.unique(gram[at], return_counts=True)
-        heavy = fronts[times > 1]
-        whole = [key if g in set(heavy.tolist()) else key[:LEAD + 8] for key, g in zip(keys[at].tolist(), gram[at].tolist(), strict=True)]
-        return Splitters(np.unique(np.array(whole, dtype=f"S{LEAD + 24}")), heavy)
+        whole = [key if sample[i].heavy else key[:LEAD + 8] for key, i in zip(keys[at].tolist(), at.tolist(), strict=True)]
+        return Splitters(np.unique(np.array(whole, dtype=f"S{LEAD + 24}")))
 
 
 def deal(blocks: DataFrame, splitters: Splitters, k: int) -> DataFrame:
@@ -270,21 +268,47 @@ def deal(blocks: DataFrame, splitters: Splitters, k: int) -> DataFrame:
     return blocks.mapInArrow(work, schema)
 
 
-def compare_buckets(blocks: DataFrame, heavy: np.ndarray, least: int, k: int) -> DataFrame:
-    """Repeated strings of ``blocks`` (doc_id, mark, p, a, b, n, gram, bytes, bucket), sorted bucket by bucket.
+def held_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of about ``BUCKET_BYTES`` of a sorted stream of blocks; only heavy suffixes are cut between two tables."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        gram = batch.column(batch.schema.get_field_index("gram")).to_numpy()
+        heavy = batch.column(batch.schema.get_field_index("heavy")).to_numpy(zero_copy_only=False)
+        bytes_ = np.diff(binary_column(batch.column(batch.schema.get_field_index("bytes")))[1])
+        last = held[-1].column(held[-1].schema.get_field_index("gram"))[-1].as_py() if held else None
+        may_cut = heavy | np.r_[batch.num_rows > 0 and gram[0] != last, gram[1:] != gram[:-1]]
+        start = 0
+        for i in range(batch.num_rows):
+            if size >= BUCKET_BYTES and may_cut[i]:
+                held.append(batch.slice(start, i - start))
+                yield pa.Table.from_batches([b for b in held if b.num_rows]).combine_chunks()
+                held, size, start = [], 0, i
+            size += int(bytes_[i])
+        if batch.num_rows > start:
+            held.append(batch.slice(start))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
 
-    Rows have first and last, the places of neighbouring repeated strings of a block with n = 1; or, for blocks of
-    ``heavy`` k-byte strings, which lie in several buckets, one distinct string each with its 128-bit hash, to be compared
-    with those of other buckets: open says that it awaits that, the others only answer.
+def compare_buckets(blocks: DataFrame, least: int, k: int) -> DataFrame:
+    """Repeated strings of ``blocks`` (doc_id, mark, p, a, b, n, gram, heavy, bytes, bucket), dealt and sorted.
+
+    Rows have first and last, the places of neighbouring repeated strings of a block with n = 1; or, for heavy blocks,
+    whose suffixes are not all held together, one distinct string each with its 128-bit hash, to be compared with those
+    held elsewhere: open says that it awaits that, the others only answer.
     """
     fields = [("first", pa.int64()), ("last", pa.int64()), ("left_hash", pa.int64()), ("right_hash", pa.int64()), ("open", pa.bool_())]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(list(batches)).combine_chunks()
+        for rows in held_together(lean(batches)):
+            yield from compared(rows)
+
+    def compared(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         p, a, b, n = (rows.column(c).to_numpy() for c in ("p", "a", "b", "n"))
         bodies = rows.column("bytes").to_pylist()
         bucket = Bucket(bodies, p, a, b, least, k)
-        rim = np.isin(rows.column("gram").to_numpy(), heavy)
+        rim = rows.column("heavy").to_numpy()
         single = n == 1
         hits: list[tuple[np.ndarray, np.ndarray]] = []
         asked: list[tuple[int, int, bytes, bool]] = []
@@ -326,7 +350,7 @@ def compare_buckets(blocks: DataFrame, heavy: np.ndarray, least: int, k: int) ->
         return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "mark", *[f for f, _ in fields]])
 
     kind = blocks.schema["doc_id"].dataType.simpleString()
-    return blocks.groupBy("bucket").applyInArrow(
+    return blocks.mapInArrow(
         work, f"doc_id {kind}, mark long, first long, last long, left_hash long, right_hash long, open boolean")
 
 
@@ -384,20 +408,25 @@ def remove_repeats(docs: DataFrame, least: int = 400, id_col: str = "doc_id", te
     whole = anchors.join(twice, (F.col("gram") == F.col("g")) & (F.col("body") == F.col("h"))).select("doc_id", "mark", F.col("a").alias("first"), F.col("b").alias("last"))
     # the others, and one of each block that they may share strings with
     rims = kinds.filter("kinds > 1 AND fewest = 1").select("n", "gram", "one.doc_id", "one.mark", "one.p", "one.a", "one.b")
-    wanted = rims.groupBy(F.col("doc_id").alias("w_id"), F.col("mark").alias("w_mark")).agg(F.collect_list(F.struct("n", "gram", "p", "a", "b")).alias("blocks"))
+    weight = F.sum(F.col("b") - F.col("a") + least)
+    heavy = rims.groupBy(F.col("gram").alias("g")).agg(weight.alias("weight")).filter(F.col("weight") > BUCKET_BYTES)
+    rims = rims.join(heavy, F.col("gram") == F.col("g"), "left").withColumn("heavy", F.col("weight").isNotNull())
+    wanted = rims.groupBy(F.col("doc_id").alias("w_id"), F.col("mark").alias("w_mark")).agg(F.collect_list(F.struct("n", "gram", "heavy", "p", "a", "b")).alias("blocks"))
     at = F.col("at")
     blocks = staged(
         texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("mark") == F.col("w_mark")))
         .select("doc_id", "mark", "body", F.explode("blocks").alias("at"))
         .select("doc_id", "mark", at["p"].alias("p"), at["a"].alias("a"), at["b"].alias("b"), at["n"].alias("n"), at["gram"].alias("gram"),
+                at["heavy"].alias("heavy"),
                 F.substring(F.col("body"), (at["a"] + 1).cast("int"), (at["b"] - at["a"] + least).cast("int")).alias("bytes")), "suffixes")
     size = blocks.agg(F.coalesce(F.sum(F.length("bytes")), F.lit(0)).alias("bytes"), F.count("*").alias("rows")).first()
-    buckets = -(-size.bytes // BUCKET_BYTES)
+    buckets = min(MOST_BUCKETS, -(-size.bytes // BUCKET_BYTES))
     lead = F.substring(F.col("bytes"), (F.col("p") - F.col("a") + 1).cast("int"), F.lit(min(LEAD, k))).alias("lead")
     share = max(1, size.rows // max(1, SAMPLES * buckets))
-    sample = blocks.filter(F.pmod(F.xxhash64("doc_id", "mark", "p"), F.lit(share)) == 0).select(lead, "gram", "mark", "p")
+    sample = blocks.filter(F.pmod(F.xxhash64("doc_id", "mark", "p"), F.lit(share)) == 0).select(lead, "gram", "mark", "p", "heavy")
     splitters = Splitters.of(sample.collect() if buckets > 1 else [], buckets)  # some SAMPLES rows for each bucket
-    found = staged(compare_buckets(deal(blocks, splitters, k), splitters.heavy, least, k), "compared")
+    dealt = deal(blocks, splitters, k).repartition(max(1, buckets), "bucket").sortWithinPartitions("bucket", lead, "gram", "mark", "p")
+    found = staged(compare_buckets(dealt, least, k), "compared")
     inner = found.filter("left_hash IS NULL").select("doc_id", "mark", "first", "last")
     asked = found.filter("left_hash IS NOT NULL")
     shared = asked.groupBy(F.col("left_hash").alias("l"), F.col("right_hash").alias("r")).agg(F.count("*").alias("c")).filter("c > 1")

@@ -20,7 +20,8 @@ WORD_END = "</w>"  # fixed value: how tokens that close a word end in that vocab
 
 # Texts of other characters go to the library whole: there its normalizer composes marks and maps case.
 PLAIN = r"[\x00-\x1b\x20-įı-ɏ‐-‧]*"
-CACHE_ENTRIES = 200_000
+# What is kept in a Python worker: words are dearer to encode again than runs are to split.
+MOST_WORDS, MOST_RUNS = 450_000, 150_000
 
 
 def binary_pieces(n: int, most: int) -> list[int]:
@@ -72,7 +73,7 @@ class WordIds:
     """Token ids of whole texts under a word vocabulary.
 
     White space separates runs, a run is split into words, and the library encodes each word that it has not seen. What
-    is known of runs and words stays with the Python worker, up to ``CACHE_ENTRIES`` of each.
+    is known of runs and words stays with the Python worker, up to ``MOST_RUNS`` and ``MOST_WORDS``.
     """
 
     def __init__(self, path: str):
@@ -84,9 +85,6 @@ class WordIds:
         vocab = self.library.get_vocab()
         self.closes = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.closes[[i for token, i in vocab.items() if token.endswith(WORD_END)]] = True
-        self.forget()
-
-    def forget(self) -> None:
         self.words, self.word_ids = Numbers(), Ragged()
         self.runs, self.run_ids = Numbers(), Ragged()
 
@@ -113,8 +111,10 @@ class WordIds:
 
     def of_runs(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all runs in a row, and how many each run has."""
-        if max(len(self.runs), len(self.words)) > CACHE_ENTRIES:
-            self.forget()
+        if len(self.runs) > MOST_RUNS:
+            self.runs, self.run_ids = Numbers(), Ragged()
+        if len(self.words) > MOST_WORDS:
+            self.words, self.word_ids = Numbers(), Ragged()
         codes = self.runs.of(runs)
         self.learn_runs()
         return self.run_ids.take(codes)

@@ -17,6 +17,7 @@ WIDTH, STRIDE = 64, 48  # words of a passage; words from one searched passage to
 RANK, SPARE = 128, 8
 COSINE = 0.25
 NEARLY, PART, ANSWER = 0.85, 0.6, 0.6
+RARE = 0.05  # share of the item passages up to which a word of theirs is a rare one
 ROUND_WORDS = 200_000  # benchmark words that are held at a time
 BATCH_WORDS = 1 << 17
 WORD = re.compile(r"\w+")
@@ -224,6 +225,28 @@ class Searcher:
         self.places = [places_of(w) for w in items.words]
         self.answers = [w[-max(3, len(w) // 4):] for w in items.words]
         self.answer_places = [places_of(w) for w in self.answers]
+        holds = np.zeros((len(idf), len(items.words)), dtype=np.uint8)
+        for i, w in enumerate(items.words):
+            holds[w, i] = 1
+        among = holds.sum(axis=1, dtype=np.int64)
+        self.rare = among <= max(1, RARE * len(items.words))
+        # a text that has the words needed has at least these rare ones: all but the item's others
+        self.needed_rare = np.clip(self.needed - holds[~self.rare].sum(axis=0, dtype=np.int64), 0, 255).astype(np.uint8)
+        holds[~self.rare] = 0
+        self.holds = holds
+
+    def rare_words(self, rows: Passages) -> np.ndarray:
+        """How many distinct rare words of each item stand in each passage, whatever their weight in the corpus."""
+        out = np.zeros((len(rows.text), len(self.places)), dtype=np.uint8)
+        at = np.flatnonzero(self.rare[rows.word])
+        row, word = rows.row[at], rows.word[at]
+        first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else np.zeros(0, np.int64)
+        ends = np.r_[first[1:], len(row)]
+        many = max(1, (1 << 24) // (WIDTH * len(self.places)))  # passages that are summed at a time
+        for k in range(0, len(first), many):
+            low, high = first[k], ends[min(k + many, len(first)) - 1]
+            out[row[first[k:k + many]]] = np.add.reduceat(self.holds[word[low:high]], first[k:k + many] - low, axis=0)
+        return out
 
     def packed(self, row: np.ndarray, word: np.ndarray, rows: int) -> np.ndarray:
         wide = -(-len(self.idf) // 64) * 64
@@ -234,30 +257,47 @@ class Searcher:
     def __call__(self, texts: list[np.ndarray]) -> Iterator[tuple[int, int, float, float, float, int]]:
         """(text, item passage, cosine, share of its words, share of its answer, place) of each leak; best first by text."""
         rows = Passages.of(texts, STRIDE, self.idf)
-        cosine = unit(rows.times(self.axes)) @ self.latent.T
-        passage, item = np.nonzero(cosine >= COSINE)
-        if not len(passage):
+        if not len(rows.text):
             return
+        cosine = unit(rows.times(self.axes)) @ self.latent.T
         own = self.packed(rows.row, rows.word, len(rows.text))
-        near = own.copy()  # words of a passage and of two to each side in the same text
-        for step in (1, 2):
+        near, ahead, rare = own.copy(), own.copy(), self.rare_words(rows)
+        here = rare.copy()
+        for step in (1, 2):  # words of a passage and of two to each side in the same text, and of the two that follow
             same = (rows.text[step:] == rows.text[:-step])[:, None]
             near[step:] |= np.where(same, own[:-step], 0)
             near[:-step] |= np.where(same, own[step:], 0)
-        keep = np.zeros(len(passage), dtype=bool)
-        for at in range(0, len(passage), 1 << 14):
-            p, i = passage[at:at + (1 << 14)], item[at:at + (1 << 14)]
-            keep[at:at + (1 << 14)] = np.bitwise_count(near[p] & self.bits[i]).sum(axis=1) >= self.needed[i]
-        for p, i in zip(passage[keep].tolist(), item[keep].tolist(), strict=True):
+            ahead[:-step] |= np.where(same, own[step:], 0)
+            here[:-step] += np.where(same, rare[step:], 0).astype(np.uint8)
+        close = cosine >= COSINE
+        for p, i in self.with_words(np.nonzero(close), near):
             text, size = texts[rows.text[p]], len(self.items.words[i])
             low = max(0, int(rows.start[p]) - size)
             region = text[low:int(rows.start[p]) + WIDTH + size].tolist()
-            share = common_length(self.places[i], size, region) / size
-            if share < PART:
-                continue
-            answer = common_length(self.answer_places[i], len(self.answers[i]), region) / len(self.answers[i])
-            if share >= NEARLY or answer >= ANSWER:
-                yield int(rows.text[p]), i, float(cosine[p, i]), share, answer, int(rows.start[p])
+            if leak := self.leak(i, region):
+                yield int(rows.text[p]), i, float(cosine[p, i]), *leak, int(rows.start[p])
+        for p, i in self.with_words(np.nonzero(here >= self.needed_rare), ahead):
+            text, size, start = texts[rows.text[p]], len(self.items.words[i]), int(rows.start[p])
+            stretches = range(start, min(start + WIDTH, len(text)), max(1, size // 2))
+            leaks = [k for low in stretches if (k := self.leak(i, text[low:low + 2 * size].tolist()))]
+            if leaks:
+                yield int(rows.text[p]), i, float(cosine[p, i]), *max(leaks), start
+
+    def with_words(self, pairs: tuple[np.ndarray, np.ndarray], bits: np.ndarray) -> Iterator[tuple[int, int]]:
+        """The pairs (passage, item passage) where the passage's bits have as many of the item's words as a leak needs."""
+        passage, item = pairs
+        for at in range(0, len(passage), 1 << 14):
+            p, i = passage[at:at + (1 << 14)], item[at:at + (1 << 14)]
+            keep = np.bitwise_count(bits[p] & self.bits[i]).sum(axis=1) >= self.needed[i]
+            yield from zip(p[keep].tolist(), i[keep].tolist(), strict=True)
+
+    def leak(self, i: int, region: list[int]) -> tuple[float, float] | None:
+        """Shares of the item passage's words and of those of its answer, if these words leak it."""
+        share = common_length(self.places[i], len(self.items.words[i]), region) / len(self.items.words[i])
+        if share < PART:
+            return None
+        answer = common_length(self.answer_places[i], len(self.answers[i]), region) / len(self.answers[i])
+        return (share, answer) if share >= NEARLY or answer >= ANSWER else None
 
 
 def search(numbered: DataFrame, items: Items, idf: np.ndarray, axes: np.ndarray, item_type: pa.DataType, item_kind: str) -> DataFrame:
@@ -315,7 +355,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     Texts become passages of ``WIDTH`` words. TF-IDF rows of all passages of the corpus, over the words of the benchmark,
     go through a distributed randomised SVD; passages whose latent cosine with an item's passage reaches ``COSINE`` are
     candidates. A candidate and its surroundings leak the item when their longest common subsequence has ``NEARLY`` of the
-    item passage's words, or ``PART`` of them and ``ANSWER`` of those of its answer, the last quarter.
+    item passage's words, or ``PART`` of them and ``ANSWER`` of those of its answer, the last quarter. An item that is
+    copied often is a common text of the corpus and its words weigh little there, so each stretch of up to one and a half
+    times an item's length is held against that rule without any cosine: all stretches that have enough of its words are.
+    Only looser copies need the cosine.
+
+    A benchmark of more than 6 x ``ROUND_WORDS`` characters is searched in rounds with a vocabulary and axes each; the
+    cosines of an item, and so which of those looser copies are found, depend on the round it is in.
 
     Returns one row for each document and item found: doc_id, item_id, share, answer, cosine, place (the word where the
     passage starts). Documents without a leak have no row. Null and empty texts and items never leak; repeated rows of a

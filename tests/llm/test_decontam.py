@@ -89,3 +89,24 @@ def test_common_length():
     for _ in range(200):
         a, b = [rng.randrange(6) for _ in range(rng.randrange(1, 70))], [rng.randrange(6) for _ in range(rng.randrange(90))]
         assert decontam.common_length(decontam.places_of(np.array(a)), len(a), b) == lcs(a, b)
+
+def test_item_in_a_third_of_the_documents(spark):
+    rng = random.Random(11)
+    prose = [f"p{i}" for i in range(400)]
+    rare = [f"r{i}" for i in range(300)]
+    often = " ".join(rng.sample(prose[:60], 15))
+    bench = [(0, often)] + [(i, " ".join(rng.sample(prose, 12) + rng.sample(rare, 12))) for i in range(1, 40)]
+    docs, copied = [], set()
+    for d in range(600):
+        text = rng.choices(prose, k=150) + rng.choices(rare, k=50)
+        rng.shuffle(text)
+        if d % 3 == 0:
+            at = rng.randrange(len(text))
+            text[at:at] = often.split()
+            copied.add(d)
+        docs.append((d, " ".join(text)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    found = decontam.find_leaks(frame, items).collect()
+    assert {r.doc_id for r in found if r.item_id == 0 and r.share == 1.0} >= copied
+    assert all(r.doc_id not in copied for r in decontam.drop_leaks(frame, items).collect())

@@ -12,6 +12,8 @@ from beaconry.llm.support import ascii_lower, documents_of
 # Everything below 0x80 that is neither a digit nor a lower-case letter separates words.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+SLACK = 3  # words that may stand between two words of a template beside its key phrase
+
 
 @dataclass(frozen=True)
 class Template:
@@ -66,9 +68,12 @@ def rarest(template: Template, frequency: dict[str, int]) -> int:
 
 
 def starts(words: Column, anchors: Column, template: Template, at: int) -> Column:
-    """Where the template begins: postings of its rare word, shifted by that word's position, with the key phrase there."""
+    """Where the template begins: postings of its rare word, shifted by that word's position, with the key phrase there.
+
+    A template that is cut off by the text's beginning begins below 0.
+    """
     def holds(i: Column) -> Column:
-        keep = (F.get(words, i) == template.words[at]) & (i >= at)
+        keep = F.get(words, i) == template.words[at]
         for j in range(*template.key):
             if j != at:
                 keep &= F.get(words, i + (j - at)) == template.words[j]
@@ -77,13 +82,41 @@ def starts(words: Column, anchors: Column, template: Template, at: int) -> Colum
     return F.transform(F.filter(anchors, holds), lambda i: i - at)
 
 
+def in_order(found: Column, expected: tuple[str, ...]) -> Column:
+    """How many expected words stand in ``found`` in their order, each at most ``SLACK`` words after where it is awaited."""
+    if not expected:
+        return F.lit(0)
+
+    def step(state: Column, word: Column) -> Column:
+        ahead = F.array_position(F.slice(found, state["at"] + 1, SLACK + 1), word).cast("int")
+        return F.when(ahead > 0, F.struct((state["at"] + ahead).alias("at"), (state["hits"] + 1).alias("hits"))).otherwise(state)
+
+    begin = F.struct(F.lit(0).alias("at"), F.lit(0).alias("hits"))
+    return F.aggregate(F.array(*[F.lit(w) for w in expected]), begin, step, lambda state: state["hits"])
+
+
 def likeness(words: Column, places: Column, template: Template) -> Column:
-    """The largest share of the template's words that stand at their relative positions; 0 without a place."""
+    """The largest share of the template's words that stand at a place; 0 without a place.
+
+    Beside the key phrase the words of each side count at their relative positions, or in their order outward from the
+    key phrase with up to ``SLACK`` other words before each, whichever gives more.
+    """
+    first, end = template.key
+    sides = [range(first), range(end, len(template.words))]
+
     def share(s: Column) -> Column:
-        hits = [F.coalesce((F.get(words, s + j) == w).cast("int"), F.lit(0)) for j, w in enumerate(template.words)]
-        total = hits[0]
-        for h in hits[1:]:
-            total = total + h
+        total = F.lit(end - first)
+        for side in sides:
+            rigid = F.lit(0)
+            for j in side:
+                rigid = rigid + F.coalesce((F.get(words, s + j) == template.words[j]).cast("int"), F.lit(0))
+            long = len(side) + SLACK
+            if side.start == 0:
+                low = F.greatest(s + first - long, F.lit(0))
+                found, expected = F.reverse(F.slice(words, low + 1, s + first - low)), template.words[:first][::-1]
+            else:
+                found, expected = F.slice(words, s + end + 1, F.lit(long)), template.words[end:]
+            total = total + F.greatest(rigid, in_order(found, expected))
         return total / F.lit(float(len(template.words)))
 
     return F.coalesce(F.array_max(F.transform(places, share)), F.lit(0.0))
@@ -95,9 +128,9 @@ def scan_licenses(docs: DataFrame, phrases: list[Template], templates: list[Temp
 
     One pass counts in how many documents the templates' words stand; the rarest word of each key phrase becomes its
     entry in the positional index. A second pass notes where such words stand, shifts the places by the word's position
-    in its template, keeps those with the whole key phrase and measures how much of the template is there. A template
-    counts from the share ``least`` on; it has to begin inside the text. Since the rare word is one of the key phrase, the choice of word changes the
-    cost and never the result. Neither pass shuffles texts.
+    in its template, keeps those with the whole key phrase and measures how much of the template is there, words missing or put in
+    beside the key phrase allowed. A template counts from the share ``least`` on; one that begins before the text is placed
+    at its start. Since the rare word is one of the key phrase, the choice of word changes the cost and never the result. Neither pass shuffles texts.
 
     Returns doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, and places (array of label and
     start, phrases first) for every row, repeated rows and ids included. Null and empty texts have no words, no places
@@ -125,7 +158,7 @@ def scan_licenses(docs: DataFrame, phrases: list[Template], templates: list[Temp
     base_labels = F.filter(F.array(*[F.when(F.size(f"at_{k}") > 0, F.lit(t.label)) for k, t in enumerate(phrases)]), lambda x: x.isNotNull())
     own_labels = F.filter(F.array(*[F.when(F.col(f"share_{k}") >= least, F.lit(every[k].label)) for k in shares], F.lit(None).cast("string")), lambda x: x.isNotNull())
     best = F.greatest(*[F.when(F.col(f"share_{k}") >= least, F.col(f"share_{k}")).otherwise(0.0) for k in shares], F.lit(0.0), F.lit(0.0))
-    places = F.concat(*[F.transform(F.col(f"at_{k}"), lambda s, label=t.label: F.struct(F.lit(label).alias("label"), s.cast("long").alias("start"))) for k, t in enumerate(every)])
+    places = F.concat(*[F.transform(F.col(f"at_{k}"), lambda s, label=t.label: F.struct(F.lit(label).alias("label"), F.greatest(s.cast("long"), F.lit(0)).alias("start"))) for k, t in enumerate(every)])
     joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
     return rows.select(
         "doc_id", "n_words", F.size("base").cast("long").alias("n_base"),

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconry.llm import decontam, licenses, line_dedup, packing, quality, simhash, suffix_dedup, tokens, topk, urls
+from beaconry.llm import decontam, filter_audit, licenses, line_dedup, packing, quality, simhash, suffix_dedup, tokens, topk, urls
 
 Job = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Job] = {}
@@ -29,7 +29,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# --- op1: suffix-array dedup --------------------------------------------------------------------------------------
+# op1: suffix-array dedup
 
 @query("op1_suffix_dedup")
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-# --- op2: line dedup ----------------------------------------------------------------------------------------------
+# op2: line dedup
 
 LINE_SQL = """
 WITH lines AS (
@@ -67,14 +67,14 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
 
 
-# --- op3: quality classifier --------------------------------------------------------------------------------------
+# op3: quality classifier
 
 @query("op3_quality")
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
 
 
-# --- op4: license scans -------------------------------------------------------------------------------------------
+# op4: license scans
 
 PHRASES = [
     licenses.phrase("cc-by", "cc by"), licenses.phrase("gpl", "general public license"),
@@ -115,14 +115,14 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"), PHRASES).drop("places")
 
 
-# --- op5: token counts --------------------------------------------------------------------------------------------
+# op5: token counts
 
 @query("op5_token_counts")
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
-# --- op6: exact top-k search --------------------------------------------------------------------------------------
+# op6: exact top-k search
 
 TOP_SQL = """
 WITH v AS (
@@ -141,7 +141,7 @@ def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
-# --- op7: packing -------------------------------------------------------------------------------------------------
+# op7: packing
 
 @query("op7_packing")
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,7 +149,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-# --- op8: URL filters ---------------------------------------------------------------------------------------------
+# op8: URL filters
 
 RULES = [
     urls.Rule("allow", "org", "/"), urls.Rule("block", "example.org", "/es/"), urls.Rule("block", "example.org", "/en/1"),
@@ -217,15 +217,57 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(pages, outcomes, RULES, SUFFIXES).withColumns({c: F.round(c, 6) for c in ("rate", "upper")})
 
 
-# --- op9: benchmark decontamination -------------------------------------------------------------------------------
+# op9: benchmark decontamination
 
 @query("op9_decontamination")
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-# --- op10: SimHash near-dedup -------------------------------------------------------------------------------------
+# op10: SimHash near-dedup
 
 @query("op10_simhash")
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3)
+
+
+# op13: filter interaction audit
+
+AUDITED = {
+    "A": lambda text, words: F.size(words) < 200,
+    "B": lambda text, words: F.size(F.array_distinct(words)) * 100 < F.size(words) * 50,
+    "C": lambda text, words: (F.length(text) - F.length(F.regexp_replace(text, "[A-Z]", ""))) * 100 > F.length(text) * 3,
+    "D": lambda text, words: text.rlike("[#$%&*|]"),
+}
+
+AUDIT_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws, min(doc_id) OVER (PARTITION BY t) AS lowest FROM d),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, (len(ws) < 200)::INT + 2 * (100 * len(list_distinct(ws)) < 50 * len(ws))::INT
+         + 4 * (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t))::INT
+         + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(w.doc_id > lowest, false)::INT AS mask,
+         coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+  FROM w LEFT JOIN l ON l.doc_id = w.doc_id),
+k AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY ALL),
+f(f, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+o AS (
+  SELECT concat(a.f, b.f, c.f, d.f, e.f) AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits FROM f a, f b, f c, f d, f e
+  WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+s AS (SELECT filter_order, step::INT AS step, bits[step] AS bit, list_sum(bits[1:step])::INT AS upto FROM o, range(1, 6) r(step)),
+r AS (
+  SELECT part, filter_order, step, bit, sum(n) FILTER (mask & upto = 0) AS kept, sum(n) FILTER (mask & upto = bit) AS removed,
+         sum(n) FILTER (mask & bit <> 0) AS failing, sum(n) FILTER (mask = bit) AS unique_fails,
+         sum(good) FILTER (mask & upto = bit) AS good_lost, sum(toxic) FILTER (mask & upto = bit) AS toxic_lost
+  FROM k, s GROUP BY ALL)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+  (coalesce(failing, 0) - coalesce(removed, 0))::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+  coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+  coalesce(sum(removed) OVER (PARTITION BY part, bit), 0)::BIGINT AS shapley
+FROM r"""
+
+
+@query("op13_filter_audit", AUDIT_SQL)
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), AUDITED, repeats="E")

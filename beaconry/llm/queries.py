@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconry.llm import decontam, filter_audit, licenses, line_dedup, packing, pieces, quality, simhash, suffix_dedup, tokens, topk, urls
+from beaconry.llm import decontam, filter_audit, licenses, line_dedup, packing, pieces, quality, simhash, spelling, suffix_dedup, tokens, topk, urls
 
 Job = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Job] = {}
@@ -231,6 +231,52 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3)
 
 
+# op11: spelling variant grouping
+
+# The checksum is worked out bit by bit: a list has each byte, then seven zeros.
+SPELLING_SQL = """
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+keyed AS (SELECT concat(doc_id, ':', run) AS key, run, count(*) AS n FROM runs GROUP BY ALL),
+bits AS (
+  SELECT run, n, flatten(list_transform(flatten(list_transform(string_split(key, ''),
+    lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)] ELSE [192 + ord(c) // 64, 128 + ord(c) % 64] END)), lambda b: [b, 0, 0, 0, 0, 0, 0, 0])) AS b FROM keyed),
+summed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295::BIGINT, b::BIGINT[]),
+    lambda h, x: xor(xor(h, x) >> 1, 3988292384::BIGINT * (xor(h, x) & 1))), 4294967295::BIGINT) AS h FROM bits),
+damaged AS (
+  SELECT CASE WHEN h % 97 = 0 THEN concat(substring(run, 1, (h % length(run))::INT), substring(run, (h % length(run))::INT + 2)) ELSE run END AS word, n FROM summed),
+v AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM damaged WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cut AS (SELECT word, n, p, concat(substring(word, 1, p), substring(word, p + 2)) AS rest FROM (SELECT word, n, unnest(range(length(word)))::INT AS p FROM v)),
+shorter AS (SELECT DISTINCT c.word AS long, c.n AS long_n, v.word AS short, v.n AS short_n FROM cut c JOIN v ON v.word = c.rest),
+near AS (
+  SELECT a.word, b.word AS form, b.n AS form_n FROM cut a JOIN cut b ON a.p = b.p AND a.rest = b.rest AND a.word <> b.word
+  UNION ALL SELECT long, short, short_n FROM shorter UNION ALL SELECT short, long, long_n FROM shorter),
+best AS (
+  SELECT word, count(*) AS n_near, first(form ORDER BY form_n DESC, encode(form)) AS form, max(form_n) AS form_n FROM near GROUP BY word),
+forms AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * v.n THEN form END AS form,
+         CASE WHEN form_n >= 2 * v.n THEN form_n END AS form_n FROM v LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, word AS root, 0 AS step FROM forms
+  UNION ALL SELECT w.word, f.form, step + 1 FROM walk w JOIN forms f ON f.word = w.root WHERE f.form IS NOT NULL),
+roots AS (SELECT word, arg_max(root, step) AS root FROM walk GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)"""
+
+
+def damaged(doc_id: Column, run: Column) -> Column:
+    """The run, without one of its letters where 97 divides the checksum of id and run."""
+    mark = F.crc32(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), run))
+    at = (mark % F.length(run)).cast("int")
+    return F.when(mark % 97 == 0, F.concat(F.substring(run, F.lit(1), at), F.substring(run, at + 2, F.length(run)))).otherwise(run)
+
+
+@query("op11_spelling_variants", SPELLING_SQL)
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(table(spark, sf_dir, "documents"), least_letters=5, least_count=3, damage=damaged)
+    return spelling.group_variants(words, times=2)
+
+
 # op12: SentencePiece encoding and decoding
 
 @query("op12_sentencepiece")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from beaconry.functions import records as rec, trace_context as tc
 from beaconry.operators.hot_keys import HOT, KEY, SLOT, SLOT_ROWS, slotted
+from beaconry.operators.slot_tree import SlotTree, largest_over_slots, locate, slot_tree
 
 _FOREVER = 2**63 - 1
 _PARENTS = "span_id string, context_id string, trace_id string, start_ms bigint, parent_span_id string"
@@ -20,44 +21,52 @@ def infer_parent_spans(spans: DataFrame, slot_rows: int = SLOT_ROWS) -> DataFram
     Reads context_id, trace_id, span_id, start_ms, start_seq, finish_ms (null: never finished), finish_seq and
     inbound_parent. (ms, seq) is the order of the marks.
 
-    Each slot of a context is replayed on its own. It first receives the spans that are open across its border. Of
-    the spans that never finish only the last one started matters to later slots, because it hides all before it.
+    Each slot of a hot context is replayed on its own. It first receives the spans that end in it and began before it,
+    and, of those that stay open throughout, the one that began last: it hides all others. See ``spans_from_before``.
     """
     marks = ["context_id", "trace_id", "span_id", "start_ms", "start_seq", "finish_ms", "finish_seq",
              "inbound_parent"]
     placed = slotted(spans.select(marks), ["context_id", "trace_id"], ["start_ms", "start_seq", "span_id"], slot_rows)
-    borders = placed.where(HOT).groupBy(KEY, SLOT).agg(F.min("start_ms").alias("_slot_from"))
-    by_key = borders.groupBy(KEY).agg(F.sort_array(F.collect_list(F.struct("_slot_from", SLOT))).alias("_borders"))
-    # bounded: only hot keys have borders, and they have few; see hot_keys
-    known = placed.where(HOT).join(by_key, KEY)
-    later = F.filter("_borders", lambda b: b[SLOT] > F.col(SLOT))
-    crossed = known.where(F.col("finish_ms").isNotNull()).withColumn(
-        "_to", F.explode(F.filter(later, lambda b: b["_slot_from"] <= F.col("finish_ms"))))
-    never = known.where(F.col("finish_ms").isNull())
-    last_never = never.groupBy(KEY, SLOT).agg(
-        F.max_by(F.struct(*marks, "_borders"), F.struct("start_ms", "start_seq")).alias("_s"))
-    hidden_by = last_never.select(KEY, SLOT, "_s.*").withColumn("_to", F.explode(later))
-    columns = [KEY, *marks]
-    carried = crossed.select(*columns, F.col("_to")[SLOT].alias(SLOT)).unionByName(
-        hidden_by.select(*columns, F.col("_to")[SLOT].alias(SLOT)))
-    every = placed.select(*columns, SLOT).withColumn("_own", F.lit(True)).unionByName(
-        carried.withColumn("_own", F.lit(False)))
+    every = placed.select(KEY, *marks, SLOT).withColumn("_own", F.lit(True))
+    tree = slot_tree(placed, F.struct("start_ms", "start_seq"))
+    if tree is not None:
+        before = spans_from_before(placed.where(HOT), tree)
+        every = every.unionByName(before.select(KEY, *marks, SLOT).withColumn("_own", F.lit(False)))
     # sorted runs stream through the replay: it holds the open spans of one run, never the run itself
     forever = F.lit(_FOREVER)
     runs = every.select(
         KEY, SLOT, "context_id", "trace_id", "span_id", "start_ms", "start_seq",
+        F.coalesce("start_ms", -forever).alias("_at"),
         F.coalesce("finish_ms", forever).alias("finish_ms"), F.coalesce("finish_seq", forever).alias("finish_seq"),
         F.coalesce("inbound_parent", F.lit("")).alias("inbound_parent"), "_own")
-    return runs.repartition(KEY, SLOT).sortWithinPartitions(KEY, SLOT, "start_ms", "start_seq").mapInPandas(
+    return runs.repartition(KEY, SLOT).sortWithinPartitions(KEY, SLOT, "_at", "start_seq").mapInPandas(
         _replay, _PARENTS)
 
 
+def spans_from_before(hot: DataFrame, tree: SlotTree) -> DataFrame:
+    """What each slot must know of spans that began in earlier ones, as spans placed in that slot.
+
+    A span that ends in a later slot goes to that slot. For the slots between, and for all later ones if it never ends,
+    it is filed on the tree's nodes; each slot takes the latest start of the nodes above it. That is one row per span,
+    one per slot, and at most two a level of the tree for each span that reaches over whole slots.
+    """
+    ending = locate(hot.where(F.col("finish_ms").isNotNull()), tree, F.struct("finish_ms", "finish_seq"), "_until")
+    later = ending.where(F.col("_until") > F.col(SLOT))
+    past = F.lit(1 << tree.levels).cast("bigint")  # slots of other keys are there too, under their own key
+    reaching = later.unionByName(hot.where(F.col("finish_ms").isNull()).withColumn("_until", past))
+    own = [c for c in hot.columns if c not in (KEY, SLOT, HOT)]
+    covers = largest_over_slots(reaching, tree, F.col(SLOT) + 1, F.col("_until"), F.struct(
+        F.struct("start_ms", "start_seq").alias("started"), F.struct(*own).alias("span")))
+    whole = covers.select(KEY, SLOT, "_value.span.*")
+    return later.drop(SLOT, HOT).withColumnRenamed("_until", SLOT).unionByName(whole)
+
+
 def _replay(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     run, stack = None, []  # stack: (finish, span id) of spans that may still be open, latest start on top
     for frame in frames:
         parents = []
         for key, slot, span, ms, seq, end_ms, end_seq, inbound in zip(
-                *(frame[c].tolist() for c in (KEY, SLOT, "span_id", "start_ms", "start_seq", "finish_ms", "finish_seq",
+                *(frame[c].tolist() for c in (KEY, SLOT, "span_id", "_at", "start_seq", "finish_ms", "finish_seq",
                                               "inbound_parent"))):
             if (key, slot) != run:
                 run, stack = (key, slot), []

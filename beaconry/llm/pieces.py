@@ -83,10 +83,18 @@ class PieceCoder:
         for p in own:
             self.matcher.add_word(p, len(p))
         self.matcher.make_automaton()
-        parted = not any(pair[1] == SPACE != pair[0] for pair in self.inside)
-        self.split = regex.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+" if parted else "(?s).+")
+        self.split = regex.compile(self.chunk_pattern())
         self.chunks, self.pairs = Memory(CHUNKS), Memory(CHUNKS)
 
+    def chunk_pattern(self) -> str:
+        """Where texts are cut into chunks: before spaces, and between letters and others, if no piece of this vocabulary has such a place inside."""
+        letter = regex.compile(r"\p{L}").match
+        if any(b == SPACE != a for a, b in self.inside):
+            return "(?s).+"
+        if any(SPACE != a and bool(letter(a)) != bool(letter(b)) for a, b in self.inside):
+            return f"{SPACE}*[^{SPACE}]+|{SPACE}+"
+        return rf"{SPACE}*\p{{L}}+|{SPACE}*[^{SPACE}\p{{L}}]+|{SPACE}+"
+
     def merged(self, text: str) -> list[str]:
         """The pieces of a short text by plain merging: the best-scored pair first, the leftmost of equal ones."""
         parts = list(text)
@@ -114,22 +122,25 @@ class PieceCoder:
             longest[end + 1 - size] = size
         failed = bytearray(len(text) // 8 + 1)
         pieces: list[str] = []
+        shorter, pairs, size = self.shorter, self.pairs.new, len(text)
         at, piece = 0, text[:longest[0]]
-        while at < len(text):
+        while at < size:
+            left = pieces[-1] if pieces else None
             while piece is not None:
                 end = at + len(piece)
-                if not failed[end >> 3] >> (end & 7) & 1 and (not pieces or self.fit(pieces[-1], piece)):
-                    break
-                piece = self.shorter[piece]
+                if not failed[end >> 3] >> (end & 7) & 1:
+                    fit = left is None or pairs.get((left, piece))
+                    if self.fit(left, piece) if fit is None else fit:
+                        break
+                piece = shorter[piece]
             if piece is None:
                 failed[at >> 3] |= 1 << (at & 7)
-                piece = pieces.pop()
-                at -= len(piece)
-                piece = self.shorter[piece]
+                at -= len(left)
+                piece = shorter[pieces.pop()]
             else:
                 pieces.append(piece)
                 at = end
-                piece = text[at:at + longest[at]] if at < len(text) else None
+                piece = text[at:at + longest[at]] if at < size else None
         return pieces
 
     def chunk_ids(self, chunk: str) -> bytes:

@@ -19,6 +19,18 @@ def _events(spark, sf_dir):
     return stream.withColumn("at", F.col("ts").cast("timestamp"))
 
 
+def _arriving(spark, df, label, parts, late_ms):
+    """The rows of ``df`` as a stream of ``parts`` micro-batches; each row arrives up to ``late_ms`` after its time."""
+    arrival = F.col("ts_ms") + F.pmod(F.xxhash64("event_id"), F.lit(late_ms))
+    low, high = df.agg(F.min(arrival), F.max(arrival)).first()
+    number = F.floor((arrival - F.lit(low or 0)) * parts / ((high or 0) - (low or 0) + 1))
+    folder, files = scratch_dir(spark, label), spark.sparkContext.defaultParallelism
+    for part in range(parts):  # files are taken in the order in which they were written
+        df.where(number == part).repartition(files).write.parquet(f"{folder}/part={part}")
+    return (spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).option("recursiveFileLookup", "true")
+            .parquet(folder))
+
+
 def _finish(df, spark, label):
     folder = scratch_dir(spark, label)
     run.to_parquet(df, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
@@ -72,29 +84,31 @@ def stream_dedupe(spark, sf_dir):
     return _finish(stateless.stream_dedupe(twice, "at", ["event_id"], "40 days").drop("at"), spark, "dedupe")
 
 
-@job("stream_breadcrumbs", f"SELECT process_id, error_id, event_id, message FROM {OWNED_CRUMBS.format(limit=3)}")
-def stream_breadcrumbs(spark, sf_dir):
-    columns = {**t.CRUMB_MARKS.columns, "at": "CAST(ts AS timestamp)"}
-    marks = t.Projection("events", columns).over(_events(spark, sf_dir)).select(
-        "process_id", "at", "ts_ms", "event_id", "is_error", "message")
-    return _finish(stateful.stream_breadcrumbs(marks, "1 minute", limit=3), spark, "crumbs")
+_LATEST_MS = "(SELECT epoch_us(max(ts)) // 1000 FROM events)"
+_MINUTE_MS, _DAY_MS = 60_000, 86_400_000
 
 
-_LATEST_MS = "(SELECT epoch_us(max(ts)) // 1000 FROM events)"
-_DAY_MS = 86_400_000
+@job("stream_breadcrumbs", f"""
+SELECT process_id, error_id, event_id, message FROM {OWNED_CRUMBS.format(limit=3)} WHERE error_id IN (
+  SELECT event_id FROM events WHERE (epoch_us(ts) // 1000 // {_MINUTE_MS} + 1) * {_MINUTE_MS} <= {_LATEST_MS} - {2 * _DAY_MS})""")
+def stream_breadcrumbs(spark, sf_dir):
+    """Marks that arrive up to two days late, in four micro-batches; errors of the last two days still wait."""
+    spark = run.tune_streams(spark)
+    marks = t.CRUMB_MARKS.frame(spark, sf_dir).select("process_id", "ts_ms", "event_id", "is_error", "message")
+    arriving = _arriving(spark, marks, "crumb-marks", 4, 2 * _DAY_MS).withColumn("at", F.timestamp_millis("ts_ms"))
+    return _finish(stateful.stream_breadcrumbs(arriving, "2 days", limit=3, ttl_ms=400 * _DAY_MS, bucket_ms=_MINUTE_MS), spark, "crumbs")
 
 
 @job("stream_sessions", f"""
 SELECT session_id, CASE WHEN NOT ended AND status IN ('ok', 'errored') THEN 'abnormal' ELSE status END AS status,
   error_count, started_ms, duration_ms, ended FROM {FOLDED}
-WHERE ended OR started_ms + duration_ms + {_DAY_MS} <= {_LATEST_MS} - 60000""")
+WHERE started_ms + duration_ms + CASE WHEN ended THEN 0 ELSE 4 * {_DAY_MS} END <= {_LATEST_MS} - {2 * _DAY_MS}""")
 def stream_sessions(spark, sf_dir):
-    """Sessions as they end; those silent for a day end as abnormal."""
-    events = _events(spark, sf_dir)
-    columns = {**t.SESSION_MARKS.columns, "at": "CAST(ts AS timestamp)"}
-    marks = t.Projection("events", columns).over(events).select(
-        "session_id", "at", "ts_ms", "event_id", "mark", "final_status")
-    return _finish(stateful.stream_sessions(marks, "1 minute", _DAY_MS), spark, "sessions")
+    """Sessions as they end, from marks that arrive up to two days late in four micro-batches; those silent for four days end as abnormal."""
+    spark = run.tune_streams(spark)
+    marks = t.SESSION_MARKS.frame(spark, sf_dir).select("session_id", "ts_ms", "event_id", "mark", "final_status")
+    arriving = _arriving(spark, marks, "session-marks", 4, 2 * _DAY_MS).withColumn("at", F.timestamp_millis("ts_ms"))
+    return _finish(stateful.stream_sessions(arriving, "2 days", 4 * _DAY_MS), spark, "sessions")
 
 
 @job("stream_traces", f"""

@@ -1,7 +1,8 @@
-"""Keyed state: breadcrumbs waiting for their error, and sessions waiting for their end.
+"""Keyed state in event time: breadcrumbs waiting for their error, and sessions waiting for their end.
 
-Each key's rows of a micro-batch meet in one task, so the intake limits of the source bound what a hot key costs.
-State is small by rule: at most ``limit`` crumbs per process, one row per session.
+What arrives is not what happened first. Breadcrumbs are kept back until the watermark has passed them and are then taken
+in the order of their times. Sessions need no order: marks are folded to a few numbers before they reach the state, and a
+fold is the same whichever marks come first.
 """
 
 from __future__ import annotations
@@ -10,70 +11,211 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from beaconry import fixed_values as fixed
 
+BUCKET_MS = 60_000
 
-def _wake(handle: StatefulProcessorHandle, at_ms: int) -> None:
-    """One timer per key: replace what is set."""
-    for timer in list(handle.listTimers()):
-        handle.deleteTimer(timer)
-    handle.registerTimer(at_ms)
+
+class _Reorder:
+    """Rows of one key that wait, by time bucket, until no older ones can come.
+
+    A bucket's rows lie in parts, one per batch of arriving rows, so that nothing is written twice and a hot key is never
+    held whole: arriving rows are seen batch by batch, waiting ones bucket by bucket. A bucket has one timer, at its end.
+    Rows without a time are the earliest. ``columns`` begin with the two that order rows, the first in milliseconds.
+    """
+
+    def __init__(self, handle: StatefulProcessorHandle, columns: list[str], bucket_ms: int):
+        self.handle, self.columns, self.bucket_ms = handle, columns, bucket_ms
+        self.rows = handle.getMapState("rows", "bucket bigint, part int", "rows string")
+        self.parts = handle.getMapState("parts", "bucket bigint", "parts int")
+
+    def add(self, frame: pd.DataFrame) -> None:
+        time = self.columns[0]
+        frame = frame[self.columns].assign(**{time: frame[time].fillna(0).astype("int64")})
+        for number, some in frame.groupby(frame[time].to_numpy() // self.bucket_ms, sort=False):
+            key = (int(number),)
+            known = self.parts.getValue(key)
+            part = known[0] if known else 0
+            self.rows.updateValue((*key, part), (some.to_json(orient="values"),))
+            self.parts.updateValue(key, (part + 1,))
+            if not part:
+                self.handle.registerTimer((key[0] + 1) * self.bucket_ms)
+
+    def due(self, at_ms: int) -> Iterator[list]:
+        """The rows of all buckets that end by ``at_ms``, in order; they are forgotten."""
+        for number in sorted(b for b, in list(self.parts.keys()) if (b + 1) * self.bucket_ms <= at_ms):
+            held = []
+            for part in range(self.parts.getValue((number,))[0]):
+                held += json.loads(self.rows.getValue((number, part))[0])
+                self.rows.removeKey((number, part))
+            self.parts.removeKey((number,))
+            held.sort(key=lambda row: row[:2])
+            yield from held
 
 
 class _Crumbs(StatefulProcessor):
-    def __init__(self, limit: int, ttl_ms: int):
-        self.limit, self.ttl_ms = limit, ttl_ms
+    def __init__(self, limit: int, ttl_ms: int, bucket_ms: int = BUCKET_MS):
+        self.limit, self.ttl_ms, self.bucket_ms = limit, ttl_ms, bucket_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getValueState("waiting", "crumbs string")
+        self.marks = _Reorder(handle, ["ts_ms", "event_id", "is_error", "message"], self.bucket_ms)
+        self.waiting = handle.getValueState("waiting", "crumbs string, latest bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        marks = pd.concat(rows).sort_values(["ts_ms", "event_id"])
+        for frame in rows:
+            self.marks.add(frame)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = expiredTimerInfo.getExpiryTimeInMs()
         held = self.waiting.get()
-        waiting = json.loads(held[0]) if held else []
-        taken = []
-        for event_id, is_error, message in zip(marks["event_id"], marks["is_error"], marks["message"]):
+        waiting, latest = (json.loads(held[0]), held[1]) if held else ([], 0)
+        taken, seen = [], False
+        for ts_ms, event_id, is_error, message in self.marks.due(now):
+            seen = True
+            if waiting and ts_ms > latest + self.ttl_ms:
+                waiting = []
             if is_error:
-                taken += [(key[0], int(event_id), crumb_id, text) for crumb_id, text in waiting]
+                taken += [(key[0], event_id, crumb_id, text) for crumb_id, text in waiting]
                 waiting = []
             else:
-                waiting = (waiting + [(int(event_id), message)])[-self.limit:]
+                waiting = (waiting + [(event_id, message)])[-self.limit:]
+            latest = ts_ms
+        if not seen and now > latest + self.ttl_ms:
+            waiting = []
         if waiting:
-            self.waiting.update((json.dumps(waiting),))
-            _wake(self.handle, int(marks["ts_ms"].max()) + self.ttl_ms)
+            if seen:
+                self.waiting.update((json.dumps(waiting), latest))
+                self.handle.registerTimer(latest + self.ttl_ms + 1)
         elif held:
             self.waiting.clear()
         yield pd.DataFrame(taken, columns=["process_id", "error_id", "event_id", "message"])
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.waiting.clear()
-        return iter(())
-
     def close(self) -> None:
         pass
 
 
 def stream_breadcrumbs(marks: DataFrame, delay: str, limit: int = fixed.MAX_BREADCRUMBS,
-                       ttl_ms: int = fixed.SPOOL_MAX_AGE_SECONDS * 1000) -> DataFrame:
+                       ttl_ms: int = fixed.SPOOL_MAX_AGE_SECONDS * 1000, bucket_ms: int = BUCKET_MS) -> DataFrame:
     """One row per crumb an error takes. Reads at (event time), process_id, ts_ms, event_id, is_error, message.
 
-    The crumbs of a process that stays silent for ``ttl_ms`` past the watermark are forgotten.
-
-    Marks of a process must reach the stream in the order of their micro-batches; inside one they are sorted.
+    Marks may come in any order: those of a bucket of ``bucket_ms`` are taken, in the order of (ts_ms, event_id), once the
+    watermark is past the bucket, so nothing that is at most ``delay`` late is misplaced. Crumbs are forgotten after
+    ``ttl_ms`` without a mark of their process.
     """
     return marks.withWatermark("at", delay).groupBy("process_id").transformWithStateInPandas(
-        statefulProcessor=_Crumbs(limit, ttl_ms),
+        statefulProcessor=_Crumbs(limit, ttl_ms, bucket_ms),
         outputStructType="process_id string, error_id bigint, event_id bigint, message string",
         outputMode="Append", timeMode="EventTime")
 
 
-_SESSION = "severity int, errors bigint, started bigint, latest bigint"
 _STATUS = ["ok", "errored", "abnormal", "crashed"]
 _SEVERITY = {"error": 1, "abnormal": 2, "crash": 3}
+_FOLDED = ("session_id string, at timestamp, started bigint, latest bigint, worst array<array<bigint>>, errors array<array<bigint>>, "
+           "ended array<bigint>, final string")
+_SESSIONS_HELD = 100_000
+
+
+class _Fold:
+    """What a session's marks come to: times of the first and last, the first mark of each severity, errors, the first end.
+
+    Marks are (ms, event id). Severities and errors after the first end do not count, but whether an end is the first
+    shows only when all marks are in, so they keep their mark; errors that no end can precede any more are a mere count.
+    """
+
+    __slots__ = ("started", "latest", "worst", "errors", "ended", "final", "counted")
+
+    def __init__(self, started=None, latest=None, worst=(), errors=(), ended=None, final=None, counted=0):
+        self.started, self.latest, self.final, self.counted = started, latest, final, counted
+        self.ended = None if ended is None else (int(ended[0]), int(ended[1]))
+        self.worst, self.errors = [tuple(map(int, w)) for w in worst], [tuple(map(int, e)) for e in errors]
+
+    def add(self, other: _Fold) -> None:
+        self.started = other.started if self.started is None else min(self.started, other.started)
+        self.latest = other.latest if self.latest is None else max(self.latest, other.latest)
+        first = {}
+        for severity, *mark in sorted([*self.worst, *other.worst]):
+            first.setdefault(severity, (severity, *mark))
+        self.worst = list(first.values())
+        if other.ended is not None and (self.ended is None or other.ended < self.ended):
+            self.ended, self.final = other.ended, other.final
+        self.errors = [*self.errors, *other.errors]
+        self.counted += other.counted
+        if self.ended is not None:
+            self.errors = [e for e in self.errors if e <= self.ended]
+
+    def settle(self, before_ms: int) -> None:
+        """Errors before a time that no end can have any more are counted."""
+        if self.ended is None:
+            open_ = [e for e in self.errors if e[0] >= before_ms]
+            self.counted += len(self.errors) - len(open_)
+            self.errors = open_
+
+    def severity(self) -> int:
+        return max((s for s, *mark in self.worst if self.ended is None or tuple(mark) <= self.ended), default=0)
+
+    def packed(self) -> str:
+        return json.dumps([getattr(self, name) for name in self.__slots__], default=int)
+
+
+def _fold_frames(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Marks, or folds of marks, to one fold per session; a task that meets very many sessions hands on what it has."""
+    held: dict[str, tuple[pd.Timestamp, _Fold]] = {}
+
+    def rows() -> pd.DataFrame:
+        return pd.DataFrame([(key, at, f.started, f.latest, f.worst, f.errors, f.ended, f.final) for key, (at, f) in held.items()], columns=[
+            "session_id", "at", "started", "latest", "worst", "errors", "ended", "final"])
+
+    for frame in frames:
+        some = zip(*(frame[c] for c in frame.columns), strict=True)
+        if "mark" in frame.columns:
+            some = _folds_of_marks(frame)
+        for key, at, *fold in some:
+            fold = _Fold(*fold)
+            if key in held:
+                held[key][1].add(fold)
+                held[key] = (max(at, held[key][0]), held[key][1])
+            else:
+                held[key] = (at, fold)
+        if len(held) > _SESSIONS_HELD:
+            yield rows()
+            held.clear()
+    yield rows()
+
+
+def _folds_of_marks(frame: pd.DataFrame) -> Iterator[tuple]:
+    """A batch's marks by session, folded a session at a time without a look at every row."""
+    frame = frame.assign(ts_ms=frame["ts_ms"].fillna(0).astype("int64"), event_id=frame["event_id"].astype("int64")).sort_values(["ts_ms", "event_id"])
+    by = frame.groupby("session_id", sort=False)
+    spans = by.agg(at=("at", "max"), started=("ts_ms", "min"), latest=("ts_ms", "max"))
+    special = frame[frame["mark"].isin(["error", "crash", "abnormal", "end"])]
+    marks: dict[str, list] = {}
+    for key, ts_ms, event_id, mark, final in zip(*(special[c].tolist() for c in ("session_id", "ts_ms", "event_id", "mark", "final_status")), strict=True):
+        worst, errors, ended = marks.setdefault(key, ({}, [], []))
+        if mark == "end":
+            if not ended:
+                ended += [(ts_ms, event_id), final if isinstance(final, str) and final else None]
+            continue
+        worst.setdefault(_SEVERITY[mark], (_SEVERITY[mark], ts_ms, event_id))
+        if mark != "abnormal":
+            errors.append((ts_ms, event_id))
+    for key, at, started, latest in zip(spans.index, spans["at"], spans["started"].tolist(), spans["latest"].tolist(), strict=True):
+        worst, errors, ended = marks.get(key, ({}, [], []))
+        yield key, at, started, latest, list(worst.values()), errors, *(ended or (None, None))
+
+
+def fold_marks(marks: DataFrame) -> DataFrame:
+    """Session marks to one fold per session: within each task first, then once more where a session's folds meet.
+
+    Stateless, so it works on a stream, where it hands on one row per session and micro-batch: what a hot session's marks
+    cost the keyed step is a row per task. Reads at, session_id, ts_ms, event_id, mark, final_status.
+    """
+    rows = marks.select("session_id", F.col("at").cast("timestamp"), "ts_ms", "event_id", "mark", "final_status")
+    return rows.mapInPandas(_fold_frames, _FOLDED).repartition("session_id").mapInPandas(_fold_frames, _FOLDED)
 
 
 class _Sessions(StatefulProcessor):
@@ -82,54 +224,57 @@ class _Sessions(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getValueState("open", _SESSION)
-        self.closed = handle.getValueState("closed", "at bigint")
+        self.open = handle.getValueState("open", "fold string")
+        self.closed = handle.getValueState("closed", "until bigint")
 
-    def _row(self, key, status, errors, started, latest, ended):
-        return pd.DataFrame([(key[0], status, errors, started, max(latest - started, 0), ended)], columns=[
-            "session_id", "status", "error_count", "started_ms", "duration_ms", "ended"])
+    def _wake(self, at_ms: int) -> None:
+        """One timer per session: replace what is set."""
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(at_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        if self.closed.exists():
-            for _ in rows:  # marks after the end are ignored
-                pass
-            return
-        marks = pd.concat(rows).sort_values(["ts_ms", "event_id"])
-        severity, errors, started, latest = self.open.get() if self.open.exists() else (0, 0, None, 0)
-        for ts_ms, mark, final in zip(marks["ts_ms"], marks["mark"], marks["final_status"]):
-            ts_ms = int(ts_ms)
-            started = ts_ms if started is None else min(started, ts_ms)
-            latest = max(latest, ts_ms)
-            severity = max(severity, _SEVERITY.get(mark, 0))
-            errors += mark in ("error", "crash")
-            if mark == "end":
-                self.open.clear()
-                self.closed.update((ts_ms,))
-                _wake(self.handle, latest + self.idle_ms)
-                status = final if isinstance(final, str) and final else _STATUS[severity]
-                yield self._row(key, status, errors, started, latest, True)
-                return
-        self.open.update((severity, errors, started, latest))
-        _wake(self.handle, latest + self.idle_ms)
+        fold = _Fold(*json.loads(self.open.get()[0])) if self.open.exists() else None
+        for frame in rows:
+            for _, _, *row in zip(*(frame[c] for c in frame.columns), strict=True):
+                if fold is None:
+                    fold = _Fold()
+                fold.add(_Fold(*row))
+        if self.closed.exists():  # marks after the end are ignored
+            return iter(())
+        fold.settle(timerValues.getCurrentWatermarkInMs())
+        self.open.update((fold.packed(),))
+        self._wake(fold.ended[0] if fold.ended is not None else fold.latest + self.idle_ms)
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.open.exists():
-            severity, errors, started, latest = self.open.get()
-            self.open.clear()
-            yield self._row(key, _STATUS[max(severity, _SEVERITY["abnormal"])], errors, started, latest, False)
-        self.closed.clear()
+        if not self.open.exists():
+            self.closed.clear()
+            return iter(())
+        fold = _Fold(*json.loads(self.open.get()[0]))
+        ended = fold.ended is not None
+        last = fold.ended[0] if ended else fold.latest
+        status = fold.final if ended and fold.final else _STATUS[fold.severity() if ended else max(fold.severity(), _SEVERITY["abnormal"])]
+        started = min(fold.started, last)
+        self.open.clear()
+        if ended:
+            self.closed.update((last + self.idle_ms,))
+            self._wake(last + self.idle_ms)
+        return iter([pd.DataFrame([(key[0], status, fold.counted + len(fold.errors), started, last - started, ended)], columns=[
+            "session_id", "status", "error_count", "started_ms", "duration_ms", "ended"])])
 
     def close(self) -> None:
         pass
 
 
 def stream_sessions(marks: DataFrame, delay: str, idle_ms: int) -> DataFrame:
-    """Sessions as they end. One that stays silent for ``idle_ms`` past the watermark ends as abnormal, or as crashed.
+    """Sessions once they have ended. One that stays silent for ``idle_ms`` past the watermark ends as abnormal, or as crashed.
 
-    Reads at (event time), session_id, ts_ms, event_id, mark, final_status. That a session has ended is remembered
-    for ``idle_ms``, so that later marks are ignored.
+    Reads at (event time), session_id, ts_ms, event_id, mark, final_status. Marks may come in any order: a session is given
+    out when the watermark is past its first end, with what came before that end. That it has ended is remembered for
+    ``idle_ms``, so that later marks are ignored. Folds are late, and dropped, if their latest mark is.
     """
-    return marks.withWatermark("at", delay).groupBy("session_id").transformWithStateInPandas(
+    return fold_marks(marks).withWatermark("at", delay).groupBy("session_id").transformWithStateInPandas(
         statefulProcessor=_Sessions(idle_ms),
         outputStructType="session_id string, status string, error_count bigint, started_ms bigint, "
                          "duration_ms bigint, ended boolean",

@@ -11,7 +11,7 @@ from beaconry.operators import spans
 from beaconry.streaming import stateful
 
 
-@pytest.mark.parametrize("what", [spans._replay, scrub._scrub_tree, stateful._Crumbs(3, 1), stateful._Sessions(1)])
+@pytest.mark.parametrize("what", [spans._replay, scrub._scrub_tree, stateful._Crumbs(3, 1), stateful._Sessions(1), stateful._fold_frames])
 def test_loads_without_the_package(what, tmp_path):
     done = subprocess.run(
         [sys.executable, "-I", "-c", "import pickle, sys; pickle.load(sys.stdin.buffer); assert 'beaconry' not in sys.modules"],

@@ -34,20 +34,56 @@ def with_time(df):
     return df.withColumn("at", F.timestamp_millis("ts_ms"))
 
 
+def shuffled(spark, df, folder, parts):
+    """A stream of ``df`` in ``parts`` files that hold rows of any time, and a last one far later, which moves the watermark."""
+    for part in range(parts):
+        df.where(F.pmod(F.xxhash64("event_id"), F.lit(parts)) == part).orderBy(F.rand(part)).coalesce(1).write.parquet(f"{folder}/part={part}")
+    last = df.limit(1).withColumns({df.columns[0]: F.lit("last"), "ts_ms": F.lit(4 * 10**12)})
+    last.coalesce(1).write.parquet(f"{folder}/part={parts}")
+    return with_time(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(folder))
+
+
 def test_breadcrumbs(spark, sf_dir, tmp_path):
+    """Marks in shuffled micro-batches give the batch result."""
     marks = t.CRUMB_MARKS.frame(spark, sf_dir).select("process_id", "ts_ms", "event_id", "is_error", "message")
-    stream = with_time(fed(spark, marks, str(tmp_path / "in"), 3))
-    got = finish(spark, stateful.stream_breadcrumbs(stream, "1 hour", limit=4, ttl_ms=10**10), str(tmp_path))
+    stream = shuffled(spark, marks, str(tmp_path / "in"), 3)
+    got = finish(spark, stateful.stream_breadcrumbs(stream, "90 days", limit=4, ttl_ms=10**10, bucket_ms=3_600_000), str(tmp_path))
     want = context.crumb_owners(marks, 4).select("process_id", "error_id", "event_id", "message")
-    assert rows(got) == rows(want)
+    assert rows(got.where("process_id <> 'last'")) == rows(want)
+
+
+def test_breadcrumbs_are_forgotten(spark, tmp_path):
+    hour = 3_600_000
+    marks = spark.createDataFrame([("p", 1 * hour, 1, False, "a"), ("p", 2 * hour, 2, False, "b"), ("p", 9 * hour, 3, True, "c"), ("p", None, 4, False, "d"),
+                                   ("q", 1 * hour, 5, False, "e"), ("q", 3 * hour, 6, True, "f"), ("q", 3 * hour, 7, True, "g")],
+                                  "process_id string, ts_ms long, event_id long, is_error boolean, message string")
+    got = finish(spark, stateful.stream_breadcrumbs(shuffled(spark, marks, str(tmp_path / "in"), 2), "90 days", ttl_ms=5 * hour), str(tmp_path))
+    assert rows(got) == [("q", 6, 5, "e")]
 
 
 def test_sessions(spark, sf_dir, tmp_path):
+    """Shuffled micro-batches again; every session is closed by the late mark, those without an end as abnormal or crashed."""
     marks = t.SESSION_MARKS.frame(spark, sf_dir).select("session_id", "ts_ms", "event_id", "mark", "final_status")
-    stream = with_time(fed(spark, marks, str(tmp_path / "in"), 3))
-    got = finish(spark, stateful.stream_sessions(stream, "1 hour", 10**10), str(tmp_path))
-    want = sessions.fold_sessions(marks).where("ended").select(got.columns)
-    assert rows(got.where("ended")) == rows(want)
+    stream = shuffled(spark, marks, str(tmp_path / "in"), 3)
+    got = finish(spark, stateful.stream_sessions(stream, "90 days", 10**10), str(tmp_path))
+    folded = sessions.fold_sessions(marks)
+    silent = ~F.col("ended") & F.col("status").isin("ok", "errored")
+    want = folded.withColumn("status", F.when(silent, "abnormal").otherwise(F.col("status"))).select(got.columns)
+    assert rows(got.where("session_id <> 'last'")) == rows(want)
+
+
+def test_marks_fold_to_a_row_a_session(spark):
+    """However many marks a session has, and wherever they lie, one row reaches the state."""
+    marks = with_time(spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 500)).alias("session_id"), (F.col("id") * 7919 % 30_000).alias("ts_ms"),
+        F.col("id").alias("event_id"), F.when(F.col("id") % 97 == 0, "error").when(F.col("id") == 29_999, "end").otherwise("start").alias("mark"),
+        F.lit(None).cast("string").alias("final_status"))).repartition(7)
+    folds = stateful.fold_marks(marks).collect()
+    assert len(folds) == len({r.session_id for r in folds}) == marks.select("session_id").distinct().count()
+    hot = next(r for r in folds if r.session_id == "hot")
+    held = marks.where("session_id = 'hot'")
+    assert (hot.started, hot.latest) == tuple(held.agg(F.min("ts_ms"), F.max("ts_ms")).first())
+    assert {tuple(e) for e in hot.errors} == {(r.ts_ms, r.event_id) for r in held.where("mark = 'error'").collect()}
 
 
 def test_retention(spark, tmp_path):

@@ -172,6 +172,96 @@ def scrub_values(value: Column, data_type: T.DataType, send_default_pii: bool =
     return walk(value, data_type)
 
 
+def scrub_typed(value: Column, data_type: T.DataType, extra: Iterable[str] = (), send_default_pii: bool = False,
+                vendor: str | None = None, keep: Iterable[str] = ()) -> Column:
+    """Both layers over a parsed document whose type is known, which stays: native expressions along the schema.
+
+    A sensitive field that is no text becomes null, as the mark cannot be read as its type. ``keep`` names top-level
+    fields that stay. Text that is itself JSON is scanned as text here; see ``holds_documents``.
+    """
+    terms, unscanned, kept = denied_terms(extra, vendor), set(fixed.UNSCANNED_KEYS), set(keep)
+    rule = _key_rule(terms)
+
+    def denied(col: Column, kind: T.DataType) -> Column:
+        mark = F.lit(fixed.REDACTED) if isinstance(kind, T.StringType) else F.lit(None).cast(kind)
+        return F.when(col.isNotNull(), mark)
+
+    def walk(col: Column, kind: T.DataType, scan: bool, top: bool = False) -> Column:
+        if isinstance(kind, T.StringType):
+            return scrub_text(col, send_default_pii) if scan else col
+        if isinstance(kind, T.StructType):
+            fields = []
+            for f in kind.fields:
+                at = col[f.name]
+                if not (top and f.name in kept):
+                    scanned = scan and f.name.lower() not in unscanned
+                    at = denied(at, f.dataType) if _is_denied(f.name, terms) else walk(at, f.dataType, scanned)
+                fields.append(at.alias(f.name))
+            return F.when(col.isNotNull(), F.struct(*fields))
+        if isinstance(kind, T.MapType):
+            def member(k: Column, v: Column) -> Column:
+                free = F.when(F.lower(k).isin(fixed.UNSCANNED_KEYS), walk(v, kind.valueType, False)).otherwise(
+                    walk(v, kind.valueType, scan))
+                mark = F.lit(fixed.REDACTED) if isinstance(kind.valueType, T.StringType) else F.lit(None).cast(kind.valueType)
+                return F.when(F.lower(k).rlike(rule), mark).otherwise(free)
+            return F.transform_values(col, member)
+        if isinstance(kind, T.ArrayType):
+            return F.transform(col, lambda item: walk(item, kind.elementType, scan))
+        return col
+
+    return walk(value, data_type, True, top=True)
+
+
+def may_hold_secrets(document: Column, extra: Iterable[str] = (), send_default_pii: bool = False, vendor: str | None = None,
+                     values: bool = True) -> Column:
+    """Whether a JSON text can have anything to redact: a quick native test that errs on the safe side.
+
+    Where it says no, both layers leave every member as it is. Escapes may spell anything, so they count as a find.
+    """
+    finds = [F.lower(document).rlike(_key_rule(denied_terms(extra, vendor))), document.rlike(r"\\u[0-9a-fA-F]{4}")]
+    if values:
+        finds += [document.rlike(_CARD_GUARD), document.rlike(r"(?U)\d{3}-\d{2}-\d{4}"), F.lower(document).contains("bearer"),
+                  document.contains("eyJ")]
+        if not send_default_pii:
+            finds += [document.contains("@"), document.rlike(r"(?U)\d\.\d+\.\d+\.\d")]
+    out = finds[0]
+    for find in finds[1:]:
+        out = out | find
+    return out
+
+
+def holds_documents(value: Column, data_type: T.DataType, extra: Iterable[str] = (), send_default_pii: bool = False,
+                    vendor: str | None = None) -> Column:
+    """Whether text inside a parsed document was a nested document, or a number, with something in it to redact.
+
+    Only free members can be: the values of maps, and text fields that may be given as anything.
+    """
+    def hit(text: Column) -> Column:
+        return F.coalesce(text.rlike(r"^\s*(?:[\[{]|-?\d{13})") & may_hold_secrets(text, extra, send_default_pii, vendor), F.lit(False))
+
+    def walk(col: Column, kind: T.DataType) -> Column | None:
+        if isinstance(kind, T.StringType):
+            return hit(col)
+        if isinstance(kind, T.StructType):
+            found = [w for f in kind.fields if (w := walk(col[f.name], f.dataType)) is not None]
+            out = None
+            for each in found:
+                out = each if out is None else out | each
+            return out
+        if isinstance(kind, T.MapType):
+            if walk(F.lit(None), kind.valueType) is None:
+                return None
+            return F.coalesce(F.exists(F.map_values(col), lambda v: walk(v, kind.valueType)), F.lit(False))
+        if isinstance(kind, T.ArrayType):
+            if walk(F.lit(None), kind.elementType) is None:
+                return None
+            return F.coalesce(F.exists(col, lambda v: walk(v, kind.elementType)), F.lit(False))
+        return None
+
+    found = walk(value, data_type)
+    return F.lit(False) if found is None else found
+
+
 # ---- free-form JSON: the one place that needs Python, because its shape is not known to the plan ----
 
 _CARD_RE = re.compile(fixed.CARD_RUN)
@@ -238,7 +328,7 @@ def scrub_json(document: Column, extra: Iterable[str] = (), send_default_pii: bo
                vendor: str | None = None, values: bool = True, keep: Iterable[str] = ()) -> Column:
     """Both scrubbing layers over free-form JSON text, in Arrow batches. Text that is no JSON is scrubbed as text.
 
-    ``keep`` names top-level keys that stay, such as the session id the records are joined on. No document fails the
+    A document in which a native test finds nothing to redact stays as it is and is not parsed. ``keep`` names top-level keys that stay, such as the session id the records are joined on. No document fails the
     job.
     """
     kept = tuple(keep)
@@ -263,4 +353,7 @@ def scrub_json(document: Column, extra: Iterable[str] = (), send_default_pii: bo
                 return _scrub_broken(text, denied, send_default_pii, values)
         return batch.map(one)
 
-    return scrub_batch(document)
+    def guarded(text: Column) -> Column:
+        return may_hold_secrets(text, extra, send_default_pii, vendor, values)
+
+    return F.coalesce(scrub_batch(F.when(guarded(document), document)), document)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from beaconry import fixed_values as fixed
+from beaconry import fixed_values as fixed, schemas
+from beaconry.operators import normalize
 from beaconry.plans import check_sql as sql
 from beaconry.plans.context_jobs import OWNED_CRUMBS
 from beaconry.plans.registry import job
@@ -37,43 +38,121 @@ def _finish(df, spark, label):
     return spark.read.schema(df.schema).parquet(f"{folder}/out")
 
 
-@job("stream_ingest", f"""
-SELECT 'logs' AS kind, event_id, level, regexp_replace(replace(message, concat('u', user_id, '@example.com'), '[REDACTED]'),
-  'from [0-9.]+', 'from [REDACTED]') AS message FROM ({t.LOGS.sql()}) WHERE level <> 'warning'
-UNION ALL SELECT 'rejected_logs', event_id, level, regexp_replace(replace(message, concat('u', user_id, '@example.com'),
-  '[REDACTED]'), 'from [0-9.]+', 'from [REDACTED]') FROM ({t.LOGS.sql()}) WHERE level = 'warning'
+_MAIL = "regexp_replace(replace({0}, concat('u', user_id, '@example.com'), '[REDACTED]'), 'from [0-9.]+', 'from [REDACTED]')"
+_ERRORS = (f"SELECT event_id, user_id, level, raised, raised_message AS message FROM (SELECT *, CASE WHEN event_id % 3 = 0 THEN 'loud' "
+           f"ELSE 'error' END AS level FROM ({t.ACCESS.sql()}) WHERE raised IS NOT NULL)")
+_BEATS = f"SELECT run_id, slug, lower(status) AS status, 'kept for 10.0.0.1' AS message FROM ({t.HEARTBEATS.sql()})"
+_SOUND = "regexp_matches(slug, '^[a-z0-9-]+$') AND status IN ('success', 'failed')"
+
+INGESTED = f"""
+SELECT 'logs' AS kind, event_id, level, {_MAIL.format('message')} AS message FROM ({t.LOGS.sql()}) WHERE level <> 'warning'
+UNION ALL SELECT 'rejected_logs', event_id, level, {_MAIL.format('message')} FROM ({t.LOGS.sql()}) WHERE level = 'warning'
+UNION ALL SELECT CASE WHEN level = 'loud' OR message = '' THEN 'rejected_errors' ELSE 'errors' END, event_id,
+  concat(level, '/', raised, '/', CASE WHEN level = 'loud' THEN 'level' WHEN message = '' THEN 'message' ELSE '' END),
+  concat({_MAIL.format('message')}, CASE WHEN event_id % 4 = 2 THEN concat(' {{"pwd":"[REDACTED]","n":', event_id, '}}') ELSE '' END) FROM ({_ERRORS})
 UNION ALL SELECT 'http_requests', event_id, upper(method), host FROM ({t.ACCESS.sql()}) WHERE upper(method) IN {sql.in_list(fixed.CAPTURED_METHODS)}
+UNION ALL SELECT 'spans', o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'error' ELSE 'ok' END,
+  CASE WHEN o_orderkey % 2 = 0 THEN 'order of [REDACTED] {{"token":"[REDACTED]","n":1}}' ELSE 'order of [REDACTED] {{"n":2}}' END FROM orders
+UNION ALL SELECT 'db_queries', statement_id, coalesce(status, 'success'), CASE WHEN status = 'error' THEN 'asked by [REDACTED]' ELSE '' END
+  FROM ({t.STATEMENTS.sql()})
+UNION ALL SELECT 'heartbeats', run_id, concat(slug, '/', status), 'kept for [REDACTED]' FROM ({_BEATS}) WHERE {_SOUND}
+UNION ALL SELECT 'rejected_heartbeats', run_id, concat(slug, '/', status), 'kept for [REDACTED]' FROM ({_BEATS}) WHERE NOT ({_SOUND})
+UNION ALL SELECT 'replay_events', event_id, session_id, concat('{{"event":', event_id, ',"cookie":"[REDACTED]"}}') FROM ({t.REPLAY_EVENTS.sql()})
+UNION ALL SELECT 'session_starts', event_id, release, session_id FROM ({t.SESSION_MARKS.sql()})
+UNION ALL SELECT 'session_ends', event_id, 'ok', session_id FROM ({t.SESSION_MARKS.sql()}) WHERE mark = 'end'
+UNION ALL SELECT 'releases', deploy_id, 'main', 'by [REDACTED]' FROM ({t.DEPLOYS.sql()})
 UNION ALL SELECT 'rejected_envelopes', event_id, CASE event_id % 3 WHEN 0 THEN 'kind' WHEN 1 THEN 'path' ELSE 'document' END,
-  CASE event_id % 3 WHEN 1 THEN concat('{{"path":7,"payload":{{}},"ts":', event_id, '}}') WHEN 2 THEN concat('{{"ts":', event_id, ',') END FROM events""")
-def stream_ingest(spark, sf_dir):
-    """A spool folder to typed, validated, scrubbed tables of every kind; what is no envelope of a known path is rejected."""
-    spark = run.tune_streams(spark)
-    folder = scratch_dir(spark, "ingest")
-    logs = t.LOGS.frame(spark, sf_dir).withColumn("error_id", F.col("event_id").cast("string"))
+  CASE event_id % 3 WHEN 1 THEN concat('{{"path":7,"payload":{{}},"ts":', event_id, '}}') WHEN 2 THEN concat('{{"ts":', event_id, ',') END FROM events"""
+
+
+def _envelopes_of_all_kinds(spark, sf_dir):
+    """Envelopes of the ten kinds: texts with addresses in them, and here and there a nested document with a secret."""
     from beaconry.operators import delivery, instrument as ins
     from beaconry.operators.wire import to_wire, wire_item
 
-    requests = ins.request_rows(ins.asgi_requests(t.ACCESS.frame(spark, sf_dir))).withColumn("error_fingerprint", F.col("event_id").cast("string"))
-    batches = delivery.chunk_batches(requests, ["host"], ["ts_ms", "event_id"], wire_item(requests, "http_requests"), "requests")
-    env.write_spool(env.to_envelopes(logs, "logs", to_wire(logs, "logs"), F.col("ts_ms")).unionByName(
-        env.to_envelopes(batches, "http_requests", F.to_json(F.struct("requests")), F.lit(0).cast("bigint"))), f"{folder}/spool")
+    never = F.lit(0).cast("bigint")
+
+    def one(kind, rows, payload=None):
+        return env.to_envelopes(rows, kind, to_wire(rows, kind) if payload is None else payload, never)
+
+    def batched(kind, rows, by, order, item=None):
+        field = schemas.KINDS[kind][2]
+        bodies = delivery.chunk_batches(rows, by, order, wire_item(rows, kind) if item is None else item, field)
+        return env.to_envelopes(bodies, kind, F.to_json(F.struct(field)), never)
+
+    logs = t.LOGS.frame(spark, sf_dir).withColumn("error_id", F.col("event_id").cast("string"))
+    access = t.ACCESS.frame(spark, sf_dir)
+    errors = access.where("raised IS NOT NULL").select(
+        F.col("raised").alias("exceptionClass"), F.col("raised_message").alias("message"), F.expr("CASE WHEN event_id % 3 = 0 THEN 'loud' ELSE 'error' END AS level"),
+        F.struct(F.expr("CASE WHEN event_id % 4 = 2 THEN struct(CAST(user_id AS string) AS pwd, event_id AS n) END AS note")).alias("metadata"),
+        F.col("event_id").cast("string").alias("dist"), "trace_id")
+    requests = ins.request_rows(ins.asgi_requests(access)).withColumn("error_fingerprint", F.col("event_id").cast("string"))
+    spans = t.read(spark, sf_dir, "orders").selectExpr(
+        "CAST(o_orderkey AS string) AS spanId", "'http.server' AS operation", "concat('order of c', o_custkey, '@example.org') AS description",
+        "CASE WHEN o_orderstatus = 'F' THEN 'error' ELSE 'ok' END AS status", "o_custkey % 10 AS part", "o_orderkey AS id",
+        "struct(CASE WHEN o_orderkey % 2 = 0 THEN 'abc' END AS token, CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 2 END AS n) AS data")
+    queries = normalize.normalize_db(t.STATEMENTS.frame(spark, sf_dir)).withColumns({
+        "service": F.col("statement_id").cast("string"), "part": F.col("statement_id") % 10,
+        "error_message": F.when(F.col("status") == "error", F.concat(F.lit("asked by c"), "statement_id", F.lit("@example.net"))).otherwise("")})
+    beats = t.HEARTBEATS.frame(spark, sf_dir).withColumns({"message": F.lit("kept for 10.0.0.1"), "duration_ms": F.col("run_id")})
+    replay = t.REPLAY_EVENTS.frame(spark, sf_dir).withColumn("fingerprint", F.coalesce("fingerprint", F.lit("")))
+    replay_item = F.struct(F.col("event_type").alias("eventType"), F.struct(F.col("event_id").alias("event"), F.lit("c=1").alias("cookie")).alias("eventData"))
+    replays = delivery.chunk_batches(replay, ["fingerprint", "session_id"], ["event_id"], replay_item, "events").withColumnRenamed("session_id", "sessionId")
+    marks = t.SESSION_MARKS.frame(spark, sf_dir)
+    starts = marks.select("session_id", "release", F.col("event_id").cast("string").alias("user_id"))
+    ends = marks.where("mark = 'end'").select("session_id", F.col("event_id").alias("duration_ms"), F.lit("ok").alias("status"))
+    releases = t.DEPLOYS.frame(spark, sf_dir).select(
+        F.col("deploy_id").cast("string").alias("version"), F.lit("main").alias("branch"), F.lit("by dev@example.com").alias("message"))
+    found = [
+        one("logs", logs), one("errors", errors, F.to_json(F.struct("exceptionClass", "message", "level", "metadata", "dist"))),
+        batched("http_requests", requests, ["host"], ["ts_ms", "event_id"]),
+        batched("spans", spans, ["part"], ["id"], F.struct("spanId", "operation", "description", "status", "data")),
+        batched("db_queries", queries, ["part"], ["statement_id"]), one("heartbeats", beats),
+        one("replay_events", replays, F.to_json(F.struct("fingerprint", "sessionId", "events"))),
+        one("session_starts", starts), one("session_ends", ends), one("releases", releases)]
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    return every
+
+
+@job("stream_ingest", INGESTED)
+def stream_ingest(spark, sf_dir):
+    """A folder of envelopes of all ten kinds to typed, validated, scrubbed tables; what is no envelope of a known path is rejected."""
+    spark = run.tune_streams(spark)
+    folder = scratch_dir(spark, "ingest")
+    entry = F.concat(F.lit('{"path":'), F.to_json(F.col("path").cast("variant")), F.lit(',"payload":'), "payload", F.lit(',"ts":0}'))
+    _envelopes_of_all_kinds(spark, sf_dir).select(entry.alias("value")).write.text(f"{folder}/spool/known")
     strange = """CASE event_id % 3 WHEN 0 THEN concat('{"path":"/ingest/v1/unheard-of","payload":{"password":"p"},"ts":', event_id, '}')
         WHEN 1 THEN concat('{"path":7,"payload":{},"ts":', event_id, '}') ELSE concat('{"ts":', event_id, ',') END AS value"""
     t.read(spark, sf_dir, "events").selectExpr(strange).write.text(f"{folder}/spool/strange")
     incoming = env.read_envelopes(spark, f"{folder}/spool", stream=True)
     stateless.stream_ingest(incoming, f"{folder}/tables", f"{folder}/checkpoint").awaitTermination()
 
-    def table(kind):
-        return spark.read.parquet(f"{folder}/tables/{kind}").select(
-            F.lit(kind).alias("kind"), F.col("error_id").cast("bigint").alias("event_id"), "level", "message")
-
-    served = spark.read.parquet(f"{folder}/tables/http_requests").select(
-        F.lit("http_requests").alias("kind"), F.col("error_fingerprint").cast("bigint").alias("event_id"), F.col("method").alias("level"),
-        F.col("host").alias("message"))
-    refused = spark.read.parquet(f"{folder}/tables/rejected_envelopes").select(
-        F.lit("rejected_envelopes").alias("kind"), F.coalesce("ts", F.regexp_extract("value", '"ts":([0-9]+)', 1).try_cast("bigint")).alias("event_id"),
-        F.col("rejected").alias("level"), F.col("value").alias("message"))
-    return table("logs").unionByName(table("rejected_logs")).unionByName(served).unionByName(refused)
+    def table(kind, *columns):
+        return spark.read.parquet(f"{folder}/tables/{kind}").selectExpr(f"'{kind}' AS kind", *columns)
+
+    log = ["CAST(error_id AS bigint) AS event_id", "level", "message"]
+    error = ["CAST(dist AS bigint) AS event_id", "concat(level, '/', exception_class, '/', {}) AS level",
+             "concat(message, coalesce(concat(' ', metadata['note']), '')) AS message"]
+    beat = ["duration_ms AS event_id", "concat(slug, '/', status) AS level", "message"]
+    found = [
+        table("logs", *log), table("rejected_logs", *log),
+        table("errors", *(c.format("''") for c in error)), table("rejected_errors", *(c.format("rejected") for c in error)),
+        table("http_requests", "CAST(error_fingerprint AS bigint) AS event_id", "method AS level", "host AS message"),
+        table("spans", "CAST(span_id AS bigint) AS event_id", "status AS level", "concat(description, ' ', data) AS message"),
+        table("db_queries", "CAST(service AS bigint) AS event_id", "status AS level", "error_message AS message"),
+        table("heartbeats", *beat), table("rejected_heartbeats", *beat),
+        table("replay_events", "CAST(get_json_object(event_data, '$.event') AS bigint) AS event_id", "session_id AS level", "event_data AS message"),
+        table("session_starts", "CAST(user_id AS bigint) AS event_id", "release AS level", "session_id AS message"),
+        table("session_ends", "duration_ms AS event_id", "status AS level", "session_id AS message"),
+        table("releases", "CAST(version AS bigint) AS event_id", "branch AS level", "message"),
+        table("rejected_envelopes", "coalesce(ts, try_cast(regexp_extract(value, '\"ts\":([0-9]+)', 1) AS bigint)) AS event_id",
+              "rejected AS level", "value AS message")]
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    return every
 
 
 @job("stream_dedupe", "SELECT event_id, user_id FROM events")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from beaconry import fixed_values as fixed, schemas
-from beaconry.functions.scrub import scrub_json
+from beaconry.functions.scrub import holds_documents, scrub_json, scrub_typed
 
 _SPOOL_NAME = r"(\d{13})-(\d{8})-([^/]*)\.json"
 
@@ -50,6 +50,24 @@ def route(envelopes: DataFrame, kind: str) -> DataFrame:
         "ts", F.from_json("payload", ddl).alias("body")).select("ts", "body.*")
 
 
+def route_scrubbed(envelopes: DataFrame, kind: str, vendor: str | None = None, send_default_pii: bool = False,
+                   keep: tuple[str, ...] = ("sessionId",)) -> DataFrame:
+    """``route`` with both scrubbing layers applied to the payloads.
+
+    Payloads are parsed by the kind's schema and scrubbed by native expressions along it. Only those that hold, in a free
+    member such as metadata, a nested document with something to redact are scrubbed as JSON of unknown shape in Python.
+    """
+    path, ddl, _ = schemas.KINDS[kind]
+    body = F.from_json("payload", ddl)
+    typed = envelopes.where(F.col("path") == path).select("ts", "payload", body.alias("body"))
+    shape = typed.schema["body"].dataType
+    options = {"vendor": vendor, "send_default_pii": send_default_pii}
+    free = holds_documents(F.col("body"), shape, **options)
+    easy = typed.where(~free).select("ts", scrub_typed(F.col("body"), shape, keep=keep, **options).alias("body"))
+    nested = typed.where(free).select("ts", F.from_json(scrub_json(F.col("payload"), keep=keep, **options), ddl).alias("body"))
+    return easy.unionByName(nested).select("ts", "body.*")
+
+
 def explode_batch(bodies: DataFrame, kind: str) -> DataFrame:
     """One row per item of a batch body; columns beside the batch (a replay's fingerprint and session) stay."""
     field = schemas.KINDS[kind][2]

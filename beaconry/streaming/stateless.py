@@ -18,8 +18,9 @@ def ingest_writer(out: str, kinds: list[str] | None = None, vendor: str | None =
     """A foreachBatch step: envelopes scrubbed, routed, unrolled, validated and written, one folder per kind.
 
     All kinds unless ``kinds`` names some. Rejected rows get a folder of their own, with the reason; so do, under
-    ``rejected_envelopes``, documents that are no envelopes and envelopes of a path that no kind of these has. The batch
-    is read once per kind; persisting it spares the scrubbing from running again.
+    ``rejected_envelopes``, documents that are no envelopes and envelopes of a path that no kind of these has. Payloads are
+    parsed and scrubbed natively by their kind's schema; see ``route_scrubbed`` for the few that are not. The batch is read
+    once per kind, so it is persisted.
     """
     kinds = list(schemas.KINDS) if kinds is None else kinds
     paths = [schemas.KINDS[kind][0] for kind in kinds]
@@ -28,11 +29,10 @@ def ingest_writer(out: str, kinds: list[str] | None = None, vendor: str | None =
         if "rejected" not in batch.columns:
             batch = batch.withColumns({"rejected": F.lit(None).cast("string"), "value": F.lit(None).cast("string")})
         known = F.col("rejected").isNull() & F.col("path").isin(paths)
-        clean = batch.withColumn("payload", scrub_json(
-            F.col("payload"), vendor=vendor, send_default_pii=send_default_pii, keep=["sessionId"])).persist()
+        batch = batch.persist()
         try:
             for kind in kinds:
-                rows = env.route(clean, kind)
+                rows = env.route_scrubbed(batch, kind, vendor, send_default_pii)
                 if schemas.KINDS[kind][2]:
                     rows = env.explode_batch(rows, kind)
                 rows = rows.toDF(*[wire.snake(c) for c in rows.columns])
@@ -45,12 +45,13 @@ def ingest_writer(out: str, kinds: list[str] | None = None, vendor: str | None =
                 checked = check(rows)
                 write_batch(normalize.valid(checked), f"{out}/{kind}", batch_id)
                 write_batch(normalize.rejected(checked), f"{out}/rejected_{kind}", batch_id)
-            strange = clean.where(~F.coalesce(known, F.lit(False))).select(
-                "path", "payload", "ts", scrub_json(F.col("value"), vendor=vendor, send_default_pii=send_default_pii).alias("value"),
+            scrubbed = {c: scrub_json(F.col(c), vendor=vendor, send_default_pii=send_default_pii, keep=["sessionId"]) for c in ("payload", "value")}
+            strange = batch.where(~F.coalesce(known, F.lit(False))).withColumns(scrubbed).select(
+                "path", "payload", "ts", "value",
                 F.coalesce("rejected", F.lit("kind")).alias("rejected"))
             write_batch(strange, f"{out}/rejected_envelopes", batch_id)
         finally:
-            clean.unpersist()
+            batch.unpersist()
 
     return write
 

@@ -16,15 +16,16 @@ def trace_summary(spans: DataFrame) -> DataFrame:
     children = spans.where(F.col("parent_span_id") != "").groupBy(
         "trace_id", F.col("parent_span_id").alias("span_id")).agg(F.sum("duration_ms").alias("_children_ms"))
     self_ms = F.greatest(F.col("duration_ms") - F.coalesce("_children_ms", F.lit(0)), F.lit(0))
-    is_root = F.col("parent_span_id") == ""
-    return (
-        spans.join(children, ["trace_id", "span_id"], "left").groupBy("trace_id").agg(
-            F.min_by("operation", F.when(is_root, F.struct("start_ms", "span_id"))).alias("root_operation"),
-            F.count(F.lit(1)).alias("spans"),
-            F.count_if(F.col("status") == "error").alias("error_spans"),
-            (F.max("end_ms") - F.min("start_ms")).alias("wall_ms"),
-            F.sum(self_ms).alias("self_ms"))
-    )
+    numbers = spans.select("trace_id", "span_id", "status", "start_ms", "end_ms", "duration_ms").join(
+        children, ["trace_id", "span_id"], "left").groupBy("trace_id").agg(
+        F.count(F.lit(1)).alias("spans"),
+        F.count_if(F.col("status") == "error").alias("error_spans"),
+        (F.max("end_ms") - F.min("start_ms")).alias("wall_ms"),
+        F.sum(self_ms).alias("self_ms"))
+    # names apart from numbers: an aggregate with text in it must sort, and only the rows of roots have to
+    roots = spans.where(F.col("parent_span_id") == "").groupBy("trace_id").agg(
+        F.min(F.struct("start_ms", "span_id", "operation"))["operation"].alias("root_operation"))
+    return numbers.join(roots, "trace_id", "left").select("trace_id", "root_operation", "spans", "error_spans", "wall_ms", "self_ms")
 
 
 def trace_linked(errors: DataFrame, spans: DataFrame, logs: DataFrame, requests: DataFrame,

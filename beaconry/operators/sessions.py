@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from beaconry import fixed_values as fixed
 
 
-def fold_sessions(marks: DataFrame) -> DataFrame:
-    """Status, error count and duration per session.
+def fold_sessions(marks: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Status, error count and duration per session, and the least value of each column that ``carry`` names.
 
     Reads session_id, ts_ms, event_id, mark (start, error, crash, abnormal, end), final_status. Marks after the first
     end are ignored. Crash beats abnormal beats error, whatever their order, so one aggregate does it; the explicit
@@ -22,17 +22,23 @@ def fold_sessions(marks: DataFrame) -> DataFrame:
     severity = (F.when(F.col("mark") == "crash", 3).when(F.col("mark") == "abnormal", 2)
                 .when(F.col("mark") == "error", 1).otherwise(0))
     # the end is one per session, so it can be a grouping key; what is left to fold is plain numbers
-    folded = counted.groupBy("session_id", F.col("_end.ts_ms").alias("ended_ms"), "_final").agg(
+    # and so can what is carried: a session has few values of it, which are folded once the marks are
+    once = ["session_id", "ended_ms", "_final"]
+    folded = counted.groupBy("session_id", F.col("_end.ts_ms").alias("ended_ms"), "_final", *carry).agg(
         F.max(severity).alias("_severity"),
         F.sum(F.col("mark").isin("error", "crash").cast("bigint")).alias("error_count"),
         F.min("ts_ms").alias("started_ms"),
         F.max("ts_ms").alias("last_ms"))
+    if carry:
+        folded = folded.groupBy(*once).agg(
+            F.max("_severity").alias("_severity"), F.sum("error_count").alias("error_count"), F.min("started_ms").alias("started_ms"),
+            F.max("last_ms").alias("last_ms"), *[F.min(c).alias(c) for c in carry])
     status = F.element_at(F.array(F.lit("ok"), F.lit("errored"), F.lit("abnormal"), F.lit("crashed")),
                           F.col("_severity") + 1)
     return folded.select(
         "session_id", F.coalesce("_final", status).alias("status"), "error_count", "started_ms",
         F.greatest(F.coalesce("ended_ms", "last_ms") - F.col("started_ms"), F.lit(0)).alias("duration_ms"),
-        F.col("ended_ms").isNotNull().alias("ended"))
+        F.col("ended_ms").isNotNull().alias("ended"), *carry)
 
 
 def recover_sessions(states: DataFrame, now_ms: Column, transport_enabled: bool = True) -> DataFrame:

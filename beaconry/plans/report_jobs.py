@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from beaconry import fixed_values as fixed
 from beaconry.functions import scrub
-from beaconry.operators import instrument as ins, normalize, reports, sessions
+from beaconry.operators import instrument as ins, normalize, reports, sessions, sketches
 from beaconry.plans import check_sql as sql
 from beaconry.plans.registry import job
 from beaconry.plans.session_jobs import FOLDED
-from beaconry.sources import tables as t
+from beaconry.session import scratch_dir
+from beaconry.sources import tables as t, trace_store
 
 _CAPTURED = "upper(method) IN ('CONNECT','DELETE','GET','PATCH','POST','PUT','TRACE')"
 _CODE = "coalesce(status, CASE WHEN raised IS NOT NULL THEN 500 ELSE 0 END)"
@@ -80,6 +81,41 @@ def query_stats(spark, sf_dir):
     return stats.withColumns({c: F.round(c, 3) for c in ("mean_ms", "p50_ms", "p95_ms")})
 
 
+def _quantile_fits(stats, rows, keys, q):
+    """Per key whether ``p95_ms`` is a quantile of the rows within the error that its sketch allows."""
+    share, error = F.lit(q), sketches.rank_error()
+    held = rows.join(stats, keys).groupBy(*[c for c in stats.columns if c != "p95_ms"]).agg(
+        F.avg((F.col("_ms") <= F.col("p95_ms")).cast("double")).alias("_upto"), F.avg((F.col("_ms") < F.col("p95_ms")).cast("double")).alias("_below"))
+    return held.withColumn("p95_fits", (F.col("_upto") >= share - error) & (F.col("_below") <= share + error)).drop("_upto", "_below")
+
+
+@job("query_stats_sketched", f"""
+SELECT query_hash, count(*) AS calls, count(*) FILTER (WHERE status = 'error') AS errors, round(avg(ms), 3) AS mean_ms,
+  CAST(sum(greatest(coalesce(rows_affected, -1), 0)) AS BIGINT) AS rows, true AS p95_fits FROM {_QUERIES} GROUP BY query_hash""")
+def query_stats_sketched(spark, sf_dir):
+    """Statistics of statements merged from hourly sketches, whose 95th percentile is then held against all rows."""
+    queries = normalize.normalize_db(t.STATEMENTS.frame(spark, sf_dir, heavy=True))
+    stats = sketches.stats_between(sketches.hourly_query_stats(queries), ["query_hash"], ["errors", "rows"], quantiles={"p95": 0.95})
+    fits = _quantile_fits(stats, queries.select("query_hash", F.col("duration_ms").alias("_ms")), ["query_hash"], 0.95)
+    return fits.withColumn("mean_ms", F.round("mean_ms", 3))
+
+
+_HALF = (1704067200000 + 5 * 86_400_000, 1704067200000 + 20 * 86_400_000)
+
+
+@job("endpoint_stats_sketched", f"""
+SELECT upper(method) AS method, coalesce(route, 'generic ASGI request') AS route, count(*) AS calls, count(*) FILTER (WHERE {_CODE} >= 500) AS failed,
+  CAST(sum(response_size) AS BIGINT) AS bytes, true AS p95_fits FROM ({t.ACCESS.sql()})
+WHERE {_CAPTURED} AND ts_ms >= {_HALF[0]} AND ts_ms < {_HALF[1]} GROUP BY 1, 2""")
+def endpoint_stats_sketched(spark, sf_dir):
+    """Statistics of endpoints over fifteen days of hourly sketches."""
+    requests = served_requests(spark, sf_dir)
+    keys = ["method", "route"]
+    stats = sketches.stats_between(sketches.hourly_endpoint_stats(requests), keys, ["failed", "bytes"], *_HALF, quantiles={"p95": 0.95})
+    inside = requests.where(F.col("ts_ms").between(_HALF[0], _HALF[1] - 1)).select(*keys, F.col("duration_ms").alias("_ms"))
+    return _quantile_fits(stats.drop("mean_ms"), inside, keys, 0.95)
+
+
 def served_requests(spark, sf_dir):
     """Requests of the access log, normalized, with the route of their span."""
     requests = ins.asgi_requests(t.ACCESS.frame(spark, sf_dir, heavy=True)).withColumns({
@@ -117,10 +153,22 @@ WITH u AS (SELECT release, user_id, count(*) AS n, count(*) FILTER (WHERE status
 SELECT release, CAST(sum(n) AS BIGINT) AS sessions, round(1 - sum(c) / sum(n), 6) AS crash_free_sessions, count(*) AS users,
   round(1 - count(*) FILTER (WHERE c > 0) / count(*), 6) AS crash_free_users FROM u GROUP BY release""")
 def release_health(spark, sf_dir):
-    marks = t.SESSION_MARKS.frame(spark, sf_dir)
-    folded = sessions.fold_sessions(marks)
-    owners = marks.groupBy("session_id").agg(F.min("release").alias("release"), F.min("user_id").alias("user_id"))
-    health = reports.release_health(folded.join(owners, "session_id"))
+    folded = sessions.fold_sessions(t.SESSION_MARKS.frame(spark, sf_dir), carry=("release", "user_id"))
+    health = reports.release_health(folded)
+    return health.withColumns({c: F.round(c, 6) for c in ("crash_free_sessions", "crash_free_users")})
+
+
+_FAMILY = "CASE WHEN release IN ('1.0', '1.1') THEN 'old' ELSE 'new' END"
+
+
+@job("release_family_health", f"""
+WITH u AS (SELECT {_FAMILY} AS releases, user_id, count(*) AS n, count(*) FILTER (WHERE status = 'crashed') AS c FROM {FOLDED} GROUP BY 1, 2)
+SELECT releases, CAST(sum(n) AS BIGINT) AS sessions, round(1 - sum(c) / sum(n), 6) AS crash_free_sessions, count(*) AS users,
+  round(count(*) FILTER (WHERE c = 0) / count(*), 6) AS crash_free_users FROM u GROUP BY releases""")
+def release_family_health(spark, sf_dir):
+    """Health of two families of releases, merged from the sketches of each release; a sketch of this size counts a million users exactly."""
+    folded = sessions.fold_sessions(t.SESSION_MARKS.frame(spark, sf_dir), carry=("release", "user_id"))
+    health = sketches.health_of(sketches.release_sketches(folded, lg_entries=20), F.expr(_FAMILY), lg_entries=20)
     return health.withColumns({c: F.round(c, 6) for c in ("crash_free_sessions", "crash_free_users")})
 
 
@@ -143,6 +191,18 @@ def error_groups(spark, sf_dir):
     return reports.error_groups(_grouped_errors(spark, sf_dir))
 
 
+@job("error_group_users", f"""
+SELECT exception_class, top_frame, count(*) AS events, count(DISTINCT user_id) AS users,
+  count(DISTINCT CASE WHEN release >= '1.2' AND old IS NULL THEN user_id END) AS new_users
+FROM ({_GROUPED_ERRORS}) e LEFT JOIN (SELECT DISTINCT exception_class AS c, top_frame AS f, user_id AS old FROM ({_GROUPED_ERRORS}) WHERE release < '1.2') o
+  ON c = exception_class AND f = top_frame AND old = user_id GROUP BY 1, 2""")
+def error_group_users(spark, sf_dir):
+    """Users of each error group and those that met it in releases from 1.2 on only, from one sketch per group and release."""
+    kept = sketches.group_sketches(_grouped_errors(spark, sf_dir), lg_entries=20)
+    late = F.col("release") >= "1.2"
+    return sketches.users_of_groups(kept, 20).join(sketches.new_users_of_groups(kept, ~late, late, 20), ["exception_class", "top_frame"])
+
+
 @job("error_group_releases", f"""
 SELECT exception_class, top_frame, release, count(*) AS events, min(ts_ms) AS first_ms, lag(release) OVER (
   PARTITION BY exception_class, top_frame ORDER BY min(ts_ms), release) AS previous_release
@@ -203,17 +263,19 @@ def flag_lookup(spark, sf_dir):
     return reports.flag_lookup(users, flags, "off")
 
 
-@job("telemetry_timeline", f"""
-SELECT kind, trace_id, ts_ms, detail, level, status FROM (
+_TIMELINE = f"""
   SELECT 'log' AS kind, trace_id, ts_ms, message AS detail, level, NULL AS status FROM ({t.LOGS.sql()})
   UNION ALL SELECT 'request', trace_id, ts_ms, host, NULL, CAST({_CODE} AS VARCHAR) FROM ({t.ACCESS.sql()}) WHERE {_CAPTURED}
   UNION ALL SELECT 'span', trace_id, start_ms, operation, NULL, status FROM ({t.SPANS.sql()})
   UNION ALL SELECT 'query', coalesce(nullif(trace_id, ''), active_trace_id), ts_ms, n, NULL, coalesce(status, 'success')
-    FROM {_QUERIES})""")
+    FROM {_QUERIES}"""
+
+
+@job("telemetry_timeline", f"SELECT kind, trace_id, ts_ms, detail, level, status FROM ({_TIMELINE})")
 def telemetry_timeline(spark, sf_dir):
-    """All kinds of all traces, sorted by trace and time."""
+    """All kinds of all traces in one table; trace_store clusters it by trace and time for lookups."""
     requests = ins.request_rows(ins.asgi_requests(t.ACCESS.frame(spark, sf_dir)))
-    together = reports.telemetry_timeline({
+    return reports.telemetry_timeline({
         "log": t.LOGS.frame(spark, sf_dir).select("trace_id", "ts_ms", F.col("message").alias("detail"), "level"),
         "request": requests.select("trace_id", "ts_ms", F.col("host").alias("detail"),
                                    F.col("status_code").cast("string").alias("status")),
@@ -222,4 +284,14 @@ def telemetry_timeline(spark, sf_dir):
         "query": normalize.normalize_db(t.STATEMENTS.frame(spark, sf_dir)).select(
             "trace_id", "ts_ms", F.col("normalized_query").alias("detail"), "status"),
     })
-    return together.orderBy("trace_id", "ts_ms", "kind")
+
+
+@job("trace_timeline", f"""
+SELECT kind, trace_id, ts_ms, detail, level, status FROM ({_TIMELINE}) WHERE trace_id IN (
+  SELECT trace_id FROM ({t.ACCESS.sql()}) ORDER BY duration_ms DESC, event_id LIMIT 20)""")
+def trace_timeline(spark, sf_dir):
+    """The timelines of the traces of the 20 slowest requests, looked up in a store clustered by trace."""
+    folder = scratch_dir(spark, "traces")
+    trace_store.write_trace_store(telemetry_timeline(spark, sf_dir), folder)
+    slowest = t.ACCESS.frame(spark, sf_dir).orderBy(F.col("duration_ms").desc(), "event_id").limit(20).select("trace_id").collect()
+    return trace_store.timeline(spark, folder, [r.trace_id for r in slowest]).drop("part")

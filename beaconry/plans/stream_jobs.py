@@ -12,7 +12,7 @@ from beaconry.plans.registry import job
 from beaconry.plans.session_jobs import FOLDED
 from beaconry.session import scratch_dir
 from beaconry.sources import envelopes as env, tables as t
-from beaconry.streaming import run, stateful, stateless
+from beaconry.streaming import run, spool_state, stateful, stateless
 
 
 def _events(spark, sf_dir):
@@ -251,13 +251,25 @@ SELECT event_id, spool_id, bytes FROM (
     SELECT *, row_number() OVER (PARTITION BY spool_id ORDER BY ts_ms DESC, seq DESC) AS age
     FROM ({t.SPOOL_ENTRIES.sql()}) WHERE 1706486400000 - ts_ms <= 864000000) WHERE age <= 100) WHERE total <= 2000000""")
 def stream_retention(spark, sf_dir):
-    """The spool's bounds kept up batch by batch."""
-    entries = t.SPOOL_ENTRIES.over(_events(spark, sf_dir)).select("event_id", "spool_id", "ts_ms", "seq", "bytes")
+    """The spool's bounds kept up batch by batch, from entries that come in any order; each batch writes what it changes."""
+    spark = run.tune_streams(spark)
+    entries = t.SPOOL_ENTRIES.frame(spark, sf_dir).select("event_id", "spool_id", "ts_ms", "seq", "bytes", F.col("event_id").cast("string").alias("entry"))
     folder = scratch_dir(spark, "retention")
-    step = stateless.retention_writer(spark, f"{folder}/kept", lambda _: F.lit(1706486400000), max_bytes=2_000_000,
-                                      max_age_s=864_000)
-    query = run.to_batches(entries, step, f"{folder}/checkpoint")
-    query.awaitTermination()
-    last = query.lastProgress["batchId"]
-    return spark.read.schema(entries.schema).parquet(f"{folder}/kept/batch={last}").select(
-        "event_id", "spool_id", "bytes")
+    arriving = _arriving(spark, entries, "spool-entries", 4, 40 * _DAY_MS)
+    changes = spool_state.stream_retention(arriving, F.lit(1706486400000), max_bytes=2_000_000, max_age_s=864_000)
+    spool_state.run_retention(changes, folder, f"{folder}/checkpoint", compact_every=3).awaitTermination()
+    return spool_state.kept_entries(spark, folder).select(F.col("entry").cast("bigint").alias("event_id"), "spool_id", "bytes")
+
+
+@job("stream_chunks", f"""
+SELECT spool_id AS flush_key, item // 100 AS chunk, count(*) AS items, 'full' AS flushed FROM (
+  SELECT spool_id, row_number() OVER (PARTITION BY spool_id ORDER BY event_id) - 1 AS item, count(*) OVER (PARTITION BY spool_id) AS n
+  FROM ({t.SPOOL_ENTRIES.sql()})) WHERE item // 100 < n // 100 GROUP BY 1, 2""")
+def stream_chunks(spark, sf_dir):
+    """Bodies that are full by the end of the input; the rest of each key still waits for its time."""
+    spark = run.tune_streams(spark)
+    entries = t.SPOOL_ENTRIES.frame(spark, sf_dir).select("event_id", "ts_ms", F.col("spool_id").alias("flush_key"), F.col("event_id").cast("string").alias("item"))
+    bodies = spool_state.stream_chunks(_arriving(spark, entries, "items", 3, _DAY_MS), flush_ms=_DAY_MS)
+    folder = scratch_dir(spark, "bodies")
+    run.until_read(run.to_parquet(bodies, f"{folder}/out", f"{folder}/checkpoint", every="0 seconds"), entries.count())
+    return spark.read.schema(bodies.schema).parquet(f"{folder}/out").select("flush_key", "chunk", F.size("items").cast("bigint").alias("items"), "flushed")

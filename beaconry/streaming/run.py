@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,3 +56,21 @@ def to_batches(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoin
 def write_batch(df: DataFrame, folder: str, batch_id: int) -> None:
     """Replace one batch's folder: a batch that runs again after a failure leaves no second copy."""
     df.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+
+
+def until_read(query: StreamingQuery, rows: int, patience_s: float = 600) -> None:
+    """Wait until a running stream has taken in ``rows`` rows, then stop it.
+
+    For streams on timers of the processing time: these always have another batch ahead and never come to an end.
+    """
+    read, until = {}, time.monotonic() + patience_s
+    while sum(read.values()) < rows:
+        if not query.isActive:
+            query.awaitTermination()  # raises what ended it
+            return
+        if time.monotonic() > until:
+            query.stop()
+            raise TimeoutError(f"{sum(read.values())} of {rows} rows were read in {patience_s} s")
+        read |= {p["batchId"]: p["numInputRows"] for p in query.recentProgress if p["numInputRows"]}
+        time.sleep(0.2)
+    query.stop()

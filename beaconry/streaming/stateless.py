@@ -1,14 +1,14 @@
-"""Intake, duplicates, rates, traces, correlation and retention, on Spark's own streaming operators."""
+"""Intake, duplicates, rates, traces and correlation, on Spark's own streaming operators."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from beaconry import schemas
 from beaconry.functions.scrub import scrub_json
-from beaconry.operators import delivery, normalize, wire
+from beaconry.operators import normalize, wire
 from beaconry.sources import envelopes as env
 from beaconry.streaming.run import to_batches, write_batch
 
@@ -93,19 +93,3 @@ def stream_correlate(requests: DataFrame, errors: DataFrame, delay: str, within:
     right = errors.withWatermark("error_at", delay).withColumnRenamed("request_id", "error_request_id")
     near = F.expr(f"request_id = error_request_id AND error_at >= at AND error_at <= at + interval {within}")
     return left.join(right, near).drop("error_request_id")
-
-
-def retention_writer(spark: SparkSession, kept: str, now_ms: Callable[[DataFrame], Column],
-                     **bounds: int | float) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch step: the spool's bounds over what was kept before and what came now.
-
-    Batch ``n`` writes its own folder from the folder of batch ``n - 1``, so a repeated batch starts from the same
-    input. What is kept is bounded per spool, so the folder stays small.
-    """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        known = batch
-        if batch_id > 0:
-            known = batch.unionByName(spark.read.schema(batch.schema).parquet(f"{kept}/batch={batch_id - 1}"))
-        write_batch(delivery.retention(known, now_ms(known), **bounds), kept, batch_id)
-
-    return write

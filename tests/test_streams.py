@@ -1,11 +1,13 @@
 """Streams fed several files, one a micro-batch, give what the batch operators give."""
 
+import time
 
+import pytest
 from pyspark.sql import Window, functions as F
 
-from beaconry.operators import context, sessions
+from beaconry.operators import context, delivery, sessions
 from beaconry.sources import tables as t
-from beaconry.streaming import run, stateful, stateless
+from beaconry.streaming import run, spool_state, stateful, stateless
 
 
 def fed(spark, df, folder, parts):
@@ -86,18 +88,54 @@ def test_marks_fold_to_a_row_a_session(spark):
     assert {tuple(e) for e in hot.errors} == {(r.ts_ms, r.event_id) for r in held.where("mark = 'error'").collect()}
 
 
-def test_retention(spark, tmp_path):
-    from beaconry.operators.delivery import retention
-
-    entries = spark.range(300).select(
-        F.concat(F.lit("s"), (F.col("id") % 3).cast("string")).alias("spool_id"), F.col("id").alias("ts_ms"),
-        F.col("id").alias("seq"), (F.col("id") % 50 * 20).alias("bytes"))
-    stream = fed(spark, entries, str(tmp_path / "in"), 3)
-    step = stateless.retention_writer(spark, str(tmp_path / "kept"), lambda _: F.lit(300), max_events=40, max_bytes=9000)
-    query = run.to_batches(stream, step, str(tmp_path / "checkpoint"))
-    query.awaitTermination()
-    got = spark.read.schema(entries.schema).parquet(f"{tmp_path}/kept/batch={query.lastProgress['batchId']}")
-    assert rows(got) == rows(retention(entries, F.lit(300), 40, 9000))
+def spool_entries(spark, n=400):
+    """Entries of three spools, a third and more of them in one."""
+    spool = F.when(F.col("id") % 5 < 3, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 2))
+    return spark.range(n).select(spool.alias("spool_id"), (F.col("id") * 37 % n).alias("ts_ms"), F.col("id").alias("seq"), (F.col("id") % 50 * 20).alias("bytes"),
+                                 F.col("id").cast("string").alias("entry"), F.col("id").alias("event_id"))
+
+
+@pytest.mark.parametrize("bounds", [{"max_events": 40, "max_bytes": 9000}, {"max_events": 25}, {"max_bytes": 3000, "max_age_s": 0.25}])
+def test_retention(spark, tmp_path, bounds):
+    """Changes of shuffled micro-batches add up to the batch result; each batch writes its changes, older folders go."""
+    entries = spool_entries(spark)
+    for part in range(7):
+        entries.where(F.pmod(F.xxhash64("seq"), F.lit(7)) == part).coalesce(1).write.parquet(f"{tmp_path}/in/part={part}")
+    stream = spark.readStream.schema(entries.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+    folder = str(tmp_path / "spool")
+    changes = spool_state.stream_retention(stream, F.lit(400), **bounds)
+    spool_state.run_retention(changes, folder, str(tmp_path / "checkpoint"), compact_every=3).awaitTermination()
+    want = delivery.retention(entries, F.lit(400), **{"max_events": 100, **bounds}).select("spool_id", "ts_ms", "seq", "bytes", "entry")
+    kept = spool_state.kept_entries(spark, folder)
+    assert rows(kept) == rows(want)
+    batches, wholes = spool_state._folders(spark, f"{folder}/changes", "batch"), spool_state._folders(spark, f"{folder}/whole", "upto")
+    assert batches == [6] and wholes == [5]
+    # a batch that runs again, and a compaction of what was compacted, change nothing
+    again = spark.read.parquet(f"{folder}/changes/batch=6")
+    spool_state.retention_writer(spark, folder, 1)(spark.createDataFrame(again.collect(), again.schema), 6)
+    assert rows(spool_state.kept_entries(spark, folder)) == rows(want)
+
+
+def test_bodies_go_out_full_or_old(spark, tmp_path):
+    """No body over the limit, none but full ones before their time, all items once, and none left behind when time has passed."""
+    items = spark.range(1150).select(F.when(F.col("id") % 10 < 7, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 3)).alias("flush_key"),
+                                     F.col("id").cast("string").alias("item"), F.col("id").alias("ts_ms"))
+    stream = fed(spark, items, str(tmp_path / "in"), 3)
+    query = run.to_parquet(spool_state.stream_chunks(stream, 100, 2_000), f"{tmp_path}/out", f"{tmp_path}/checkpoint", every="1 second")
+    try:
+        for _ in range(60):
+            time.sleep(1)
+            got = spark.read.schema("flush_key string, chunk bigint, items array<string>, flushed string").parquet(f"{tmp_path}/out").collect()
+            if sum(len(r["items"]) for r in got) == 1150:
+                break
+    finally:
+        query.stop()
+    assert sorted(int(i) for r in got for i in r["items"]) == list(range(1150))
+    assert all(len(r["items"]) == 100 if r.flushed == "full" else len(r["items"]) < 100 for r in got)
+    by_key = {}
+    for r in got:
+        by_key.setdefault(r.flush_key, []).append(r.chunk)
+    assert all(sorted(chunks) == list(range(len(chunks))) for chunks in by_key.values()) and {r.flushed for r in got} == {"full", "old"}
 
 
 def test_dedupe_across_batches(spark, tmp_path):

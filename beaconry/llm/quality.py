@@ -187,9 +187,19 @@ def train(examples: DataFrame, fit_rows: int = FIT_ROWS) -> AdditiveModel:
     """Fit a model to ``examples`` (doc_id, x, y).
 
     The driver holds at most ``fit_rows`` of them, those with the least hashes of their id, so that the sample does not
-    depend on partitions; this is the only bounded sample here.
+    depend on partitions; this is the only bounded sample here. Rows are counted first and those of far too large a hash
+    left out, so that what is sorted for it does not grow with the number of partitions either.
     """
-    some = examples.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(fit_rows).select("x", "y").collect()
+    mark, total, spare = F.xxhash64("doc_id"), examples.count(), 2.0
+    while True:
+        share = spare * fit_rows / max(total, 1)
+        few = examples if share >= 1 else examples.filter(mark <= int(share * (1 << 64)) - (1 << 63))
+        # sorted on executors, of which each sends one at most fit_rows rows, then written
+        some = staged(few.select(mark.alias("mark"), "doc_id", "y", "x").orderBy("mark", "doc_id", "y").limit(fit_rows), "sample").collect()
+        if len(some) == fit_rows or share >= 1:
+            break
+        spare *= 8  # ids that repeat may leave less below a hash than their number says
+    some.sort(key=lambda r: (r.mark, r.doc_id is not None, r.doc_id, r.y))
     x = np.array([r.x for r in some], dtype=np.float64).reshape(len(some), len(FEATURES))
     return fit(x, np.array([r.y for r in some], dtype=np.float64))
 
@@ -233,7 +243,11 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, fi
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, fit_rows: int = FIT_ROWS, id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns as they are, with a score of at least ``threshold``."""
+    """The rows of ``docs``, all columns as they are, with a score of at least ``threshold``.
+
+    Null and empty texts are scored like any other, repeated rows stay or go together, a null id is no obstacle; without
+    any label all scores are 1/2. An empty table gives an empty one. Columns may have any names.
+    """
     bounded_batches(docs.sparkSession)
     known = labels.filter(F.col("quality").isin(0, 1)).select(F.col("doc_id").alias("known")).distinct()
     ids = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))

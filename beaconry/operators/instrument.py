@@ -77,29 +77,45 @@ def flask_requests(access: DataFrame) -> DataFrame:
     )
 
 
-def request_rows(requests: DataFrame) -> DataFrame:
-    """The http_requests rows of any of the three jobs."""
-    path = rec.strip_query(F.col("path"))
+def _request_fields() -> list[Column]:
     fingerprint = F.when(F.col("framework") == "django", F.col("raised"))
-    return requests.select(
-        "event_id", "ts_ms", "trace_id", "request_id", "span_id", F.lit("inbound").alias("direction"),
-        F.upper("method").alias("method"), "host", path.alias("path"), "status_code", F.greatest("duration_ms", F.lit(0)).alias("duration_ms"),
-        "request_size", "response_size", fingerprint.alias("error_fingerprint"))
+    return [
+        F.col("event_id"), F.col("ts_ms"), F.col("trace_id"), F.col("request_id"), F.col("span_id"), F.lit("inbound").alias("direction"),
+        F.upper("method").alias("method"), F.col("host"), rec.strip_query(F.col("path")).alias("path"), F.col("status_code"),
+        F.greatest("duration_ms", F.lit(0)).alias("duration_ms"), F.col("request_size"), F.col("response_size"), fingerprint.alias("error_fingerprint")]
 
 
-def request_spans(requests: DataFrame) -> DataFrame:
-    """The http.server spans of any of the three jobs."""
+def _span_fields() -> list[Column]:
     status = F.col("status_code").cast("string")
     named = {"http__method": F.col("method"), "http__route": F.col("transaction"), "http__status_code": status}
     tags = F.when(F.col("framework") == "fastapi", _tags(**named, transaction=F.col("transaction"))).otherwise(
         _tags(**named))
-    return requests.select(
-        "event_id", "trace_id", "span_id", F.coalesce("parent_span_id", F.lit("")).alias("parent_span_id"),
+    return [
+        F.col("event_id"), F.col("trace_id"), F.col("span_id"), F.coalesce("parent_span_id", F.lit("")).alias("parent_span_id"),
         F.lit("http.server").alias("operation"),
         F.concat_ws(" ", "method", rec.strip_query(F.col("path"))).alias("description"),
         F.when(F.col("failed"), "error").otherwise("ok").alias("status"),
-        F.col("ts_ms").alias("start_ms"), (F.col("ts_ms") + F.col("duration_ms")).alias("end_ms"), "duration_ms",
-        tags.alias("tags"))
+        F.col("ts_ms").alias("start_ms"), (F.col("ts_ms") + F.col("duration_ms")).alias("end_ms"), F.col("duration_ms"),
+        tags.alias("tags")]
+
+
+def request_rows(requests: DataFrame) -> DataFrame:
+    """The http_requests rows of any of the three jobs."""
+    return requests.select(*_request_fields())
+
+
+def request_spans(requests: DataFrame) -> DataFrame:
+    """The http.server spans of any of the three jobs."""
+    return requests.select(*_span_fields())
+
+
+def request_telemetry(requests: DataFrame) -> DataFrame:
+    """All records of a request side by side, in one pass: event_id and the structs request, span and error (null if none).
+
+    For django_requests and flask_requests; the fields are those of request_rows, request_spans and framework_errors.
+    """
+    error = F.when(F.col("is_error_event"), F.struct(*_error_fields()))
+    return requests.select("event_id", F.struct(*_request_fields()).alias("request"), F.struct(*_span_fields()).alias("span"), error.alias("error"))
 
 
 def asgi_errors(requests: DataFrame) -> DataFrame:
@@ -123,18 +139,22 @@ def asgi_errors(requests: DataFrame) -> DataFrame:
         mechanism.alias("mechanism"), F.lit(None).cast("boolean").alias("handled"))
 
 
-def framework_errors(requests: DataFrame) -> DataFrame:
-    """Error events of django_requests (unhandled) and flask_requests (no mechanism)."""
+def _error_fields() -> list[Column]:
     is_django = F.col("framework") == "django"
     mechanism = F.when(is_django, F.struct(
         F.lit("django").alias("type"), F.lit(None).cast("string").alias("name"), F.lit(False).alias("handled")))
-    return requests.where("is_error_event").select(
-        "event_id", "ts_ms", "trace_id", "request_id", F.col("raised").alias("exception_class"),
+    return [
+        F.col("event_id"), F.col("ts_ms"), F.col("trace_id"), F.col("request_id"), F.col("raised").alias("exception_class"),
         F.coalesce(rec.non_empty(F.col("raised_message")), F.col("raised")).alias("message"),
         F.lit("error").alias("level"),
         F.struct("method", "path", "host", F.when(is_django, F.lit(500)).alias("status_code"), "user_agent")
         .alias("request_context"),
-        mechanism.alias("mechanism"), F.lit(None).cast("boolean").alias("handled"))
+        mechanism.alias("mechanism"), F.lit(None).cast("boolean").alias("handled")]
+
+
+def framework_errors(requests: DataFrame) -> DataFrame:
+    """Error events of django_requests (unhandled) and flask_requests (no mechanism)."""
+    return requests.where("is_error_event").select(*_error_fields())
 
 
 # ---- requests made ----
@@ -256,23 +276,38 @@ def warn_log_crumbs(logs: DataFrame) -> DataFrame:
 
 # ---- jobs ----
 
+def _task_name() -> Column:
+    return F.coalesce(rec.non_empty(F.col("task")), F.lit("celery.task"))
+
+
+def _task_span_fields() -> list[Column]:
+    return [
+        F.col("task_id"), F.col("trace_id"), _span_id(F.lit("task"), F.col("task_id")).alias("span_id"),
+        F.lit("celery.task").alias("operation"), _task_name().alias("description"),
+        F.when(F.col("state") == "FAILURE", "error").otherwise("ok").alias("status"),
+        F.col("ts_ms").alias("start_ms"), (F.col("ts_ms") + F.col("duration_ms")).alias("end_ms"), F.col("duration_ms"),
+        _tags(celery__task=_task_name(), celery__task_id=F.coalesce("task_id", F.lit("")),
+              celery__state=F.coalesce("state", F.lit(""))).alias("tags")]
+
+
+def _task_crumb_fields() -> list[Column]:
+    return [
+        F.col("task_id"), F.col("ts_ms"), F.lit("task").alias("type"), F.concat(F.lit("celery task started: "), _task_name()).alias("message"),
+        F.lit("info").alias("level"), _tags(task=_task_name(), taskId=F.coalesce("task_id", F.lit(""))).alias("data")]
+
+
 def task_spans(runs: DataFrame) -> DataFrame:
     """Reads task_id, task, ts_ms, duration_ms, state, trace_id."""
-    name = F.coalesce(rec.non_empty(F.col("task")), F.lit("celery.task"))
-    return runs.select(
-        "task_id", "trace_id", _span_id(F.lit("task"), F.col("task_id")).alias("span_id"),
-        F.lit("celery.task").alias("operation"), name.alias("description"),
-        F.when(F.col("state") == "FAILURE", "error").otherwise("ok").alias("status"),
-        F.col("ts_ms").alias("start_ms"), (F.col("ts_ms") + F.col("duration_ms")).alias("end_ms"), "duration_ms",
-        _tags(celery__task=name, celery__task_id=F.coalesce("task_id", F.lit("")),
-              celery__state=F.coalesce("state", F.lit(""))).alias("tags"))
+    return runs.select(*_task_span_fields())
 
 
 def task_crumbs(runs: DataFrame) -> DataFrame:
-    name = F.coalesce(rec.non_empty(F.col("task")), F.lit("celery.task"))
-    return runs.select(
-        "task_id", "ts_ms", F.lit("task").alias("type"), F.concat(F.lit("celery task started: "), name).alias("message"),
-        F.lit("info").alias("level"), _tags(task=name, taskId=F.coalesce("task_id", F.lit(""))).alias("data"))
+    return runs.select(*_task_crumb_fields())
+
+
+def task_telemetry(runs: DataFrame) -> DataFrame:
+    """Span and breadcrumb of every run side by side, in one pass: task_id and the structs span and crumb."""
+    return runs.select("task_id", F.struct(*_task_span_fields()).alias("span"), F.struct(*_task_crumb_fields()).alias("crumb"))
 
 
 def task_errors(runs: DataFrame) -> DataFrame:

@@ -39,11 +39,25 @@ def validate_logs(df: DataFrame) -> DataFrame:
         (F.col("level").isin(fixed.LOG_LEVELS), "level"), (F.col("message").isNotNull(), "message")))
 
 
-def normalize_http(df: DataFrame, release: str | None = None, environment: str = "production") -> DataFrame:
-    """Reads event_key, direction, method, host, path, status_code, duration_ms, trace_id, ts_ms.
-
-    Durations are clamped, paths lose their query, missing trace ids become a hash of the event key.
+def normalize_http(df: DataFrame, release: str | None = None, environment: str = "production", tags: dict[str, Column] | None = None,
+                   now_ms: Column | None = None) -> DataFrame:
+    """Reads event_key, direction, method, host, path, status_code, duration_ms, trace_id and, where there are, ts_ms, timestamp
+    (ISO-8601 text) and metadata (a map of text).
+
+    Durations are clamped, paths lose their query, missing trace ids become a hash of the event key. A missing timestamp is
+    that of ts_ms, else of ``now_ms``, the present of the caller; there is no such column where neither is known. Release
+    ``tags`` go into the metadata, where what the caller set wins; empty metadata is null.
     """
+    known = [c for c in (F.col("ts_ms") if "ts_ms" in df.columns else None, now_ms) if c is not None]
+    if known:
+        at = F.date_format(F.timestamp_millis(F.coalesce(*known)), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+        own = rec.non_empty(F.col("timestamp")) if "timestamp" in df.columns else F.lit(None).cast("string")
+        df = df.withColumn("timestamp", F.coalesce(own, at))
+    if tags is not None:
+        if "metadata" not in df.columns:
+            df = df.withColumn("metadata", F.lit(None).cast("map<string,string>"))
+        df = enrich_release_tags(df, tags)
+        df = df.withColumn("metadata", F.when(F.size("metadata") > 0, F.col("metadata")))
     return (
         df.withColumn("rejected", _verdict((F.col("direction").isin("inbound", "outbound"), "direction")))
         .withColumn("method", F.upper("method"))

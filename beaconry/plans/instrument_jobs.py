@@ -57,10 +57,9 @@ SELECT event_id, upper(method) AS method, coalesce(status, 500) AS status_code,
   {_DJANGO_NAME} AS route, CASE WHEN coalesce(status, 500) >= 500 OR raised IS NOT NULL THEN 'error' ELSE 'ok' END
   AS status FROM ({t.ACCESS.sql()})""")
 def django_requests(spark, sf_dir):
-    requests = ins.django_requests(t.ACCESS.frame(spark, sf_dir))
-    rows = ins.request_rows(requests).select("event_id", "method", "status_code", "error_fingerprint")
-    spans = ins.request_spans(requests).select("event_id", F.col("tags")["http.route"].alias("route"), "status")
-    return rows.join(spans, "event_id")
+    records = ins.request_telemetry(ins.django_requests(t.ACCESS.frame(spark, sf_dir)))
+    return records.select("event_id", "request.method", "request.status_code", "request.error_fingerprint",
+                          F.col("span.tags")["http.route"].alias("route"), "span.status")
 
 
 @job("django_errors", f"""
@@ -78,11 +77,9 @@ def django_errors(spark, sf_dir):
 SELECT event_id, upper(method) AS method, coalesce(status, 0) AS status_code, path AS route,
   CASE WHEN status >= 500 THEN 'error' ELSE 'ok' END AS status, raised AS exception_class FROM ({t.ACCESS.sql()})""")
 def flask_requests(spark, sf_dir):
-    requests = ins.flask_requests(t.ACCESS.frame(spark, sf_dir))
-    rows = ins.request_rows(requests).select("event_id", "method", "status_code")
-    spans = ins.request_spans(requests).select("event_id", F.col("tags")["http.route"].alias("route"), "status")
-    errors = ins.framework_errors(requests).select("event_id", "exception_class")
-    return rows.join(spans, "event_id").join(errors, "event_id", "left")
+    records = ins.request_telemetry(ins.flask_requests(t.ACCESS.frame(spark, sf_dir)))
+    return records.select("event_id", "request.method", "request.status_code", F.col("span.tags")["http.route"].alias("route"),
+                          "span.status", "error.exception_class")
 
 
 _CALLS = (f"(SELECT *, upper(coalesce(method, 'GET')) AS m, {sql.url_path('url')} AS p FROM ({t.OUTBOUND_CALLS.sql()}) "
@@ -165,9 +162,8 @@ def warn_log_crumbs(spark, sf_dir):
 SELECT task_id, coalesce(task, 'celery.task') AS description, CASE WHEN state = 'FAILURE' THEN 'error' ELSE 'ok' END AS status,
   concat('celery task started: ', coalesce(task, 'celery.task')) AS crumb FROM ({t.TASK_RUNS.sql()})""")
 def task_runs(spark, sf_dir):
-    runs = t.TASK_RUNS.frame(spark, sf_dir)
-    return ins.task_spans(runs).select("task_id", "description", "status").join(
-        ins.task_crumbs(runs).select("task_id", F.col("message").alias("crumb")), "task_id")
+    records = ins.task_telemetry(t.TASK_RUNS.frame(spark, sf_dir))
+    return records.select("task_id", "span.description", "span.status", F.col("crumb.message").alias("crumb"))
 
 
 @job("task_errors", f"""

@@ -52,6 +52,26 @@ def normalize_http(spark, sf_dir):
         "event_id", "method", "path", "duration_ms", "trace_id", "release")
 
 
+_TAGGED = "CASE WHEN event_id % 4 = 0 THEN 'own' WHEN event_id % 4 < 3 THEN '0.9' END"
+
+
+@job("http_items", f"""
+SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '2020-01-01T00:00:00Z' WHEN event_id % 3 = 1 THEN strftime(epoch_ms(ts_ms), '%Y-%m-%dT%H:%M:%S.%fZ')
+    ELSE '2024-06-01T00:00:00.000000Z' END AS timestamp, {_TAGGED} AS sdk_version, CASE WHEN event_id % 4 = 0 THEN 'y' END AS own_tag,
+  CASE WHEN event_id % 4 = 3 THEN 0 ELSE 1 + CASE WHEN event_id % 4 = 0 THEN 1 ELSE 0 END END AS tags FROM ({t.ACCESS.sql()})""")
+def http_items(spark, sf_dir):
+    """Times and release tags of http rows: given ones stay, missing ones are filled in."""
+    rows = t.ACCESS.frame(spark, sf_dir).selectExpr(
+        "event_id", "event_id AS event_key", "method", "host", "path", "status AS status_code", "duration_ms", "trace_id", "'inbound' AS direction",
+        "CASE WHEN event_id % 3 = 0 THEN '2020-01-01T00:00:00Z' WHEN event_id % 3 = 1 THEN '' END AS timestamp",
+        "CASE WHEN event_id % 3 <> 2 THEN ts_ms END AS ts_ms",
+        "CASE WHEN event_id % 4 = 0 THEN map('sdk.version', 'own', 'x', 'y') WHEN event_id % 4 = 1 THEN map() END AS metadata")
+    tags = {"sdk.version": F.when(F.col("event_id") % 4 < 3, "0.9"), "dist": F.lit("")}
+    out = n.normalize_http(rows, release="1.0", tags=tags, now_ms=F.lit(1717200000000))
+    return out.select("event_id", "timestamp", F.col("metadata")["sdk.version"].alias("sdk_version"), F.col("metadata")["x"].alias("own_tag"),
+                      F.coalesce(F.size("metadata"), F.lit(0)).alias("tags"))
+
+
 @job("validate_http_items", f"""
 SELECT event_id, 'duration_ms' AS rejected FROM ({t.ACCESS.sql()}) WHERE duration_ms < 0""")
 def validate_http_items(spark, sf_dir):

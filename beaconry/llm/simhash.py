@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beaconry.llm.components import connected
-from beaconry.llm.support import LOWER, UPPER, bounded_batches, documents_of, lean, staged
+from beaconry.llm.support import LOWER, UPPER, documents_of, lean, staged
 
 SEED = 42
 BITS, BLOCK = 64, 16
@@ -95,19 +95,3 @@ def near_duplicates(docs: DataFrame, width: int = 3, id_col: str = "doc_id", tex
     marked = staged(rows.select("doc_id", fingerprint_of(F.col("text"), width).alias("fp")), "fingerprints")
     found = print_components(marked)
     return marked.join(found, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-
-
-def one_of_each(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns as they are, whose id names their component; a repeated id stays once.
-
-    Of a component without any id one row stays.
-    """
-    bounded_batches(docs.sparkSession)
-    fp = "__simhash_fp"
-    rows = docs.withColumn(fp, fingerprint_of(F.coalesce(F.col(text_col).cast("string"), F.lit("")), width))
-    marked = staged(rows.select(F.col(id_col).alias("doc_id"), F.col(fp).alias("fp")), "fingerprints")
-    found = print_components(marked)
-    stays = (marked.join(found, "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-             .groupBy("root").agg(F.min("fp").alias("__fp"), F.min("component_id").alias("__stays")))
-    named = rows.join(stays, (F.col(fp) == F.col("__fp")) & F.col(id_col).eqNullSafe(F.col("__stays")))
-    return named.select(*docs.columns, fp).dropDuplicates([id_col, fp]).select(*docs.columns)

@@ -3,6 +3,8 @@
 import random
 import re
 
+import pytest
+
 from beaconry.llm import near_copies, simhash
 
 
@@ -51,8 +53,62 @@ def test_against_all_pairs(spark):
     kept = near_copies.one_of_each(docs)
     want = slow_stays(list(enumerate(texts)))
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == want
-    # the rule of op10 leaves many of these copies
-    assert simhash.one_of_each(docs).count() > len(want) + 20
+
+
+def test_one_passage_in_many_texts(spark):
+    """Texts that share most, but too little, of their shingles never meet: what is proposed does not grow with their square."""
+    rng = random.Random(9)
+    passage = [f"p{i}" for i in range(150)]
+    def own(k):
+        return [f"o{rng.random()}" for _ in range(k)]
+    texts = [" ".join([*own(rng.randrange(25, 45)), *passage]) for _ in range(300)]
+    texts += [" ".join([*own(5), *passage]) for _ in range(6)]  # these are near copies of each other, not of the rest
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in near_copies.one_of_each(docs).collect()) == slow_stays(rows)
+    sets = {i: near_copies.shingles(t, 5) for i, t in rows}
+    grouped = spark.createDataFrame([(i, len(s), i) for i, s in sets.items()], "fp long, n long, root long")
+    held = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in sets.items()], "fp long, shingles binary")
+    met = {tuple(r) for r in near_copies.meeting(near_copies.rare_prefixes(grouped, held, 0.8), grouped.select("fp", "root"), 0.8).collect()}
+    close = {(i, j) for i in sets for j in sets if i < j and len(set(sets[i]) & set(sets[j])) >= 0.8 * len(set(sets[i]) | set(sets[j]))}
+    assert close <= met and len(met - close) < 100 and len(rows) ** 2 > 90_000
+
+
+def test_prefixes_lose_no_pair(spark):
+    """Sets around the bound, of all sizes: each pair that reaches the similarity meets."""
+    rng = random.Random(10)
+    sets = {}
+    for _ in range(40):
+        base = [rng.randrange(1 << 60) for _ in range(rng.randrange(1, 60))]
+        for _ in range(5):
+            k = rng.randrange(len(base) // 3 + 1)
+            sets[len(sets)] = set(base[k // 2:]) | {rng.randrange(1 << 60) for _ in range(k - k // 2)}
+    grouped = spark.createDataFrame([(i, len(s), i) for i, s in sets.items()], "fp long, n long, root long")
+    held = spark.createDataFrame([(i, bytearray(b"".join(x.to_bytes(8, "little") for x in s))) for i, s in sets.items()], "fp long, shingles binary")
+    for least in (0.5, 0.8, 1.0):
+        met = {tuple(r) for r in near_copies.meeting(near_copies.rare_prefixes(grouped, held, least), grouped.select("fp", "root"), least).collect()}
+        close = {(i, j) for i in sets for j in sets if i < j and len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j])}
+        assert close <= met and len(close) > 10
+
+
+@pytest.mark.parametrize("crowd", [2_000, 20])
+def test_a_loose_large_group(spark, monkeypatch, crowd):
+    """Copies of one text of which few pairs are alike: linked over chains, as by all pairs, with and without probes."""
+    monkeypatch.setattr(near_copies, "CROWD", crowd)
+    rng = random.Random(11)
+    base = [f"v{rng.randrange(5000)}" for _ in range(150)]
+    rows = [(i, copies(rng, base, rng.choice([2, 3, 4, 5, 9]))) for i in range(220)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = slow_stays(rows)
+    assert sorted(r.doc_id for r in near_copies.one_of_each(docs).collect()) == want and 5 < len(want) < 215
+
+
+def test_columns_of_any_name(spark):
+    names = ["__mark", "__stays", "__as", "id", "mark", "fp", "root", "row", "row_id", "row_mark", "stays", "stays_mark", "node", "n", "key", "s"]
+    rows = [(1, "a b c d e f", *names), (2, "a b c d e f", *names), (3, "x " * 60_000, *names)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{c} string" for c in names))
+    got = near_copies.one_of_each(docs)
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect())) == [rows[0], rows[2]]
 
 
 def test_the_pipeline_drops_copies_beyond_two_bits(spark, sf_dir):
@@ -64,7 +120,6 @@ def test_the_pipeline_drops_copies_beyond_two_bits(spark, sf_dir):
     rows = [(1, " ".join(base), "en", "s", 0), (2, " ".join(other), "en", "s", 0), (3, " ".join(base[:100]), "en", "s", 0)]
     assert ((simhash.fingerprint(rows[0][1]) ^ simhash.fingerprint(rows[1][1])) & (1 << 64) - 1).bit_count() > 2
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    assert simhash.one_of_each(docs).count() == 3
     assert sorted(r.doc_id for r in dict(corpus_pipeline.STAGES)["near_copies"](spark, docs, sf_dir).collect()) == [1, 3]
 
 

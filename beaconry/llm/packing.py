@@ -2,32 +2,49 @@
 
 from __future__ import annotations
 
-import itertools
+import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from beaconry.llm.support import documents_of, kept_in_worker, slices
 
-# How the word vocabulary splits a lower-cased text.
-SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
-
-WORD_END = "</w>"  # fixed value: how tokens that close a word end in that vocabulary
+# Fixed value: how tokens that close a word end in that vocabulary.
+WORD_END = "</w>"
 
 # Texts of other characters go to the library whole: there its normalizer composes marks and maps case.
 PLAIN = r"[\x00-\x1b\x20-įı-ɏ‐-‧]*"
-# What is kept in a Python worker: words are dearer to encode again than runs are to split.
-MOST_WORDS, MOST_RUNS = 450_000, 150_000
+MOST_WORDS = 600_000  # kept in a Python worker
+
+
+def word_pattern() -> re.Pattern:
+    """How the word vocabulary splits a lower-cased text of ``PLAIN`` characters: contractions, letters, single digits, marks."""
+    plain = re.compile(PLAIN)
+    kinds = {c: unicodedata.category(c)[0] for c in map(chr, range(0x2030)) if plain.fullmatch(c)}
+    letters, numbers = ("".join(re.escape(c) for c, k in kinds.items() if k == kind) for kind in "LN")
+    return re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+")
+
+
+def cuts(sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(number of pieces of each size, lengths of all pieces): whole sequences of ``most``, then the powers of two of the rest, falling."""
+    whole, rest = np.divmod(sizes, most)
+    powers = most >> np.arange(1, most.bit_length())
+    of, bit = np.nonzero(rest[:, None] & powers)
+    number = whole + np.bincount(of, minlength=len(sizes))
+    first = np.cumsum(number) - number
+    lengths = np.full(int(number.sum()), most, dtype=np.int64)
+    rank = np.arange(len(of)) - np.searchsorted(of, of)
+    lengths[first[of] + whole[of] + rank] = powers[bit]
+    return number, lengths
 
 
 def binary_pieces(n: int, most: int) -> list[int]:
-    """Lengths of the pieces of ``n`` ids: whole sequences of ``most``, then the powers of two of the rest, falling."""
-    whole, rest = divmod(n, most)
-    return [most] * whole + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
+    """Lengths of the pieces of ``n`` ids."""
+    return cuts(np.array([n]), most)[1].tolist()
 
 
 class Numbers(dict):
@@ -72,21 +89,20 @@ class Ragged:
 class WordIds:
     """Token ids of whole texts under a word vocabulary.
 
-    White space separates runs, a run is split into words, and the library encodes each word that it has not seen. What
-    is known of runs and words stays with the Python worker, up to ``MOST_RUNS`` and ``MOST_WORDS``.
+    Texts are split into words, and the library encodes each word that it has not seen. What is known of words stays
+    with the Python worker, up to ``MOST_WORDS``.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.split, self.plain = regex.compile(SPLIT), regex.compile(PLAIN)
+        self.split, self.plain = word_pattern(), re.compile(PLAIN)
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
         vocab = self.library.get_vocab()
         self.closes = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.closes[[i for token, i in vocab.items() if token.endswith(WORD_END)]] = True
         self.words, self.word_ids = Numbers(), Ragged()
-        self.runs, self.run_ids = Numbers(), Ragged()
 
     def learn_words(self) -> None:
         """Encode the new words, spaces between them; an id that closes a word ends its share."""
@@ -99,43 +115,42 @@ class WordIds:
                 raise ValueError("the vocabulary does not close every word")
             self.word_ids.add(ids, np.diff(ends, prepend=0))
 
-    def learn_runs(self) -> None:
-        fresh, self.runs.fresh = self.runs.fresh, []
-        for at in range(0, len(fresh), 1 << 16):
-            words = [self.split.findall(run) for run in fresh[at:at + (1 << 16)]]
-            codes = self.words.of(list(itertools.chain.from_iterable(words)))
-            self.learn_words()
-            ids, size = self.word_ids.take(codes)
-            ends = np.r_[0, np.cumsum(size)][np.cumsum([len(w) for w in words])]
-            self.run_ids.add(ids, np.diff(ends, prepend=0))
-
-    def of_runs(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all runs in a row, and how many each run has."""
-        if len(self.runs) > MOST_RUNS:
-            self.runs, self.run_ids = Numbers(), Ragged()
+    def of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in a row, and how many each word has."""
         if len(self.words) > MOST_WORDS:
             self.words, self.word_ids = Numbers(), Ragged()
-        codes = self.runs.of(runs)
-        self.learn_runs()
-        return self.run_ids.take(codes)
-
-    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
+        codes = self.words.of(words)
+        self.learn_words()
+        return self.word_ids.take(codes)
+
+    def some(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts one after the other, each closed by ``end_id``, and how many each text has."""
+        words: list[str] = []
+        counts, whole = [], {}
+        for i, text in enumerate(texts):
+            found = []
+            if not self.plain.fullmatch(text) or any(s in text for s in self.specials):
+                whole[i] = np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+            else:
+                found = self.split.findall(text.lower())
+            words += found
+            counts.append(len(found))
+        ids, size = self.of_words(words)
+        sizes = np.add.reduceat(np.r_[size, 0], np.r_[0, np.cumsum(counts)[:-1]].astype(np.int64)) if counts else np.zeros(0, np.int64)
+        sizes = np.where(np.array(counts) > 0, sizes, 0)  # reduceat gives an empty run the entry it starts at
+        ends = np.cumsum(sizes)
+        if whole:
+            at = [(i, int(ends[i] - sizes[i])) for i in whole]
+            ids = np.insert(ids, np.repeat([p for _, p in at], [len(whole[i]) for i, _ in at]), np.concatenate([whole[i] for i, _ in at]))
+            for i, found in whole.items():
+                sizes[i] = len(found)
+            ends = np.cumsum(sizes)
+        return np.insert(ids, ends, np.uint32(end_id)), sizes + 1
+
+    def __call__(self, texts: list[str], end_id: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(number of the first text, ids, sizes) of neighbouring texts, a bounded amount at a time."""
         for start, end in slices(texts):
-            runs: list[str] = []
-            counts, whole = [], {}
-            for i in range(start, end):
-                text = texts[i]
-                if not self.plain.fullmatch(text) or any(s in text for s in self.specials):
-                    whole[i] = np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-                    found = []
-                else:
-                    found = text.lower().split()
-                runs += found
-                counts.append(len(found))
-            ids, size = self.of_runs(runs)
-            ends = np.r_[0, np.cumsum(size)][np.r_[0, np.cumsum(counts)]]
-            for k, i in enumerate(range(start, end)):
-                yield whole[i] if i in whole else ids[ends[k]:ends[k + 1]]
+            yield start, *self.some(texts[start:end], end_id)
 
 
 def pack(docs: DataFrame, vocabulary: str, end_id: int, most: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -150,29 +165,20 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int, most: int = 4096, id_col
     if most & (most - 1):
         raise ValueError("the sequence length must be a power of two")
 
-    def table(batch: pa.RecordBatch, out: list[tuple]) -> pa.RecordBatch:
-        row, start, length, ids, total = map(list, zip(*out, strict=True)) if out else ([], [], [], [], [])
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(row, pa.int64())), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
-             pa.array(ids, pa.binary()), pa.array(total, pa.int64())],
-            names=["doc_id", "start", "length", "ids", "doc_tokens"])
-
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = kept_in_worker(f"words {vocabulary}", lambda: WordIds(vocabulary))
         for batch in batches:
-            out: list[tuple] = []
-            held = 0
-            for row, found in enumerate(encode(batch.column(1).to_pylist())):
-                ids = np.r_[found, np.uint32(end_id)].astype("<u4")
-                at = 0
-                for size in binary_pieces(len(ids), most):
-                    out.append((row, at, size, ids[at:at + size].tobytes(), len(ids)))
-                    at += size
-                held += len(ids)
-                if held > 1 << 21:
-                    yield table(batch, out)
-                    out, held = [], 0
-            yield table(batch, out)
+            for first, ids, sizes in encode(batch.column(1).to_pylist(), end_id):
+                number, lengths = cuts(sizes, most)
+                row = np.repeat(np.arange(len(sizes)), number)
+                ends = np.cumsum(lengths)
+                start = ends - lengths - (np.cumsum(sizes) - sizes)[row]
+                # the pieces lie one after the other in the ids, so their column is offsets into them
+                offsets = pa.py_buffer(np.r_[0, 4 * ends].astype(np.int32))
+                pieces = pa.Array.from_buffers(pa.binary(), len(lengths), [None, offsets, pa.py_buffer(ids.astype("<u4", copy=False))])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(first + row)), pa.array(start), pa.array(lengths), pieces, pa.array(sizes[row])],
+                    names=["doc_id", "start", "length", "ids", "doc_tokens"])
 
     rows = documents_of(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()

@@ -17,7 +17,7 @@ WIDTH, STRIDE = 64, 48  # words of a passage; words from one searched passage to
 RANK, SPARE = 128, 8
 COSINE = 0.25
 NEARLY, PART, ANSWER = 0.85, 0.6, 0.6
-RARE = 0.05  # share of the item passages up to which a word of theirs is a rare one
+POSTED = 0.25  # share of the words needed that must be among an item's posted ones
 ROUND_WORDS = 200_000  # benchmark words that are held at a time
 BATCH_WORDS = 1 << 17
 WORD = re.compile(r"\w+")
@@ -213,86 +213,106 @@ def places_of(words: np.ndarray) -> dict[int, int]:
 
 
 class Searcher:
-    """Finds passages of the items in texts."""
+    """Finds passages of the items in texts.
+
+    Whatever leaks an item has ``needed`` of its distinct words close by. So each item posts its rarest words, some more
+    than it can do without, and a passage is held against those items of which it and its neighbours have enough posted
+    words. Nothing here is as large as passages times items, or as words times either.
+    """
 
     def __init__(self, items: Items, idf: np.ndarray, axes: np.ndarray):
         self.items, self.idf, self.axes = items, idf, axes
         self.latent = unit(Passages.of(items.words, WIDTH, idf).times(axes))
-        self.bits = self.packed(np.repeat(np.arange(len(items.words)), [len(w) for w in items.words]), np.concatenate(items.words), len(items.words))
         sizes = np.array([len(w) for w in items.words])
-        distinct = np.array([len(np.unique(w)) for w in items.words])
-        self.needed = np.ceil(PART * sizes) - (sizes - distinct)  # distinct words a subsequence of that share must have
+        distinct = [np.unique(w).astype(np.int64) for w in items.words]
+        self.distinct = [frozenset(w.tolist()) for w in distinct]
+        self.many = np.array([len(w) for w in distinct])
+        self.flat, self.first = np.concatenate(distinct), np.cumsum(self.many) - self.many
+        # distinct words that a subsequence of that share must have
+        self.needed = np.ceil(PART * sizes).astype(np.int64) - (sizes - self.many)
         self.places = [places_of(w) for w in items.words]
         self.answers = [w[-max(3, len(w) // 4):] for w in items.words]
         self.answer_places = [places_of(w) for w in self.answers]
-        holds = np.zeros((len(idf), len(items.words)), dtype=np.uint8)
-        for i, w in enumerate(items.words):
-            holds[w, i] = 1
-        among = holds.sum(axis=1, dtype=np.int64)
-        self.rare = among <= max(1, RARE * len(items.words))
-        # a text that has the words needed has at least these rare ones: all but the item's others
-        self.needed_rare = np.clip(self.needed - holds[~self.rare].sum(axis=0, dtype=np.int64), 0, 255).astype(np.uint8)
-        holds[~self.rare] = 0
-        self.holds = holds
-
-    def rare_words(self, rows: Passages) -> np.ndarray:
-        """How many distinct rare words of each item stand in each passage, whatever their weight in the corpus."""
-        out = np.zeros((len(rows.text), len(self.places)), dtype=np.uint8)
-        at = np.flatnonzero(self.rare[rows.word])
-        row, word = rows.row[at], rows.word[at]
-        first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else np.zeros(0, np.int64)
-        ends = np.r_[first[1:], len(row)]
-        many = max(1, (1 << 24) // (WIDTH * len(self.places)))  # passages that are summed at a time
-        for k in range(0, len(first), many):
-            low, high = first[k], ends[min(k + many, len(first)) - 1]
-            out[row[first[k:k + many]]] = np.add.reduceat(self.holds[word[low:high]], first[k:k + many] - low, axis=0)
-        return out
-
-    def packed(self, row: np.ndarray, word: np.ndarray, rows: int) -> np.ndarray:
-        wide = -(-len(self.idf) // 64) * 64
-        out = np.zeros((rows, wide), dtype=bool)
-        out[row, word] = True
-        return np.packbits(out, axis=1).view(np.uint64)
+        # what has the words needed has at least so many of the posted ones: all but the item's others
+        self.asked = np.maximum(1, (self.needed * POSTED).astype(np.int64))
+        left = np.maximum(self.many - self.needed + self.asked, 1)
+        posted = [w[np.lexsort((w, -idf[w]))][:n] for w, n in zip(distinct, left.tolist(), strict=True)]  # the rarest in the corpus; ties by number
+        words, item = np.concatenate(posted), np.repeat(np.arange(len(posted)), [len(w) for w in posted])
+        order = np.argsort(words, kind="stable")
+        self.posted = item[order]
+        self.bounds = np.searchsorted(words[order], np.arange(len(idf) + 1))
+
+    def beside(self, rows: Passages, row: np.ndarray, steps: tuple[int, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each step the passages so far from those of ``row`` in the same text, and which of the rows have one."""
+        for step in steps:
+            to = row + step
+            keep = np.flatnonzero((to >= 0) & (to < len(rows.text)))
+            keep = keep[rows.text[to[keep]] == rows.text[row[keep]]]
+            yield to[keep], keep
+
+    def candidates(self, rows: Passages) -> tuple[np.ndarray, np.ndarray]:
+        """(passage, item passage) of the items of which the passage and two to each side in its text have enough posted words."""
+        start = self.bounds[rows.word]
+        many = self.bounds[rows.word + 1] - start
+        place = np.arange(int(many.sum())) + np.repeat(start - np.cumsum(many) + many, many)
+        size = np.int64(len(self.places))
+        keys, hits = np.unique(np.repeat(rows.row, many) * size + self.posted[place], return_counts=True)
+        passage, item = keys // size, keys % size
+        near = [(to * size + item[keep], hits[keep]) for to, keep in self.beside(rows, passage, (-2, -1, 0, 1, 2))]
+        every, at = np.unique(np.concatenate([k for k, _ in near]), return_inverse=True)
+        total = np.bincount(at, np.concatenate([n for _, n in near]), len(every))
+        every = every[total >= self.asked[every % size]]
+        return every // size, every % size
+
+    def shared(self, rows: Passages, passage: np.ndarray, item: np.ndarray, steps: tuple[int, ...]) -> np.ndarray:
+        """How many distinct words of each item stand in the passages at ``steps`` from its passage in the same text."""
+        size, many = np.int64(len(self.idf)), self.many[item]
+        keys = rows.row * size + rows.word  # sorted, as the rows are
+        pair = np.repeat(np.arange(len(item)), many)
+        word = self.flat[np.arange(len(pair)) + np.repeat(self.first[item] - np.cumsum(many) + many, many)]
+        found = np.zeros(len(pair), dtype=bool)
+        for step in steps:
+            to = passage + step
+            fit = (to >= 0) & (to < len(rows.text))
+            fit[fit] = rows.text[to[fit]] == rows.text[passage[fit]]
+            asked = np.where(fit, to, len(rows.text))[pair] * size + word
+            found |= keys[np.minimum(np.searchsorted(keys, asked), len(keys) - 1)] == asked
+        return np.bincount(pair, found, len(item))
 
     def __call__(self, texts: list[np.ndarray]) -> Iterator[tuple[int, int, float, float, float, int]]:
         """(text, item passage, cosine, share of its words, share of its answer, place) of each leak; best first by text."""
         rows = Passages.of(texts, STRIDE, self.idf)
-        if not len(rows.text):
+        if not len(rows.row):
             return
-        cosine = unit(rows.times(self.axes)) @ self.latent.T
-        own = self.packed(rows.row, rows.word, len(rows.text))
-        near, ahead, rare = own.copy(), own.copy(), self.rare_words(rows)
-        here = rare.copy()
-        for step in (1, 2):  # words of a passage and of two to each side in the same text, and of the two that follow
-            same = (rows.text[step:] == rows.text[:-step])[:, None]
-            near[step:] |= np.where(same, own[:-step], 0)
-            near[:-step] |= np.where(same, own[step:], 0)
-            ahead[:-step] |= np.where(same, own[step:], 0)
-            here[:-step] += np.where(same, rare[step:], 0).astype(np.uint8)
-        close = cosine >= COSINE
-        for p, i in self.with_words(np.nonzero(close), near):
-            text, size = texts[rows.text[p]], len(self.items.words[i])
-            low = max(0, int(rows.start[p]) - size)
-            region = text[low:int(rows.start[p]) + WIDTH + size].tolist()
-            if leak := self.leak(i, region):
-                yield int(rows.text[p]), i, float(cosine[p, i]), *leak, int(rows.start[p])
-        for p, i in self.with_words(np.nonzero(here >= self.needed_rare), ahead):
-            text, size, start = texts[rows.text[p]], len(self.items.words[i]), int(rows.start[p])
+        latent = unit(rows.times(self.axes))
+        passage, item = self.candidates(rows)
+        for at in range(0, len(passage), 1 << 13):
+            p, i = passage[at:at + (1 << 13)], item[at:at + (1 << 13)]
+            enough = self.shared(rows, p, i, (-2, -1, 0, 1, 2)) >= self.needed[i]
+            p, i = p[enough], i[enough]
+            cosine = np.einsum("ij,ij->i", latent[p], self.latent[i])
+            whole = self.shared(rows, p, i, (0, 1, 2)) >= self.needed[i]
+            for one in zip(p.tolist(), i.tolist(), cosine.tolist(), whole.tolist(), strict=True):
+                yield from self.held(texts, rows, *one)
+
+    def held(self, texts: list[np.ndarray], rows: Passages, p: int, i: int, cosine: float, whole: bool) -> Iterator[tuple[int, int, float, float, float, int]]:
+        """The leaks of one item around one passage: in all of its surroundings if it is close, and in each stretch from a word of it."""
+        t, start, size = int(rows.text[p]), int(rows.start[p]), len(self.items.words[i])
+        text = texts[t]
+        if cosine >= COSINE:
+            low = max(0, start - size)
+            if leak := self.leak(i, text[low:start + WIDTH + size].tolist()):
+                yield t, i, cosine, *leak, start
+        if whole:
             stretches = range(start, min(start + WIDTH, len(text)), max(1, size // 2))
             leaks = [k for low in stretches if (k := self.leak(i, text[low:low + 2 * size].tolist()))]
             if leaks:
-                yield int(rows.text[p]), i, float(cosine[p, i]), *max(leaks), start
-
-    def with_words(self, pairs: tuple[np.ndarray, np.ndarray], bits: np.ndarray) -> Iterator[tuple[int, int]]:
-        """The pairs (passage, item passage) where the passage's bits have as many of the item's words as a leak needs."""
-        passage, item = pairs
-        for at in range(0, len(passage), 1 << 14):
-            p, i = passage[at:at + (1 << 14)], item[at:at + (1 << 14)]
-            keep = np.bitwise_count(bits[p] & self.bits[i]).sum(axis=1) >= self.needed[i]
-            yield from zip(p[keep].tolist(), i[keep].tolist(), strict=True)
+                yield t, i, cosine, *max(leaks), start
 
     def leak(self, i: int, region: list[int]) -> tuple[float, float] | None:
         """Shares of the item passage's words and of those of its answer, if these words leak it."""
+        if len(self.distinct[i].intersection(region)) < self.needed[i]:
+            return None
         share = common_length(self.places[i], len(self.items.words[i]), region) / len(self.items.words[i])
         if share < PART:
             return None
@@ -374,10 +394,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns as they are, whose text leaks no item."""
+    """The rows of ``docs``, all columns as they are, whose text leaks no item; see ``find_leaks`` for what leaks.
+
+    Null and empty texts leak nothing, repeated rows stay or go together, rows of a null id are told apart by their text.
+    An empty table gives an empty one, an empty benchmark leaves all rows. Columns may have any names: a row travels as
+    one value.
+    """
     text: Column = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.withColumn("__mark", F.xxhash64(text))
-    texts = rows.select(F.col(id_col).alias("doc_id"), F.col("__mark").alias("mark"), text.alias("text"))
-    found = leaks_in(texts, benchmark).select(F.col("doc_id").alias("__id"), F.col("mark").alias("__found")).distinct()
-    clean = rows.join(found, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__found")), "left_anti")
-    return clean.select(*docs.columns)
+    rows = docs.select(F.col(id_col).alias("row_id"), F.xxhash64(text).alias("row_mark"), text.alias("row_text"), F.struct(*docs.columns).alias("row"))
+    texts = rows.select(F.col("row_id").alias("doc_id"), F.col("row_mark").alias("mark"), F.col("row_text").alias("text"))
+    found = leaks_in(texts, benchmark).select(F.col("doc_id").alias("found_id"), F.col("mark").alias("found_mark")).distinct()
+    same = F.col("row_id").eqNullSafe(F.col("found_id")) & (F.col("row_mark") == F.col("found_mark"))
+    return rows.drop("row_text").join(found, same, "left_anti").select("row.*")

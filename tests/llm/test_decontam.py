@@ -110,3 +110,50 @@ def test_item_in_a_third_of_the_documents(spark):
     found = decontam.find_leaks(frame, items).collect()
     assert {r.doc_id for r in found if r.item_id == 0 and r.share == 1.0} >= copied
     assert all(r.doc_id not in copied for r in decontam.drop_leaks(frame, items).collect())
+
+
+def spread(rng, words, step):
+    """The words in order, about ``step`` others put in after each."""
+    out = []
+    for w in words:
+        out += [w, *(f"other{rng.randrange(10**6)}" for _ in range(int(step) + (rng.random() < step % 1)))]
+    return out
+
+
+def test_leaks_that_only_the_cosine_finds(spark, monkeypatch):
+    """Items whose words stand too far apart for any stretch of the word rule: the latent search finds at least nine in ten."""
+    rng = random.Random(21)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    items = [rng.sample(vocabulary, 40) for _ in range(60)]
+    docs = []
+    for i in range(600):
+        body = rng.choices(vocabulary, k=150)
+        if i < 60:
+            body = [*body[:60], *spread(rng, items[i], 2.5), *body[60:]]
+        docs.append((i, " ".join(body)))
+    docs, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontam.find_leaks(docs, bench).collect()}
+    want = {(i, i) for i in range(60)}
+    assert len(found & want) >= 54 and found <= want
+    monkeypatch.setattr(decontam, "COSINE", 2.0)
+    without = {(r.doc_id, r.item_id) for r in decontam.find_leaks(docs, bench).collect()}
+    assert len(without) < 30
+
+
+def test_search_does_not_meet_every_item():
+    """Ten times the items cost few more looks: a passage is held against the items whose posted words it has."""
+    rng = np.random.default_rng(4)
+    words = rng.permutation(50_000)
+    texts = [words[rng.integers(0, 50_000, 640)].astype(np.int32) for _ in range(40)]
+    looks = {}
+    for number in (600, 6_000):
+        items = decontam.Items(list(range(number)), [rng.choice(50_000, 30, replace=False).astype(np.int32) for _ in range(number)], {f"w{k}": k for k in range(50_000)})
+        idf = rng.random(50_000) + 1
+        finder = decontam.Searcher(items, idf, rng.standard_normal((50_000, 8)).astype(np.float32))
+        planted = [np.r_[t[:100], items.words[k], t[100:]] for k, t in enumerate(texts)]
+        rows = decontam.Passages.of(planted, decontam.STRIDE, idf)
+        passage, item = finder.candidates(rows)
+        assert all(any(i == k and rows.text[p] == k for p, i in zip(passage, item)) for k in range(40))
+        looks[number] = len(passage) / len(rows.text)
+        assert {(t, i) for t, i, *_ in finder(planted)} >= {(k, k) for k in range(40)}
+    assert looks[600] < 2 and looks[6_000] < 6

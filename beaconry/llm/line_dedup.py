@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from beaconry.llm.support import documents_of, staged
 
-LEAST = 240
+LEAST = 40  # characters: most single lines have them, mere words between full stops do not
 
 
 def split_lines(text: Column) -> Column:
@@ -97,16 +97,25 @@ def dedup_lines(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id", tex
 def strip_repeats(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns as they are but the text; rows that lose their last line go.
 
-    n_chars, where there is such a column, is counted anew for rows whose text changed.
+    n_chars, where there is such a column, is counted anew for rows whose text changed. Null and empty texts stay, rows
+    that repeat an id and a text are one document, an empty table gives an empty one. Columns may have any names: a row
+    travels as one value.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.withColumn("__mark", F.xxhash64(text))
-    found = repeated_lines(rows.select(F.col(id_col).alias("doc_id"), F.col("__mark").alias("mark"), text.alias("text")), least)
-    found = found.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__found"), F.col("gone").alias("__gone"))
-    joined = rows.join(found, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__found")), "left")
-    gone = F.col("__gone")
-    joined = joined.withColumn(text_col, F.when(gone.isNotNull(), without(F.col(text_col), gone)).otherwise(F.col(text_col)))
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        joined = joined.withColumn("n_chars", F.when(gone.isNotNull(), F.length(text_col).cast(kind)).otherwise(F.col("n_chars")))
-    return joined.filter(gone.isNull() | (F.trim(F.translate(text_col, "\n", " ")) != "")).select(*docs.columns)
+    rows = docs.select(F.col(id_col).alias("row_id"), F.xxhash64(text).alias("row_mark"), text.alias("row_text"), F.struct(*docs.columns).alias("row"))
+    found = repeated_lines(rows.select(F.col("row_id").alias("doc_id"), F.col("row_mark").alias("mark"), F.col("row_text").alias("text")), least)
+    found = found.select(F.col("doc_id").alias("found_id"), F.col("mark").alias("found_mark"), "gone")
+    joined = rows.join(found, F.col("row_id").eqNullSafe(F.col("found_id")) & (F.col("row_mark") == F.col("found_mark")), "left")
+    gone = F.col("gone")
+    cut = joined.withColumn("kept", F.when(gone.isNotNull(), without(F.col("row_text"), gone)))
+    stays = cut.filter(gone.isNull() | (F.trim(F.translate("kept", "\n", " ")) != ""))
+
+    def value(name: str) -> Column:
+        own, kind = F.col("row")[name], docs.schema[name].dataType
+        if name == text_col:
+            return F.coalesce(F.col("kept").cast(kind), own).alias(name)
+        if name == "n_chars":
+            return F.when(gone.isNotNull(), F.length("kept").cast(kind)).otherwise(own).alias(name)
+        return own.alias(name)
+
+    return stays.select(*map(value, docs.columns))

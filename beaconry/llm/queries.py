@@ -47,12 +47,12 @@ sized AS (SELECT doc_id, pos, trim(line) AS line, length(trim(line)) + 1 AS size
 placed AS (SELECT *, sum(size) OVER (PARTITION BY doc_id ORDER BY pos) AS upto FROM sized),
 forward AS (
   SELECT doc_id, min(pos) OVER w AS a, max(pos) OVER w AS b, list(line) OVER w AS body, max(upto) OVER w - min(upto - size) OVER w AS chars
-  FROM placed WINDOW w AS (PARTITION BY doc_id ORDER BY upto - size RANGE BETWEEN CURRENT ROW AND 239 FOLLOWING)),
+  FROM placed WINDOW w AS (PARTITION BY doc_id ORDER BY upto - size RANGE BETWEEN CURRENT ROW AND 39 FOLLOWING)),
 backward AS (
   SELECT doc_id, min(pos) OVER w AS a, max(pos) OVER w AS b, list(line) OVER w AS body, max(upto) OVER w - min(upto - size) OVER w AS chars
-  FROM placed WINDOW w AS (PARTITION BY doc_id ORDER BY upto RANGE BETWEEN 239 PRECEDING AND CURRENT ROW)),
+  FROM placed WINDOW w AS (PARTITION BY doc_id ORDER BY upto RANGE BETWEEN 39 PRECEDING AND CURRENT ROW)),
 windows AS (SELECT doc_id, a, b, array_to_string(body, chr(10)) AS body
-            FROM (SELECT * FROM forward UNION SELECT * FROM backward) WHERE chars >= 240),
+            FROM (SELECT * FROM forward UNION SELECT * FROM backward) WHERE chars >= 40),
 ranked AS (SELECT *, dense_rank() OVER (PARTITION BY body ORDER BY doc_id, a) AS nth FROM windows),
 gone AS (SELECT DISTINCT doc_id, unnest(range(a, b + 1)) AS pos FROM ranked WHERE nth > 1),
 marked AS (SELECT l.doc_id, l.pos, l.line, g.pos IS NOT NULL AS out FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.pos = l.pos)
@@ -63,7 +63,7 @@ FROM marked GROUP BY doc_id"""
 
 @query("op2_line_dedup", LINE_SQL)
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), least=240)
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), least=40)
     return kept.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
 
 

@@ -80,14 +80,15 @@ def concentration(groups: DataFrame, n: str, k: str) -> float:
 
 
 def host_reputation(outcomes: DataFrame, suffixes: tuple[str, ...], z: float) -> DataFrame:
-    """(host, n, k, mean, upper) for every host of ``outcomes`` (host, good: 1, 0 or null where unlabelled).
+    """(host, n, k, mean, upper) for every host of ``outcomes`` (host, outcomes, good: how many a page has, and how many of them
+    are good; null where unlabelled).
 
     Rates shrink from the suffix to the registered domain to the host: each level's prior is a beta distribution around
     the mean of the level above, as strong as the spread between the groups of that level asks for. ``upper`` is the
     posterior mean of the host and ``z`` posterior standard deviations, at most 1; it is 1 where nothing is labelled at all.
     """
     s = suffix_of(F.col("host"), suffixes)
-    hosts = (outcomes.groupBy("host").agg(F.count("good").alias("n"), F.coalesce(F.sum(F.col("good").cast("long")), F.lit(0)).alias("k"))
+    hosts = (outcomes.groupBy("host").agg(F.coalesce(F.sum("outcomes"), F.lit(0)).alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("k"))
              .withColumn("suffix", s).withColumn("domain", registered_domain(F.col("host"), F.col("suffix"))))
     hosts = staged(hosts, "hosts")  # a row for each host, read by every level
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("dn"), F.sum("k").alias("dk"))
@@ -124,8 +125,7 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: list[Rule], suffixe
     marks = (outcomes.filter(F.col("good").isNotNull())
              .groupBy(F.col("page_id").alias("marked")).agg(F.count("*").alias("m"), F.sum(F.col("good").cast("long")).alias("g")))
     seen = (rows.select("page_id", "host").join(marks, F.col("page_id") == F.col("marked"), "left")
-            .select("host", F.explode_outer(F.expr(
-                "concat(array_repeat(1, cast(coalesce(g, 0) as int)), array_repeat(0, cast(coalesce(m - g, 0) as int)))")).alias("good")))
+            .select("host", F.col("m").alias("outcomes"), F.col("g").alias("good")))
     rates = host_reputation(seen, suffixes, z).select(F.col("host").alias("rated"), F.col("mean").alias("rate"), "upper")
     name, said = matched_rule(rules, F.col("host"), F.col("path"))
     out = rows.join(rates, F.col("host") == F.col("rated"), "left")

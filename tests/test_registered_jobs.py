@@ -12,7 +12,7 @@ def con(sf_dir):
     return duck(sf_dir)
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith("stream_")])
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_job(spark, con, sf_dir, name):
     assert compare(spark, con, name, sf_dir) is None
 

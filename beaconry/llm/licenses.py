@@ -12,6 +12,7 @@ from beaconry.llm.support import ascii_lower, documents_of
 # Everything below 0x80 that is neither a digit nor a lower-case letter separates words.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+POSTED = 3  # rare words of each key phrase whose postings are intersected
 SLACK = 3  # words that may stand between two words of a template beside its key phrase
 
 
@@ -62,24 +63,33 @@ def document_frequency(docs: DataFrame, vocabulary: set[str]) -> dict[str, int]:
     return {r["word"]: r["n"] for r in found.groupBy("word").agg(F.count("*").alias("n")).collect()}
 
 
-def rarest(template: Template, frequency: dict[str, int]) -> int:
-    """Position of the key phrase's word with the highest inverse document frequency; of ties the first."""
-    return min(range(*template.key), key=lambda j: (frequency.get(template.words[j], 0), j))
+def rarest(template: Template, frequency: dict[str, int]) -> list[int]:
+    """Positions of the key phrase's words with the highest inverse document frequency, rarest first; of ties the first."""
+    return sorted(range(*template.key), key=lambda j: (frequency.get(template.words[j], 0), j))[:POSTED]
 
 
-def starts(words: Column, anchors: Column, template: Template, at: int) -> Column:
-    """Where the template begins: postings of its rare word, shifted by that word's position, with the key phrase there.
+def starts(words: Column, postings: dict[str, Column], template: Template, at: list[int]) -> Column:
+    """Where the template begins: the postings of its rare words, each shifted by that word's position, intersected; the
+    rest of the key phrase must stand there.
 
     A template that is cut off by the text's beginning begins below 0.
     """
-    def holds(i: Column) -> Column:
-        keep = F.get(words, i) == template.words[at]
+    def shifted_by(j: int) -> Column:
+        return F.transform(postings[template.words[j]], lambda i: i - j)
+
+    shifted = [shifted_by(j) for j in at]
+    agreed = shifted[0]
+    for more in shifted[1:]:
+        agreed = F.array_intersect(agreed, more)
+
+    def holds(s: Column) -> Column:
+        keep = F.lit(True)
         for j in range(*template.key):
-            if j != at:
-                keep &= F.get(words, i + (j - at)) == template.words[j]
+            if j not in at:
+                keep &= F.get(words, s + j) == template.words[j]
         return F.coalesce(keep, F.lit(False))
 
-    return F.transform(F.filter(anchors, holds), lambda i: i - at)
+    return F.filter(agreed, holds)
 
 
 def in_order(found: Column, expected: tuple[str, ...]) -> Column:
@@ -126,11 +136,11 @@ def scan_licenses(docs: DataFrame, phrases: list[Template], templates: list[Temp
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Find license phrases and license texts in every whole text.
 
-    One pass counts in how many documents the templates' words stand; the rarest word of each key phrase becomes its
-    entry in the positional index. A second pass notes where such words stand, shifts the places by the word's position
-    in its template, keeps those with the whole key phrase and measures how much of the template is there, words missing or put in
+    One pass counts in how many documents the templates' words stand; the rarest words of each key phrase, up to ``POSTED``,
+    are its entries in the positional index. A second pass notes where such words stand, shifts their places by the word's
+    position in its template, intersects them, keeps those with the whole key phrase and measures how much of the template is there, words missing or put in
     beside the key phrase allowed. A template counts from the share ``least`` on; one that begins before the text is placed
-    at its start. Since the rare word is one of the key phrase, the choice of word changes the cost and never the result. Neither pass shuffles texts.
+    at its start. Since the rare words are of the key phrase, the choice of words changes the cost and never the result. Neither pass shuffles texts.
 
     Returns doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, and places (array of label and
     start, phrases first) for every row, repeated rows and ids included. Null and empty texts have no words, no places
@@ -142,15 +152,19 @@ def scan_licenses(docs: DataFrame, phrases: list[Template], templates: list[Temp
     rows = documents_of(docs, id_col, text_col)
     frequency = document_frequency(rows, {w for t in every for w in t.words[slice(*t.key)]})
     at = [rarest(t, frequency) for t in every]
-    rare = sorted({t.words[j] for t, j in zip(every, at, strict=True)})
+    rare = sorted({t.words[j] for t, chosen in zip(every, at, strict=True) for j in chosen})
     words = F.col("words")
     rows = rows.select("doc_id", words_of(F.col("text")).alias("words"))
-    rows = rows.withColumn("anchors", F.filter(F.transform(
-        words, lambda w, i: F.when(w.isin(*rare), i).otherwise(F.lit(-1))), lambda i: i >= 0))
-    columns = []
-    for k, (t, j) in enumerate(zip(every, at, strict=True)):
-        columns.append(starts(words, F.col("anchors"), t, j).alias(f"at_{k}"))
-    rows = rows.select("doc_id", "words", *columns)
+    # the positional index of a text: where its rare words stand
+    posted = F.filter(F.transform(words, lambda w, i: F.when(w.isin(*rare), F.struct(i.alias("at"), w.alias("word")))), lambda p: p.isNotNull())
+    rows = rows.withColumn("posted", posted)
+
+    def places_of(word: str) -> Column:
+        return F.transform(F.filter("posted", lambda p: p["word"] == word), lambda p: p["at"])
+
+    rows = rows.select("doc_id", "words", *[places_of(w).alias(f"in_{k}") for k, w in enumerate(rare)])
+    postings = {w: F.col(f"in_{k}") for k, w in enumerate(rare)}
+    rows = rows.select("doc_id", "words", *[starts(words, postings, t, chosen).alias(f"at_{k}") for k, (t, chosen) in enumerate(zip(every, at, strict=True))])
     base = F.concat(*[F.col(f"at_{k}") for k in range(len(phrases))])
     shares = {k: likeness(words, F.col(f"at_{k}"), every[k]) for k in range(len(phrases), len(every))}
     rows = rows.select("doc_id", F.size("words").cast("long").alias("n_words"), base.alias("base"),

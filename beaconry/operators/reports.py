@@ -44,9 +44,18 @@ def trace_linked(errors: DataFrame, spans: DataFrame, logs: DataFrame, requests:
 
 
 def orphan_spans(spans: DataFrame) -> DataFrame:
-    """Spans that name a parent their trace does not have."""
-    known = spans.select("trace_id", F.col("span_id").alias("parent_span_id")).distinct()
-    return spans.where(F.col("parent_span_id") != "").join(known, ["trace_id", "parent_span_id"], "left_anti")
+    """Spans that name a parent their trace does not have.
+
+    Ids in either role, a span's or a parent's, are folded to one row before they shuffle, once; only the lost parents then
+    meet the spans again. Spans without a trace have no parent there.
+    """
+    own = F.struct(F.col("span_id").alias("_id"), F.col("trace_id").isNotNull().alias("_known"))
+    named = F.struct(F.col("parent_span_id").alias("_id"), F.lit(False).alias("_known"))
+    both = F.when(F.col("parent_span_id") != "", F.array(own, named)).otherwise(F.array(own))
+    lost = (spans.select(F.col("trace_id").alias("_trace"), F.inline(both)).groupBy("_trace", "_id").agg(F.max("_known").alias("_known"))
+            .where("NOT _known").select("_trace", "_id"))
+    return spans.where(F.col("parent_span_id") != "").join(
+        lost, F.col("trace_id").eqNullSafe(F.col("_trace")) & (F.col("parent_span_id") == F.col("_id")), "left_semi")
 
 
 def errors_without_trace(errors: DataFrame, spans: DataFrame) -> DataFrame:

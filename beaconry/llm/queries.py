@@ -34,8 +34,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query("op1_suffix_dedup")
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), least=400)
+    text = F.call_function("make_valid_utf8", F.col("kept").cast("string"))  # cuts may fall inside a character
     return cut.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
-                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+                      F.length("kept").cast("long").alias("n_kept"), text.alias("text"))
 
 
 # op2: line dedup

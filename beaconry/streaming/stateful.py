@@ -17,43 +17,121 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from beaconry import fixed_values as fixed
 
 BUCKET_MS = 60_000
+GROUPS = 1024  # keys are dealt into these, see ``_grouped``
+_DAY_MS = 86_400_000
+_FINER = 32  # a slot is parted into so many
+_HELD = 200_000  # rows that are sorted at a time
+_FEW = 2_000  # rows that are rather written again than parted
+
+
+def _grouped(df: DataFrame, key: str, groups: int) -> DataFrame:
+    """Adds ``_group``: state is kept, and a timer set, for a group of keys.
+
+    Every call to the state is a round trip between Python and the JVM; for single keys these cost far more than the work.
+    """
+    return df.withColumn("_group", F.pmod(F.xxhash64(key), F.lit(groups)).cast("int"))
+
+
+class _Alarm:
+    """One timer per group, at the earliest time that anything waits for."""
+
+    def __init__(self, handle: StatefulProcessorHandle):
+        self.handle = handle
+        self.at = handle.getValueState("alarm", "at bigint")
+
+    def set(self, at_ms: int | None, expired: bool = False) -> None:
+        known = self.at.get()
+        if known and known[0] == at_ms and not expired:
+            return
+        if known and not expired:
+            self.handle.deleteTimer(known[0])
+        if at_ms is None:
+            self.at.clear()
+        else:
+            self.at.update((at_ms,))
+            self.handle.registerTimer(at_ms)
 
 
 class _Reorder:
-    """Rows of one key that wait, by time bucket, until no older ones can come.
+    """Rows of one group that wait, by slots of time, until no older ones can come.
 
-    A bucket's rows lie in parts, one per batch of arriving rows, so that nothing is written twice and a hot key is never
-    held whole: arriving rows are seen batch by batch, waiting ones bucket by bucket. A bucket has one timer, at its end.
+    A slot's rows lie in parts, one per batch of arriving rows, so that a hot key is never held whole. Slots are about a day
+    wide at first; one that holds many rows, or many of which only some are due, is parted into finer ones, down to a bucket.
     Rows without a time are the earliest. ``columns`` begin with the two that order rows, the first in milliseconds.
     """
 
-    def __init__(self, handle: StatefulProcessorHandle, columns: list[str], bucket_ms: int):
-        self.handle, self.columns, self.bucket_ms = handle, columns, bucket_ms
-        self.rows = handle.getMapState("rows", "bucket bigint, part int", "rows string")
-        self.parts = handle.getMapState("parts", "bucket bigint", "parts int")
+    def __init__(self, handle: StatefulProcessorHandle, columns: list[str], bucket_ms: int, held: int = _HELD, few: int = _FEW):
+        self.columns, self.bucket_ms, self.held, self.few = columns, bucket_ms, held, few
+        self.rows = handle.getMapState("rows", "width bigint, slot bigint, part int", "rows string")
+        self.known = handle.getValueState("slots", "slots string")
+        self.top = bucket_ms
+        while self.top * _FINER <= _DAY_MS:
+            self.top *= _FINER
+        self.slots: dict[tuple[int, int], list[int]] = {}
+
+    def load(self) -> None:
+        """The slots, by width and number: how many parts and rows they have, the earliest time, the next part."""
+        known = self.known.get()
+        self.slots = {(width, slot): about for width, slot, *about in json.loads(known[0])} if known else {}
+
+    def save(self) -> None:
+        if self.slots:
+            self.known.update((json.dumps([(*key, *about) for key, about in self.slots.items()]),))
+        elif self.known.exists():
+            self.known.clear()
+
+    def next_ms(self) -> int | None:
+        """When the first bucket ends."""
+        return min(((low // self.bucket_ms + 1) * self.bucket_ms for _, _, low in self.slots.values()), default=None)
+
+    def _put(self, width: int, slot: int, rows: str, count: int, low: int) -> None:
+        about = self.slots.setdefault((width, slot), [0, 0, low])
+        self.rows.updateValue((width, slot, about[0]), (rows,))
+        self.slots[width, slot] = [about[0] + 1, about[1] + count, min(about[2], low)]
 
     def add(self, frame: pd.DataFrame) -> None:
         time = self.columns[0]
         frame = frame[self.columns].assign(**{time: frame[time].fillna(0).astype("int64")})
-        for number, some in frame.groupby(frame[time].to_numpy() // self.bucket_ms, sort=False):
-            key = (int(number),)
-            known = self.parts.getValue(key)
-            part = known[0] if known else 0
-            self.rows.updateValue((*key, part), (some.to_json(orient="values"),))
-            self.parts.updateValue(key, (part + 1,))
-            if not part:
-                self.handle.registerTimer((key[0] + 1) * self.bucket_ms)
+        for number, some in frame.groupby(frame[time].to_numpy() // self.top, sort=False):
+            self._put(self.top, int(number), some.to_json(orient="values"), len(some), int(some[time].min()))
+
+    def _drop(self, width: int, slot: int) -> Iterator[list]:
+        """The parts of a slot, which are forgotten."""
+        for part in range(self.slots.pop((width, slot))[0]):
+            yield json.loads(self.rows.getValue((width, slot, part))[0])
+            self.rows.removeKey((width, slot, part))
+
+    def _refile(self, width: int, parts: Iterator[list]) -> None:
+        for held in parts:
+            finer: dict[int, list] = {}
+            for row in held:
+                finer.setdefault(row[0] // width, []).append(row)
+            for slot, some in finer.items():
+                self._put(width, slot, json.dumps(some), len(some), min(row[0] for row in some))
+
+    def _part(self, bound: int) -> None:
+        """Parts slots that are to be taken until those that are due follow each other and are small."""
+        width = self.top
+        while width > self.bucket_ms:
+            inside = {start * w // width for w, start in self.slots if w < width}
+            for w, slot in [key for key in self.slots if key[0] == width and key[1] * width < bound]:
+                _, count, _ = self.slots[w, slot]
+                if slot in inside or count > self.held or (count > self.few and (slot + 1) * width > bound):
+                    self._refile(width // _FINER, self._drop(w, slot))
+            width //= _FINER
 
     def due(self, at_ms: int) -> Iterator[list]:
-        """The rows of all buckets that end by ``at_ms``, in order; they are forgotten."""
-        for number in sorted(b for b, in list(self.parts.keys()) if (b + 1) * self.bucket_ms <= at_ms):
-            held = []
-            for part in range(self.parts.getValue((number,))[0]):
-                held += json.loads(self.rows.getValue((number, part))[0])
-                self.rows.removeKey((number, part))
-            self.parts.removeKey((number,))
+        """The rows of all buckets that end by ``at_ms``, in order, some at a time; they are forgotten."""
+        bound = at_ms // self.bucket_ms * self.bucket_ms
+        self._part(bound)
+        for width, slot in sorted((key for key in self.slots if key[0] * key[1] < bound), key=lambda key: key[0] * key[1]):
+            held = [row for part in self._drop(width, slot) for row in part]
+            later = [row for row in held if row[0] >= bound]
+            if later:
+                self._refile(width, iter([later]))
+                held = [row for row in held if row[0] < bound]
             held.sort(key=lambda row: row[:2])
-            yield from held
+            yield held
 
 
 class _Crumbs(StatefulProcessor):
@@ -61,53 +139,64 @@ class _Crumbs(StatefulProcessor):
         self.limit, self.ttl_ms, self.bucket_ms = limit, ttl_ms, bucket_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.marks = _Reorder(handle, ["ts_ms", "event_id", "is_error", "message"], self.bucket_ms)
-        self.waiting = handle.getValueState("waiting", "crumbs string, latest bigint")
+        self.marks = _Reorder(handle, ["ts_ms", "event_id", "is_error", "message", "process_id"], self.bucket_ms)
+        self.waiting = handle.getValueState("waiting", "crumbs string, forget bigint")
+        self.alarm = _Alarm(handle)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        self.marks.load()
         for frame in rows:
             self.marks.add(frame)
+        self.marks.save()
+        held = self.waiting.get()
+        self.alarm.set(self._next(held[1] if held else None))
         return iter(())
 
+    def _next(self, forget: int | None) -> int | None:
+        return min((at for at in (self.marks.next_ms(), forget) if at is not None), default=None)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
         held = self.waiting.get()
-        waiting, latest = (json.loads(held[0]), held[1]) if held else ([], 0)
-        taken, seen = [], False
-        for ts_ms, event_id, is_error, message in self.marks.due(now):
-            seen = True
-            if waiting and ts_ms > latest + self.ttl_ms:
-                waiting = []
-            if is_error:
-                taken += [(key[0], event_id, crumb_id, text) for crumb_id, text in waiting]
-                waiting = []
-            else:
-                waiting = (waiting + [(event_id, message)])[-self.limit:]
-            latest = ts_ms
-        if not seen and now > latest + self.ttl_ms:
-            waiting = []
+        waiting = {process: (crumbs, latest) for process, crumbs, latest in json.loads(held[0])} if held else {}
+        self.marks.load()
+        for rows in self.marks.due(now):
+            taken = []
+            for ts_ms, event_id, is_error, message, process in rows:
+                crumbs, latest = waiting.get(process, ([], ts_ms))
+                if ts_ms > latest + self.ttl_ms:
+                    crumbs = []
+                if is_error:
+                    taken += [(process, event_id, crumb_id, text) for crumb_id, text in crumbs]
+                    waiting.pop(process, None)
+                else:
+                    waiting[process] = ((crumbs + [(event_id, message)])[-self.limit:], ts_ms)
+            yield pd.DataFrame(taken, columns=["process_id", "error_id", "event_id", "message"])
+        self.marks.save()
+        past = now // self.bucket_ms * self.bucket_ms  # marks before this are taken
+        waiting = {process: (crumbs, latest) for process, (crumbs, latest) in waiting.items() if latest + self.ttl_ms >= past}
+        forget = min((latest for _, latest in waiting.values()), default=0) + self.ttl_ms + 1 + self.bucket_ms if waiting else None
         if waiting:
-            if seen:
-                self.waiting.update((json.dumps(waiting), latest))
-                self.handle.registerTimer(latest + self.ttl_ms + 1)
+            self.waiting.update((json.dumps([(process, *rest) for process, rest in waiting.items()]), forget))
         elif held:
             self.waiting.clear()
-        yield pd.DataFrame(taken, columns=["process_id", "error_id", "event_id", "message"])
+        self.alarm.set(self._next(forget), expired=True)
 
     def close(self) -> None:
         pass
 
 
 def stream_breadcrumbs(marks: DataFrame, delay: str, limit: int = fixed.MAX_BREADCRUMBS,
-                       ttl_ms: int = fixed.SPOOL_MAX_AGE_SECONDS * 1000, bucket_ms: int = BUCKET_MS) -> DataFrame:
+                       ttl_ms: int = fixed.SPOOL_MAX_AGE_SECONDS * 1000, bucket_ms: int = BUCKET_MS, groups: int = GROUPS) -> DataFrame:
     """One row per crumb an error takes. Reads at (event time), process_id, ts_ms, event_id, is_error, message.
 
     Marks may come in any order: those of a bucket of ``bucket_ms`` are taken, in the order of (ts_ms, event_id), once the
     watermark is past the bucket, so nothing that is at most ``delay`` late is misplaced. Crumbs are forgotten after
-    ``ttl_ms`` without a mark of their process.
+    ``ttl_ms`` without a mark of their process. State is kept for ``groups`` groups of processes, a stream's checkpoint for
+    one number of them.
     """
-    return marks.withWatermark("at", delay).groupBy("process_id").transformWithStateInPandas(
+    rows = marks.select("at", "process_id", "ts_ms", "event_id", "is_error", "message")
+    return _grouped(rows, "process_id", groups).withWatermark("at", delay).groupBy("_group").transformWithStateInPandas(
         statefulProcessor=_Crumbs(limit, ttl_ms, bucket_ms),
         outputStructType="process_id string, error_id bigint, event_id bigint, message string",
         outputMode="Append", timeMode="EventTime")

@@ -206,6 +206,7 @@ _STATUS = ["ok", "errored", "abnormal", "crashed"]
 _SEVERITY = {"error": 1, "abnormal": 2, "crash": 3}
 _FOLDED = ("session_id string, at timestamp, started bigint, latest bigint, worst array<array<bigint>>, errors array<array<bigint>>, "
            "ended array<bigint>, final string")
+_FOLD_COLUMNS = ["session_id", "started", "latest", "worst", "errors", "ended", "final"]
 _SESSIONS_HELD = 100_000
 
 
@@ -247,8 +248,9 @@ class _Fold:
     def severity(self) -> int:
         return max((s for s, *mark in self.worst if self.ended is None or tuple(mark) <= self.ended), default=0)
 
-    def packed(self) -> str:
-        return json.dumps([getattr(self, name) for name in self.__slots__], default=int)
+    def packed(self) -> list:
+        """As the arguments of a fold, of what JSON can hold."""
+        return [int(self.started), int(self.latest), self.worst, self.errors, self.ended, self.final, int(self.counted)]
 
 
 def _fold_frames(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -308,62 +310,81 @@ def fold_marks(marks: DataFrame) -> DataFrame:
 
 
 class _Sessions(StatefulProcessor):
+    """The sessions of a group: folds of those that are open, and until when ended ones are remembered."""
+
     def __init__(self, idle_ms: int):
         self.idle_ms = idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.open = handle.getValueState("open", "fold string")
-        self.closed = handle.getValueState("closed", "until bigint")
+        self.open = handle.getValueState("open", "folds string")
+        self.closed = handle.getValueState("closed", "until string")
+        self.alarm = _Alarm(handle)
+
+    @staticmethod
+    def _load(state) -> dict:
+        held = state.get()
+        return dict(json.loads(held[0])) if held else {}
 
-    def _wake(self, at_ms: int) -> None:
-        """One timer per session: replace what is set."""
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer(at_ms)
+    @staticmethod
+    def _save(state, held: dict) -> None:
+        if held:
+            state.update((json.dumps(list(held.items())),))
+        elif state.exists():
+            state.clear()
+
+    def _due_ms(self, fold: list) -> int:
+        """When a packed fold's session is given out."""
+        latest, ended = fold[1], fold[4]
+        return ended[0] if ended is not None else latest + self.idle_ms
+
+    def _next(self, open_: dict, closed: dict) -> int | None:
+        return min([*map(self._due_ms, open_.values()), *closed.values()], default=None)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        fold = _Fold(*json.loads(self.open.get()[0])) if self.open.exists() else None
+        open_, closed, now = self._load(self.open), self._load(self.closed), timerValues.getCurrentWatermarkInMs()
         for frame in rows:
-            for _, _, *row in zip(*(frame[c] for c in frame.columns), strict=True):
-                if fold is None:
-                    fold = _Fold()
+            for session, *row in zip(*(frame[c] for c in _FOLD_COLUMNS), strict=True):
+                if session in closed:  # marks after the end are ignored
+                    continue
+                fold = _Fold(*open_[session]) if session in open_ else _Fold()
                 fold.add(_Fold(*row))
-        if self.closed.exists():  # marks after the end are ignored
-            return iter(())
-        fold.settle(timerValues.getCurrentWatermarkInMs())
-        self.open.update((fold.packed(),))
-        self._wake(fold.ended[0] if fold.ended is not None else fold.latest + self.idle_ms)
+                fold.settle(now)
+                open_[session] = fold.packed()
+        self._save(self.open, open_)
+        self.alarm.set(self._next(open_, closed))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.open.exists():
-            self.closed.clear()
-            return iter(())
-        fold = _Fold(*json.loads(self.open.get()[0]))
-        ended = fold.ended is not None
-        last = fold.ended[0] if ended else fold.latest
-        status = fold.final if ended and fold.final else _STATUS[fold.severity() if ended else max(fold.severity(), _SEVERITY["abnormal"])]
-        started = min(fold.started, last)
-        self.open.clear()
-        if ended:
-            self.closed.update((last + self.idle_ms,))
-            self._wake(last + self.idle_ms)
-        return iter([pd.DataFrame([(key[0], status, fold.counted + len(fold.errors), started, last - started, ended)], columns=[
-            "session_id", "status", "error_count", "started_ms", "duration_ms", "ended"])])
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        open_, closed = self._load(self.open), {k: until for k, until in self._load(self.closed).items() if until > now}
+        given = []
+        for session in [k for k, fold in open_.items() if self._due_ms(fold) <= now]:
+            fold = _Fold(*open_.pop(session))
+            ended = fold.ended is not None
+            last = fold.ended[0] if ended else fold.latest
+            status = fold.final if ended and fold.final else _STATUS[fold.severity() if ended else max(fold.severity(), _SEVERITY["abnormal"])]
+            started = min(fold.started, last)
+            if ended and last + self.idle_ms > now:
+                closed[session] = last + self.idle_ms
+            given.append((session, status, fold.counted + len(fold.errors), started, last - started, ended))
+        self._save(self.open, open_)
+        self._save(self.closed, closed)
+        self.alarm.set(self._next(open_, closed), expired=True)
+        return iter([pd.DataFrame(given, columns=["session_id", "status", "error_count", "started_ms", "duration_ms", "ended"])])
 
     def close(self) -> None:
         pass
 
 
-def stream_sessions(marks: DataFrame, delay: str, idle_ms: int) -> DataFrame:
+def stream_sessions(marks: DataFrame, delay: str, idle_ms: int, groups: int = GROUPS) -> DataFrame:
     """Sessions once they have ended. One that stays silent for ``idle_ms`` past the watermark ends as abnormal, or as crashed.
 
     Reads at (event time), session_id, ts_ms, event_id, mark, final_status. Marks may come in any order: a session is given
     out when the watermark is past its first end, with what came before that end. That it has ended is remembered for
-    ``idle_ms``, so that later marks are ignored. Folds are late, and dropped, if their latest mark is.
+    ``idle_ms``, so that later marks are ignored. Folds are late, and dropped, if their latest mark is. State is kept for
+    ``groups`` groups of sessions, a stream's checkpoint for one number of them.
     """
-    return fold_marks(marks).withWatermark("at", delay).groupBy("session_id").transformWithStateInPandas(
+    return _grouped(fold_marks(marks), "session_id", groups).withWatermark("at", delay).groupBy("_group").transformWithStateInPandas(
         statefulProcessor=_Sessions(idle_ms),
         outputStructType="session_id string, status string, error_count bigint, started_ms bigint, "
                          "duration_ms bigint, ended boolean",

@@ -120,3 +120,19 @@ def test_slots_are_parted():
     early, _ = crumbs_run(rows, [middle], 100, 10)
     time = {event: ts for _, ts, event, _, _ in rows}
     assert sorted(early) == [w for w in want if time[w[1]] < middle // 60_000 * 60_000]
+
+
+def test_an_error_after_the_end_of_its_session_does_not_count():
+    handle, sessions = Handle(), stateful._Sessions(1_000)
+    sessions.init(handle)
+    frame = pd.DataFrame([(f"s{k}", 5, 9, [[1, 5, 2]], [[5, 2], [9, 4]], [7, 3], None, 0) for k in range(500)],
+                         columns=["session_id", "started", "latest", "worst", "errors", "ended", "final", "_group"])
+    list(sessions.handleInputRows((0,), iter([frame]), Times(0)))
+    assert handle.timers == {7}
+    handle.timers.clear()
+    [got] = sessions.handleExpiredTimer((0,), Times(7), Times(7))
+    assert got.values.tolist() == [[f"s{k}", "errored", 1, 5, 2, True] for k in range(500)]
+    assert handle.calls < 20 and handle.timers == {1007}
+    list(sessions.handleInputRows((0,), iter([frame]), Times(8)))  # they have ended
+    [late] = sessions.handleExpiredTimer((0,), Times(1007), Times(1007))
+    assert late.empty and sessions.closed.get() is None

@@ -1,4 +1,4 @@
-"""Near-duplicates by word shingles: MinHash bands propose pairs, the shingles themselves decide."""
+"""Near-duplicates by word shingles: SimHash and MinHash bands propose pairs, the shingles themselves decide."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from beaconry.llm.components import connected
+from beaconry.llm.simhash import BITS, close_pairs
 from beaconry.llm.support import LOWER, UPPER, bounded_batches, lean, staged
 
 SEED = 42
@@ -47,17 +48,26 @@ def band_keys(found: np.ndarray) -> list[int]:
     return [xxhash.xxh64_intdigest(part.tobytes(), k) - (1 << 63) for k, part in enumerate(least.reshape(BANDS, ROWS))]
 
 
+def simhash_of(found: np.ndarray) -> int:
+    """The signed SimHash of a set of shingle hashes: bit by bit the strict majority."""
+    ones = np.zeros(BITS, dtype=np.int64)
+    for at in range(0, len(found), MOST_SHINGLES):
+        hashes = found[at:at + MOST_SHINGLES].astype(">u8")
+        ones += np.unpackbits(hashes.view(np.uint8)).reshape(-1, BITS).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(found)).view(">i8")[0])
+
+
 def print_of(text: Column, width: int) -> Column:
-    """(fp, n, keys): a hash of the shingles of a text, their number and its bands; zero and no band without shingles."""
-    @F.pandas_udf("fp long, n long, keys array<long>")
+    """(fp, n, bits, keys): a hash of the shingles of a text, their number, SimHash and bands; zero and no band without shingles."""
+    @F.pandas_udf("fp long, n long, bits long, keys array<long>")
     def column(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in lean(texts):
             rows = []
             for t in batch:
                 found = shingles(t, width)
                 whole = xxhash.xxh64_intdigest(found.tobytes(), SEED) - (1 << 63) if len(found) else 0
-                rows.append((whole, len(found), band_keys(found) if len(found) else []))
-            yield pd.DataFrame(rows, columns=["fp", "n", "keys"])
+                rows.append((whole, len(found), simhash_of(found), band_keys(found) if len(found) else []))
+            yield pd.DataFrame(rows, columns=["fp", "n", "bits", "keys"])
 
     return column(text)
 
@@ -171,9 +181,26 @@ def meeting(first: DataFrame, roots: DataFrame, least: float) -> DataFrame:
     return met.select(*pair()).distinct()
 
 
+def simhash_pairs(nodes: DataFrame, least: float) -> DataFrame:
+    """(a, b): pairs of nodes whose SimHashes differ in two bits at most, as far as their sizes allow the similarity.
+
+    Prints meet by ``close_pairs``, each by the least of its nodes; the others of a print meet that one.
+    """
+    some = nodes.filter("n > 0")
+    prints = some.groupBy("bits").agg(F.min(F.struct("fp", "n")).alias("low"))
+    prints = staged(prints.select("bits", F.col("low.fp").alias("b"), F.col("low.n").alias("m")), "simhashes")
+    same = some.select("bits", F.col("fp").alias("a"), "n").join(prints, "bits").select("a", "n", "b", "m")
+    met = close_pairs(prints.select(F.col("bits").alias("fp"))).select(F.col("a").alias("one"), F.col("b").alias("two"))
+    ones = prints.select(F.col("bits").alias("one"), F.col("b").alias("a"), F.col("m").alias("n"))
+    twos = prints.select(F.col("bits").alias("two"), "b", "m")
+    near = met.join(ones, "one").join(twos, "two").select("a", "n", "b", "m")
+    return same.unionByName(near).filter((F.col("a") != F.col("b")) & may_be(least)).select(*pair()).distinct()
+
+
 def similar_roots(nodes: DataFrame, texts: DataFrame, width: int, least: float) -> DataFrame:
-    """(node, root) for the nodes (fp, n, keys, id, mark) that are similar to another, over chains.
+    """(node, root) for the nodes (fp, n, bits, keys, id, mark) that are similar to another, over chains.
 
+    SimHash brings those together that differ in two bits at most; of pairs near 0.8 most differ in more, so bands follow.
     First all texts of a band meet only its smallest and its largest: of a large group of near copies each costs two
     pairs a band. Texts of bands that then still hold several groups meet by their rarest shingles, see ``rare_prefixes``:
     where very many share one, first a few of them by chance, which joins most of a loose large group at a cost that grows
@@ -185,8 +212,10 @@ def similar_roots(nodes: DataFrame, texts: DataFrame, width: int, least: float)
     filed = staged(filed.join(ends, "key"), "bands")
     far = [filed.select(F.col("fp").alias("a"), "n", F.col(f"{end}.fp").alias("b"), F.col(f"{end}.n").alias("m")) for end in ("low", "high")]
     first = far[0].unionByName(far[1]).filter((F.col("a") != F.col("b")) & may_be(least))
-    first = staged(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    wanted = filed.select("fp").distinct().join(nodes.select("fp", "id", "mark"), "fp")
+    close = staged(simhash_pairs(nodes, least), "simhash_pairs")
+    first = staged(first.select(*pair()).unionByName(close).distinct(), "pairs")
+    named = filed.select("fp").unionByName(close.select(F.explode(F.array("a", "b")).alias("fp")))
+    wanted = named.distinct().join(nodes.select("fp", "id", "mark"), "fp")
     held = texts.join(wanted, texts["text_id"].eqNullSafe(wanted["id"]) & (texts["text_mark"] == wanted["mark"]))
     held = held.dropDuplicates(["fp"])  # a repeated row is one text
     sets = staged(held.select("fp", set_of(F.col("text"), width).alias("shingles")), "shingles")
@@ -218,8 +247,8 @@ def one_of_each(docs: DataFrame, width: int = WIDTH, least: float = LEAST, id_co
     Two texts are near copies when the sets of their ``width``-word shingles have a Jaccard similarity of ``least`` or
     more; groups are linked over chains. Texts lose the case of A-Z only; words are runs without the space and the
     characters 9 to 13. A text of fewer words is one shingle; null texts and those without words are copies of each
-    other. Candidates agree on one of ``BANDS`` bands of ``ROWS`` MinHashes; all are verified over their whole sets of
-    64-bit shingle hashes. Equal sets are folded to one first. A repeated id stays once; of a group without any id one
+    other. Candidates have SimHashes of their shingles that differ in two bits at most, or agree on one of ``BANDS`` bands of
+    ``ROWS`` MinHashes; all are verified over their whole sets of 64-bit shingle hashes. Equal sets are folded to one first. A repeated id stays once; of a group without any id one
     row stays. An empty table gives an empty one.
     """
     bounded_batches(docs.sparkSession)
@@ -227,9 +256,9 @@ def one_of_each(docs: DataFrame, width: int = WIDTH, least: float = LEAST, id_co
     # a row travels as one value, so its columns may have any names
     rows = docs.select(F.col(id_col).alias("row_id"), F.xxhash64(text).alias("row_mark"), text.alias("text"), F.struct(*docs.columns).alias("row"))
     prints = rows.select(F.col("row_id").alias("id"), F.col("row_mark").alias("mark"), print_of(F.col("text"), width).alias("p"))
-    marked = staged(prints.select("id", "mark", "p.fp", "p.n", "p.keys"), "prints")
-    nodes = marked.groupBy("fp").agg(F.min(F.struct("id", "mark")).alias("at"), F.min("n").alias("n"), F.first("keys").alias("keys"))
-    nodes = staged(nodes.select("fp", "n", "keys", "at.id", "at.mark"), "nodes")
+    marked = staged(prints.select("id", "mark", "p.fp", "p.n", "p.bits", "p.keys"), "prints")
+    nodes = marked.groupBy("fp").agg(F.min(F.struct("id", "mark")).alias("at"), F.min("n").alias("n"), F.first("bits").alias("bits"), F.first("keys").alias("keys"))
+    nodes = staged(nodes.select("fp", "n", "bits", "keys", "at.id", "at.mark"), "nodes")
     texts = rows.select(F.col("row_id").alias("text_id"), F.col("row_mark").alias("text_mark"), "text")
     roots = similar_roots(nodes, texts, width, least)
     grouped = marked.select("id", "mark", "fp").join(roots, F.col("fp") == F.col("node"), "left")

@@ -130,3 +130,16 @@ def test_odd_rows(spark):
     got = near_copies.one_of_each(docs)
     assert sorted((str(r.doc_id), r.text, r.fp) for r in got.collect()) == [("3", "A b c D e", "y"), ("9", "other words are here now", None), ("None", "no id at all here", None)]
     assert near_copies.one_of_each(docs.limit(0)).count() == 0
+
+
+def test_simhash_alone_links_what_it_can(spark, monkeypatch):
+    """Without any band, copies whose SimHashes differ in two bits at most are still found, verified and linked."""
+    monkeypatch.setattr(near_copies, "band_keys", lambda found: [])
+    words = [f"w{i * 7919 % 5003}" for i in range(600)]
+    changed = [*words[:-1], "other"]
+    half = [f"w{i}" if i % 7 == 0 else w for i, w in enumerate(words)]
+    rows = [(1, " ".join(words)), (2, " ".join(changed)), (3, " ".join(half)), (4, "alone in here"), (5, "")]
+    prints = [near_copies.simhash_of(near_copies.shingles(t, 5)) for _, t in rows[:3]]
+    assert bin((prints[0] ^ prints[1]) & ((1 << 64) - 1)).count("1") <= 2 and prints[0] != prints[2]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in near_copies.one_of_each(docs).collect()) == [1, 3, 4, 5]

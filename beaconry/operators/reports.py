@@ -32,15 +32,19 @@ def trace_linked(errors: DataFrame, spans: DataFrame, logs: DataFrame, requests:
                  queries: DataFrame) -> DataFrame:
     """Every error with how many spans, logs, requests and statements share its trace.
 
-    All tables have trace_id. Of the others only rows of the errors' traces are counted, and per trace before they meet
-    the errors.
+    All tables have trace_id. Of the others only rows of the errors' traces are counted, all in one pass, and per trace
+    before they meet the errors: a task then sorts rows for two joins, however many tables there are.
     """
-    out, wanted = errors, errors.select("trace_id").distinct()
-    for name, table in (("spans", spans), ("logs", logs), ("requests", requests), ("queries", queries)):
-        counted = table.join(wanted, "trace_id", "left_semi").groupBy("trace_id").agg(F.count(F.lit(1)).alias(f"linked_{name}"))
-        out = out.join(counted, "trace_id", "left").withColumn(
-            f"linked_{name}", F.coalesce(f"linked_{name}", F.lit(0)))
-    return out
+    others = {"spans": spans, "logs": logs, "requests": requests, "queries": queries}
+    wanted = errors.select("trace_id").distinct()
+    rows = None
+    for name, table in others.items():
+        some = table.select("trace_id", F.lit(name).alias("_table"))
+        rows = some if rows is None else rows.unionByName(some)
+    counted = rows.join(wanted, "trace_id", "left_semi").groupBy("trace_id").agg(
+        *[F.count_if(F.col("_table") == name).alias(f"linked_{name}") for name in others])
+    return errors.join(counted, "trace_id", "left").withColumns(
+        {f"linked_{name}": F.coalesce(f"linked_{name}", F.lit(0)) for name in others})
 
 
 def orphan_spans(spans: DataFrame) -> DataFrame:

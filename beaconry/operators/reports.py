@@ -32,8 +32,8 @@ def trace_linked(errors: DataFrame, spans: DataFrame, logs: DataFrame, requests:
                  queries: DataFrame) -> DataFrame:
     """Every error with how many spans, logs, requests and statements share its trace.
 
-    All tables have trace_id. Of the others only rows of the errors' traces are counted, all in one pass, and per trace
-    before they meet the errors: a task then sorts rows for two joins, however many tables there are.
+    All tables have trace_id. Of the others only rows of the errors' traces are counted, all in one aggregate per
+    trace, before they meet the errors: a task then sorts rows for one join, however many tables there are.
     """
     others = {"spans": spans, "logs": logs, "requests": requests, "queries": queries}
     wanted = errors.select("trace_id").distinct()

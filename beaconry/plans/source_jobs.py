@@ -12,8 +12,8 @@ from beaconry.session import scratch_dir
 from beaconry.sources import envelopes as env, tables as t
 
 
-def _log_rows(spark, sf_dir):
-    return t.LOGS.frame(spark, sf_dir).withColumn(
+def _log_rows(spark, sf_dir, heavy=False):
+    return t.LOGS.frame(spark, sf_dir, heavy).withColumn(
         "metadata", F.map_filter(F.create_map(F.lit("password"), F.concat(F.lit("p"), "event_id")),
                                  lambda k, v: F.col("event_id") % 2 == 0))
 
@@ -32,20 +32,22 @@ def to_wire(spark, sf_dir):
     return rows.select("event_id", wire.to_wire(rows, "logs").alias("body"))
 
 
+def _single_envelopes(spark, sf_dir, heavy=False):
+    """Logs and heartbeats, one a body, as envelopes."""
+    logs = _log_rows(spark, sf_dir, heavy).withColumn("user_id", F.col("user_id").cast("string"))
+    beats = t.HEARTBEATS.frame(spark, sf_dir)
+    return env.to_envelopes(logs, "logs", wire.to_wire(logs, "logs"), F.col("ts_ms")).unionByName(
+        env.to_envelopes(beats, "heartbeats", wire.to_wire(beats, "heartbeats"), F.col("ts_ms")))
+
+
 def _envelopes(spark, sf_dir):
-    """Logs one a body, request batches of 100 and replay bodies, as envelopes."""
-    logs = _log_rows(spark, sf_dir).withColumn("user_id", F.col("user_id").cast("string"))
+    """Logs and heartbeats one a body, and request batches of 100, as envelopes."""
     requests = ins.request_rows(ins.asgi_requests(t.ACCESS.frame(spark, sf_dir))).withColumn(
         "host_key", F.col("host"))
     batches = delivery.chunk_batches(requests, ["host_key"], ["ts_ms", "event_id"],
                                      wire.wire_item(requests, "http_requests"), "requests")
-    beats = t.HEARTBEATS.frame(spark, sf_dir)
-    return (
-        env.to_envelopes(logs, "logs", wire.to_wire(logs, "logs"), F.col("ts_ms"))
-        .unionByName(env.to_envelopes(batches, "http_requests", F.to_json(F.struct("requests")),
-                                      F.lit(0).cast("bigint")))
-        .unionByName(env.to_envelopes(beats, "heartbeats", wire.to_wire(beats, "heartbeats"), F.col("ts_ms")))
-    )
+    return _single_envelopes(spark, sf_dir).unionByName(
+        env.to_envelopes(batches, "http_requests", F.to_json(F.struct("requests")), F.lit(0).cast("bigint")))
 
 
 @job("route", f"""
@@ -71,9 +73,8 @@ def explode_batch(spark, sf_dir):
 SELECT ts_ms AS ts, {_LOG_JSON.replace('{password}', "'[REDACTED]'")} AS payload FROM ({t.LOGS.sql()})""")
 def write_spool(spark, sf_dir):
     """Envelopes to spool files and back: keys are redacted on the way, heartbeats stay out."""
-    logs = _envelopes(spark, sf_dir).where(F.col("path").isin(fixed.PATH_LOGS, fixed.PATH_HEARTBEAT))
     folder = scratch_dir(spark, "spool")
-    env.write_spool(logs, folder)
+    env.write_spool(_single_envelopes(spark, sf_dir, heavy=True), folder)
     return normalize.valid(env.read_envelopes(spark, folder)).select("ts", "payload")
 
 

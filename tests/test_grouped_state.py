@@ -136,3 +136,10 @@ def test_an_error_after_the_end_of_its_session_does_not_count():
     list(sessions.handleInputRows((0,), iter([frame]), Times(8)))  # they have ended
     [late] = sessions.handleExpiredTimer((0,), Times(1007), Times(1007))
     assert late.empty and sessions.closed.get() is None
+
+
+def test_state_rows_are_not_counted(spark):
+    """A stream-stream join writes every row to its state; counting them reads each key first."""
+    from beaconry.streaming.run import tune_streams
+
+    assert tune_streams(spark).conf.get("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows") == "false"
